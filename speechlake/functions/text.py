@@ -34,8 +34,8 @@ def _ranges(points: list[int]) -> str:
 def character_classes() -> dict[str, str]:
     """Regex class bodies, derived from the Unicode character database.
 
-    space: white space; kept: white space, digits, Latin letters and the kept punctuation;
-    kept_low: the part of kept below the combining marks; foreign: letters that are not Latin.
+    space: white space; kept: white space, digits, Latin letters and the kept punctuation; foreign: letters that are
+    not Latin; kept_low and plain_low: what is kept, and what is not foreign, below the combining marks.
     """
     space, kept, foreign = [], [], []
     for point in range(sys.maxunicode + 1):
@@ -48,12 +48,13 @@ def character_classes() -> dict[str, str]:
             kept.append(point)
         elif letter:
             foreign.append(point)
-    low = [p for p in kept if p < _FIRST_COMBINING]
+    low = range(_FIRST_COMBINING)
     return {
         "space": _ranges(space),
         "kept": _ranges(kept),
-        "kept_low": _ranges(low),
         "foreign": _ranges(foreign),
+        "kept_low": _ranges(sorted(set(low) & set(kept))),
+        "plain_low": _ranges(sorted(set(low) - set(foreign))),
     }
 
 
@@ -97,8 +98,9 @@ def normalize_text(text: str | Column) -> Column:
 
 def has_foreign(text: str | Column) -> Column:
     """True where the composed text has a letter whose name does not start with LATIN."""
+    classes = character_classes()
     text = F.coalesce(_column(text), F.lit(""))
-    return nfc(text).rlike(f"[{character_classes()['foreign']}]")
+    return nfc(text).rlike(f"(?![{classes['plain_low']}])[{classes['foreign']}]")
 
 
 def scrub(text: str | Column) -> Column:

@@ -65,7 +65,7 @@ def attach(df: DataFrame, groups: DataFrame, by: list[str]) -> DataFrame:
     """Add the columns of ``groups`` (one row per value of ``by``) to every row of ``df``."""
     if by:
         return join_null_safe(df, small_side(groups), by)
-    (row,) = groups.toArrow().to_pylist()  # a global aggregate: exactly one row
+    (row,) = groups.collect()  # a global aggregate: exactly one row
     return df.withColumns({field.name: _literal(row[field.name], field.dataType) for field in groups.schema})
 
 
@@ -118,26 +118,36 @@ def rank_cutoffs(
 ) -> DataFrame:
     """One row per group: its row count ``_total`` and, per name in ``ranks``, the order values found at that rank.
 
-    A rank below 1 or above ``_total`` gives NULL. ``ranks`` may use the columns of ``targets`` (one row per
-    group). Only key columns are read, and only the one slice per group and name that holds the rank is sorted.
+    A rank below 1 or above ``_total`` gives NULL. ``ranks`` may use ``_total`` and the columns of ``targets`` (one row
+    per group, groups without one are left out), which are passed on. Only key columns are read, and only the one slice
+    per group and name that holds the rank is sorted.
     """
     keys = df.select(*by, coarse.alias("_slice"), F.struct(*order).alias("_order"))
-    upto = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spans = keys.groupBy(*by, "_slice").agg(F.count("*").alias("_n")).withColumn("_upto", F.sum("_n").over(upto))
+    group = Window.partitionBy(*by)
+    upto = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = (
+        keys.groupBy(*by, "_slice")
+        .agg(F.count("*").alias("_n"))
+        .withColumns({"_upto": F.sum("_n").over(upto), "_total": F.sum("_n").over(group)})
+    )
+    passed = []
     if targets is not None:
-        spans = attach(spans, targets, by)
+        passed = [c for c in targets.columns if c not in by]
+        spans = join_null_safe(spans, targets, by)
     before = F.col("_upto") - F.col("_n")
-    found = {}
+    found = []
     for name, rank in ranks.items():
         rank = F.lit(rank) if isinstance(rank, int) else rank
         inside = (rank > before) & (rank <= F.col("_upto"))
         need = F.struct(F.col("_slice").alias("slice"), (rank - before).cast("bigint").alias("need"))
-        found[name] = F.max(F.when(inside, need)).alias(f"_edge_{name}")
-    edges = spans.groupBy(*by).agg(F.sum("_n").alias("_total"), *found.values())
+        found.append(F.max(F.when(inside, need)).alias(f"_edge_{name}"))
+    edges = spans.groupBy(*by).agg(*[F.max(c).alias(c) for c in ["_total", *passed]], *found)
+    edges = small_side(edges) if by else edges
 
     in_edge = reduce(lambda a, b: a | b, [F.col("_slice") == F.col(f"_edge_{n}.slice") for n in ranks])
     within = Window.partitionBy(*by, "_slice").orderBy("_order")
-    hits = attach(keys, edges, by).filter(in_edge).withColumn("_rank", F.row_number().over(within))
+    located = join_null_safe(keys, edges, by) if by else attach(keys, edges, by)
+    hits = located.filter(in_edge).withColumn("_rank", F.row_number().over(within))
     at = [
         F.max(
             F.when(
@@ -148,7 +158,7 @@ def rank_cutoffs(
         for n in ranks
     ]
     marks = hits.groupBy(*by).agg(*at)
-    totals = edges.select(*by, "_total")
+    totals = edges.select(*by, "_total", *passed)
     if not by:
         return attach(totals, marks, by)
     return join_null_safe(totals, marks, by, "left")

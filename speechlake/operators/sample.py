@@ -7,7 +7,7 @@ of the sample: chunks cut with the same seed are disjoint whatever their sizes.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from speechlake.operators.ranking import attach, hash_slice, number_slice, order_hash, rank_cutoffs, ranked, take_ranks
+from speechlake.operators.ranking import attach, hash_slice, join_null_safe, number_slice, order_hash, rank_cutoffs, ranked, take_ranks
 
 # Default seed, size of the eval head, split fractions and temperature exponents.
 SEED = 123
@@ -78,12 +78,15 @@ def mix_weights(stats: DataFrame, beta_corpus: float = BETA, beta_language: floa
     A corpus weighs its hours to the power ``beta_corpus``, a language within its corpus its hours to the power
     ``beta_language``, each as a share of the total. ``stats`` has one row per (corpus, language).
     """
-    corpora = stats.groupBy("corpus").agg(
-        F.pow(F.sum("hours"), F.lit(beta_corpus)).alias("_corpus"),
-        F.sum(F.pow("hours", F.lit(beta_language))).alias("_languages"),
+    corpora = (
+        stats.groupBy("corpus")
+        .agg(
+            F.pow(F.sum("hours"), F.lit(beta_corpus)).alias("_corpus"),
+            F.sum(F.pow("hours", F.lit(beta_language))).alias("_languages"),
+        )
+        .withColumn("_corpora", F.sum("_corpus").over(Window.partitionBy()))  # over one row per corpus
     )
-    every = corpora.agg(F.sum("_corpus").alias("_corpora"))
-    shares = attach(attach(stats, corpora, ["corpus"]), every, [])
+    shares = join_null_safe(stats, corpora, ["corpus"])
     language = F.when(F.col("_languages") > 0, F.pow("hours", F.lit(beta_language)) / F.col("_languages")).otherwise(0.0)
     corpus = F.when(F.col("_corpora") > 0, F.col("_corpus") / F.col("_corpora")).otherwise(0.0)
     return shares.select("corpus", "language", "hours", (corpus * language).alias("weight"))
@@ -107,17 +110,12 @@ def temperature_sample(df: DataFrame, quotas: DataFrame, key: str, seed: int = S
     order. Groups without rows stay empty.
     """
     by = ["corpus", "language"]
-    sizes = df.groupBy(*by).agg(F.count("*").alias("_rows"))
-    targets = attach(quotas.select(*by, "quota"), sizes, by).select(
-        *by,
-        F.floor(F.col("quota") / F.col("_rows")).alias("_copies"),
-        F.pmod("quota", "_rows").alias("_extra"),
-    )
     coarse, order = _hash_order(key, seed)
-    cutoffs = rank_cutoffs(df, by, coarse, order, {"_cut": F.coalesce(F.col("_extra"), F.lit(0))}, targets)
-    marked = attach(attach(df, targets, by), cutoffs.drop("_total"), by)
-    extra = F.coalesce(F.struct(*order) <= F.col("_cut"), F.lit(False)).cast("bigint")
-    copies = F.col("_copies") + extra
+    extra = F.pmod(F.col("quota"), F.col("_total"))
+    cutoffs = rank_cutoffs(df, by, coarse, order, {"_cut": extra}, quotas.select(*by, "quota"))
+    marked = attach(df, cutoffs, by)
+    one_more = F.coalesce(F.struct(*order) <= F.col("_cut"), F.lit(False)).cast("bigint")
+    copies = F.floor(F.col("quota") / F.col("_total")) + one_more
     return (
         marked.withColumn("_n", copies)
         .filter(F.col("_n") > 0)

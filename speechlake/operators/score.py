@@ -9,6 +9,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from speechlake.functions.text import character_classes
 
@@ -64,7 +65,7 @@ def _scores(pairs) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(errors, pa.int64()), pa.array(lengths, pa.int64())], ["errors", "length"])
 
 
-_SCORE_TYPE = "struct<errors bigint, length bigint>"
+_SCORE_TYPE = T.StructType([T.StructField("errors", T.LongType()), T.StructField("length", T.LongType())])
 
 
 @F.arrow_udf(_SCORE_TYPE)
