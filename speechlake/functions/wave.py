@@ -50,6 +50,7 @@ def duration_s(size: str | Column) -> Column:
 def normalize_wave(wave: str | Column, epsilon: float = 1e-5) -> Column:
     """Zero mean and unit variance per clip: (x - mean) / sqrt(variance + epsilon)."""
     wave = _column(wave)
+    count = F.greatest(F.size(wave), F.lit(1))
     sums = F.aggregate(
         wave,
         F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q")),
@@ -57,8 +58,8 @@ def normalize_wave(wave: str | Column, epsilon: float = 1e-5) -> Column:
             (acc["s"] + x.cast("double")).alias("s"), (acc["q"] + x.cast("double") * x.cast("double")).alias("q")
         ),
         lambda acc: F.struct(
-            (acc["s"] / F.size(wave)).alias("mean"),
-            (acc["q"] / F.size(wave) - F.pow(acc["s"] / F.size(wave), F.lit(2))).alias("variance"),
+            (acc["s"] / count).alias("mean"),
+            (acc["q"] / count - F.pow(acc["s"] / count, F.lit(2))).alias("variance"),
         ),
     )
     # One-element array, so that the sums are taken once per clip and not once per sample.

@@ -36,7 +36,7 @@ def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 
 def mean_loss_bits(df: DataFrame, by: list[str] = (), loss: str = "loss", batch_size: str = "batch_size") -> DataFrame:
     """Mean loss per example in bits: each batch's loss / size / ln 2, weighted by its size."""
-    mean = F.sum(F.col(loss) / math.log(2)) / F.sum(batch_size)
+    mean = F.try_divide(F.sum(F.col(loss) / math.log(2)), F.sum(batch_size))
     return df.groupBy(*by).agg(mean.alias("ctc_loss"))
 
 

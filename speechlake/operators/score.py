@@ -1,7 +1,8 @@
 """Word and unit error rates.
 
-The error rate is 100 x the sum of edit distances / the sum of reference lengths, over all pairs of a group. Spark
-ships no edit distance on lists (``levenshtein`` compares characters), so pairs are scored in Arrow batches.
+The error rate is 100 x the sum of edit distances / the sum of reference lengths, over all pairs of a group (NULL
+without any reference). Spark ships no edit distance on lists (``levenshtein`` compares characters), so pairs are scored in
+Arrow batches.
 """
 
 from collections.abc import Sequence
@@ -92,7 +93,7 @@ def _rate(df: DataFrame, by: list[str], name: str) -> DataFrame:
     return df.groupBy(*by).agg(
         F.sum("score.errors").alias("errors"),
         F.sum("score.length").alias("length"),
-        (F.sum("score.errors") * 100 / F.sum("score.length")).alias(name),
+        F.try_divide(F.sum("score.errors") * 100, F.sum("score.length")).alias(name),
     )
 
 

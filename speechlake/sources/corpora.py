@@ -5,7 +5,7 @@ import tarfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from speechlake.functions.text import basename, shard_index, strip
@@ -40,14 +40,14 @@ def first_paths(
     files: DataFrame, folders: list[str] | None = None, max_shards: int = 0, per_folder: bool = False
 ) -> DataFrame:
     """The ordering and the limit of ``list_shards`` on a listing."""
-    rank = F.lit(0)
+    order = [F.col("path")]
     if folders:
         files = files.filter(F.col("folder").isin(folders))
-        rank = F.array_position(F.array(*[F.lit(f) for f in folders]), F.col("folder"))
+        order = [F.array_position(F.array(*[F.lit(f) for f in folders]), F.col("folder")), *order]
     if max_shards and per_folder:
         inside = Window.partitionBy("folder").orderBy("path")
         files = files.withColumn("_n", F.row_number().over(inside)).filter(F.col("_n") <= max_shards).drop("_n")
-    ordered = files.orderBy(rank, "path")
+    ordered = files.orderBy(*order)
     return ordered.limit(max_shards) if max_shards and not per_folder else ordered
 
 
@@ -71,17 +71,17 @@ def parse_manifest(lines: DataFrame) -> DataFrame:
     )
 
 
-def manifest_lines(text: DataFrame) -> DataFrame:
+def manifest_lines(text: DataFrame, line_id: Column | None = None) -> DataFrame:
     """Name the file and the place of each line of a text scan.
 
     Large manifests are read in splits: ``line_block`` is the start of the split in the file, ``line_id`` rises with
-    the lines of a split. Together they give manifest order.
+    the lines of a split. Together they give manifest order. A stream has no line numbers and passes another column.
     """
     return text.select(
         "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("line_block"),
-        F.monotonically_increasing_id().alias("line_id"),
+        (F.monotonically_increasing_id() if line_id is None else line_id).alias("line_id"),
     )
 
 

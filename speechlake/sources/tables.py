@@ -140,7 +140,7 @@ def write_transcripts(pairs: DataFrame, path: str, key: str = "utt_id") -> None:
 
 def register_dataset(spark: SparkSession, name: str, root: str) -> None:
     """Give a lake a name in the session catalog."""
-    spark.catalog.createTable(name, path=root, source="parquet")
+    spark.catalog.createTable(name, path=root, source="parquet", ignoreCorruptFiles="true")
     spark.catalog.recoverPartitions(name)
 
 

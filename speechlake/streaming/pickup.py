@@ -30,7 +30,8 @@ def stream_ingest(
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "manifest_*")
             .option("maxFilesPerTrigger", max_files)
-            .load(root)
+            .load(root),
+            line_id=F.lit(0).cast("bigint"),
         )
     )
 

@@ -3,7 +3,10 @@ import sys
 
 import pytest
 
-sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
+_HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(_HERE), _HERE]
+# The models and decoders of the tests live in test modules, which the Python workers must find.
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [_HERE, os.environ.get("PYTHONPATH")]))
 
 
 @pytest.fixture(scope="session")
