@@ -23,8 +23,12 @@ def _words_sql(text):
     return f"list_filter(regexp_split_to_array({text}, '[{_SPACE}]+'), lambda w: w <> '')"
 
 
-def _day():
-    return F.to_date("ts")
+def _hour():
+    return F.date_trunc("hour", "ts")
+
+
+def _minute():
+    return F.date_trunc("minute", "ts")
 
 
 def _events(spark, sf):
@@ -50,7 +54,7 @@ def argmax_frames(spark, sf):
     where event_type is distinct from previous and event_type <> 'error'""",
 )
 def greedy_collapse(spark, sf):
-    kept = W.greedy_collapse(_events(spark, sf), ["user_id"], _EVENT_ORDER, _day(), "event_type", "error")
+    kept = W.greedy_collapse(_events(spark, sf), ["user_id"], _EVENT_ORDER, _hour(), "event_type", "error")
     return kept.select("user_id", "event_id", "event_type")
 
 
@@ -62,7 +66,7 @@ _COLLAPSED = f"""frames as (select user_id, strftime(ts, '%Y-%m-%d') as day, ts,
 
 def _sequences(spark, sf):
     frames = _events(spark, sf)
-    by, coarse = ["user_id", "day"], F.hour("ts")
+    by, coarse = ["user_id", "day"], _minute()
     tokens = W.greedy_collapse(frames, by, _EVENT_ORDER, coarse)
     return W.collect_sequences(tokens, frames.select(*by).distinct(), by, _EVENT_ORDER, coarse)
 
@@ -91,8 +95,8 @@ def pad_batch(spark, sf):
 
 @check(
     "j6_decode_tokens",
-    """select user_id, coalesce(string_agg(substr(event_type, 1, 3) || ' ', '' order by ts, event_id)
-    filter (event_type <> 'error'), '') as text from events group by user_id""",
+    """select user_id, strftime(ts, '%Y-%m-%d') as day, coalesce(string_agg(substr(event_type, 1, 3) || ' ', '' order by ts, event_id)
+    filter (event_type <> 'error'), '') as text from events group by all""",
 )
 def decode_tokens(spark, sf):
     events = _events(spark, sf)
@@ -101,7 +105,7 @@ def decode_tokens(spark, sf):
         F.concat(F.substring("event_type", 1, 3), F.lit(" ")).alias("piece"),
         (F.col("event_type") == "error").alias("special"),
     ).distinct()
-    return W.decode_tokens(events, vocab, ["user_id"], _EVENT_ORDER, _day())
+    return W.decode_tokens(events, vocab, ["user_id", "day"], _EVENT_ORDER, _minute())
 
 
 _PAIRS = f"""pairs as (select a.item_id as id, substr(a.text, 1, 1) as split, {_words_sql('a.text')} as r, {_words_sql('b.text')} as h
@@ -161,7 +165,8 @@ _REPLACED = ["the", "and", "la", "de", "der"]
     round(sum(len(list_filter(r, lambda w: lower(w) in ('the', 'and', 'la', 'de', 'der')))) * 100 / sum(len(r)), 6) as wer from w group by language""",
 )
 def wer_documents(spark, sf):
-    heard = F.transform(E.words("text"), lambda w: F.when(F.lower(w).isin(_REPLACED), "#").otherwise(w))
+    words = F.filter(F.split("text", f"[{_SPACE}]+"), lambda w: w != "")
+    heard = F.transform(words, lambda w: F.when(F.lower(w).isin(_REPLACED), "#").otherwise(w))
     pairs = table(spark, sf, "documents").select(
         F.col("lang").alias("language"), F.col("text").alias("ref"), F.array_join(heard, " ").alias("hyp")
     )
@@ -178,7 +183,7 @@ _UNITS = f"""{_COLLAPSED}, refs as (select user_id, day, string_agg({_LETTER_SQL
 
 def _token_pairs(spark, sf):
     frames = _events(spark, sf)
-    refs = W.collect_ordered(frames, ["user_id", "day"], _EVENT_ORDER, "token", F.hour("ts"), "ref_tokens")
+    refs = W.collect_ordered(frames, ["user_id", "day"], _EVENT_ORDER, "token", _minute(), "ref_tokens")
     return refs.join(_sequences(spark, sf).withColumnRenamed("tokens", "hyp_tokens"), ["user_id", "day"])
 
 

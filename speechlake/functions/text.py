@@ -2,6 +2,7 @@
 
 import sys
 import unicodedata
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -12,7 +13,8 @@ PLACEHOLDER = "..."
 KEPT_PUNCTUATION = " '-"
 NA_LIKE = ["", "nan", "null", "none", "na", "n/a", "<na>"]
 
-_FIRST_COMBINING = 0x300  # every character below is its own NFC form
+_LATIN_1 = 0x100  # Java tests single characters below this with a bit set
+_COMBINING = 0x300  # every character below is its own NFC form
 
 
 def _column(value: str | Column) -> Column:
@@ -35,9 +37,9 @@ def character_classes() -> dict[str, str]:
     """Regex class bodies, derived from the Unicode character database.
 
     space: white space; kept: white space, digits, Latin letters and the kept punctuation; foreign: letters that are
-    not Latin; kept_low and plain_low: what is kept, and what is not foreign, below the combining marks.
+    not Latin. find_dropped and find_foreign are whole patterns for one character outside kept or inside foreign.
     """
-    space, kept, foreign = [], [], []
+    space, kept, dropped, foreign = [], [], [], []
     for point in range(sys.maxunicode + 1):
         char = chr(point)
         letter = char.isalpha()
@@ -46,18 +48,36 @@ def character_classes() -> dict[str, str]:
             space.append(point)
         if latin or char.isspace() or char.isdigit() or char in KEPT_PUNCTUATION:
             kept.append(point)
-        elif letter:
+        else:
+            dropped.append(point)
+        if letter and not latin:
             foreign.append(point)
-    low = range(_FIRST_COMBINING)
     return {
         "space": _ranges(space),
+        "space_low": _singles(p for p in space if p < _LATIN_1),
+        "space_high": _ranges([p for p in space if p >= _LATIN_1]),
         "kept": _ranges(kept),
         "foreign": _ranges(foreign),
-        "kept_low": _ranges(sorted(set(low) & set(kept))),
-        "plain_low": _ranges(sorted(set(low) - set(foreign))),
+        "find_dropped": _finder(dropped),
+        "find_foreign": _finder(foreign),
     }
 
 
+def _singles(points: Iterable[int]) -> str:
+    return "".join(f"\\x{{{p:X}}}" for p in points)
+
+
+def _finder(points: list[int]) -> str:
+    """Pattern for one of many characters that costs little on Latin text.
+
+    Java walks all ranges of a long class for each character. Characters below 256 are looked up in a bit set instead,
+    and the letters up to the combining marks are passed over before the long class is tried.
+    """
+    wanted = set(points)
+    passed = _ranges([p for p in range(_COMBINING) if p < _LATIN_1 or p not in wanted])
+    return f"[{_singles(p for p in points if p < _LATIN_1)}]|(?![{passed}])[{_ranges([p for p in points if p >= _LATIN_1])}]"
+
+
 def nfc(text: str | Column) -> Column:
     """Unicode NFC. Only text with a character from U+0300 up is composed (by the ICU library Spark ships)."""
     text = _column(text)
@@ -67,9 +87,7 @@ def nfc(text: str | Column) -> Column:
 
 def keep_latin(text: str | Column) -> Column:
     """Drop everything but white space, digits, Latin letters, ``'`` and ``-``."""
-    classes = character_classes()
-    # The look-ahead passes the common low characters without walking the long class.
-    return F.regexp_replace(_column(text), f"(?![{classes['kept_low']}])[^{classes['kept']}]", "")
+    return F.regexp_replace(_column(text), character_classes()["find_dropped"], "")
 
 
 def strip(text: str | Column) -> Column:
@@ -80,12 +98,21 @@ def strip(text: str | Column) -> Column:
 
 def squash_spaces(text: str | Column) -> Column:
     """Runs of white space become one space; none at the ends."""
-    return F.trim(F.regexp_replace(_column(text), f"[{character_classes()['space']}]+", " "))
+    text, classes = _column(text), character_classes()
+    rare = F.regexp_replace(text, f"[{classes['space_high']}]", " ")
+    simple = F.when(text.rlike(r"[^\x{0}-\x{167F}]"), rare).otherwise(text)
+    return F.trim(F.regexp_replace(simple, f"[{classes['space_low']}]+", " "))
+
+
+def _stripped_is(text: Column, pattern: str) -> Column:
+    """Whether the stripped text matches as a whole; anchored, so long texts are not walked."""
+    space = character_classes()["space"]
+    return text.rlike(f"\\A[{space}]*(?:{pattern})[{space}]*\\z")
 
 
 def is_blank(text: str | Column) -> Column:
     """True where text is empty or white space; NULL stays NULL."""
-    return strip(text) == ""
+    return _stripped_is(_column(text), "")
 
 
 def normalize_text(text: str | Column) -> Column:
@@ -93,20 +120,19 @@ def normalize_text(text: str | Column) -> Column:
     text = F.coalesce(_column(text).cast("string"), F.lit(""))
     cleaned = squash_spaces(keep_latin(nfc(text)))
     # The cleaned text holds no line breaks, so ^$ matches only the empty string.
-    return F.when(strip(text) == PLACEHOLDER, PLACEHOLDER).otherwise(F.regexp_replace(cleaned, "^$", PLACEHOLDER))
+    return F.when(_stripped_is(text, r"\.\.\."), PLACEHOLDER).otherwise(F.regexp_replace(cleaned, "^$", PLACEHOLDER))
 
 
 def has_foreign(text: str | Column) -> Column:
     """True where the composed text has a letter whose name does not start with LATIN."""
-    classes = character_classes()
-    text = F.coalesce(_column(text), F.lit(""))
-    return nfc(text).rlike(f"(?![{classes['plain_low']}])[{classes['foreign']}]")
+    return nfc(F.coalesce(_column(text), F.lit(""))).rlike(character_classes()["find_foreign"])
 
 
 def scrub(text: str | Column) -> Column:
     """NULL and texts that readers take for missing values become the placeholder; others stay unchanged."""
     text = _column(text)
-    return F.when(text.isNull() | F.lower(strip(text)).isin(NA_LIKE), PLACEHOLDER).otherwise(text)
+    missing = _stripped_is(text, "(?i:" + "|".join(NA_LIKE) + ")")
+    return F.when(text.isNull() | missing, PLACEHOLDER).otherwise(text)
 
 
 def basename(path: str | Column) -> Column:

@@ -13,7 +13,7 @@ def join_audio(manifest: DataFrame, members: DataFrame) -> DataFrame:
 
     The member bytes stay where they were read if the manifest is small enough to broadcast.
     """
-    return members.join(small_side(manifest), ["shard", "member"])
+    return members.join(small_side(manifest, 50_000), ["shard", "member"])
 
 
 def backfill(results: DataFrame, ids: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A side is broadcast only after it was seen to be within both bounds; otherwise the join shuffles.
-BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_ROWS = 250_000
 BROADCAST_MAX_BYTES = 32 << 20
 SLICE_DIGITS = 3  # hex digits of the order hash: 4096 slices per group
 
@@ -29,20 +29,21 @@ def hash_slice(hashed: Column) -> Column:
     return F.substring(hashed, 1, SLICE_DIGITS)
 
 
-def number_slice(order: str | Column, rows: int = 4096) -> Column:
+def number_slice(order: str | Column, rows: int = 1 << 16) -> Column:
     """Slices of ``rows`` consecutive values of a whole-number order column."""
     order = F.col(order) if isinstance(order, str) else order
     return F.floor(order / rows)
 
 
-def small_side(df: DataFrame) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``df`` as a broadcast table if it is within the bounds, else ``df`` unchanged.
 
-    Reads at most the bound plus one row to the driver.
+    Reads at most the bound plus one row to the driver; give a lower bound for rows that hold texts.
     """
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     df = df.select(*[F.col(f"`{f.name}`").cast(_nullable(f.dataType)).alias(f.name) for f in df.schema])
-    head = df.limit(BROADCAST_MAX_ROWS + 1).toArrow()
-    if head.num_rows > BROADCAST_MAX_ROWS or head.nbytes > BROADCAST_MAX_BYTES:
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows or head.nbytes > BROADCAST_MAX_BYTES:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(head))
 
@@ -179,6 +180,8 @@ def take_ranks(
     if not ranks:
         return df
     cutoffs = rank_cutoffs(df, by, coarse, order, ranks)
+    if not by:
+        return _between(df, cutoffs.first(), order, skip, take)
     position = F.struct(*order)
     keep = F.lit(True)
     if skip:
@@ -188,6 +191,21 @@ def take_ranks(
     return attach(df, cutoffs, by).filter(keep).select(*df.columns)
 
 
+def _between(df: DataFrame, ends, order: list[Column], skip: int, take: int) -> DataFrame:
+    """``take_ranks`` of a table without groups: both ends are constants.
+
+    The bounds on the first order column are stated on their own, so that the scan can skip files and row groups.
+    """
+    types = df.select(F.struct(*order).alias("o")).schema["o"].dataType
+    if skip:
+        if ends["_low"] is None:
+            return df.filter(F.lit(False))
+        df = df.filter((order[0] >= F.lit(ends["_low"][0])) & (F.struct(*order) > _literal(ends["_low"], types)))
+    if take and ends["_total"] > skip + take:
+        df = df.filter((order[0] <= F.lit(ends["_high"][0])) & (F.struct(*order) <= _literal(ends["_high"], types)))
+    return df
+
+
 def with_previous(df: DataFrame, by: list[str], coarse: Column, order: list[str], value: str, name: str) -> DataFrame:
     """Add ``value`` of the row before in ``by`` by ``order`` (NULL for the first), slice by slice.
 

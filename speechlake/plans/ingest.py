@@ -16,7 +16,7 @@ from speechlake.operators.sample import SEED, cap_per_group, carve_splits, eval_
 from speechlake.schemas import LAKE_COLUMNS
 from speechlake.session import small_batches, staged
 from speechlake.sources.corpora import archive_listing, list_shards, read_archives, read_clips, read_manifest
-from speechlake.sources.tables import has_data, write_lake
+from speechlake.sources.tables import ROW_GROUP_ROWS, has_data, write_lake
 
 SOURCE_SPLITS = ["train", "validation", "test"]
 
@@ -55,7 +55,7 @@ def land(
     Clips are decoded once into a table in the shared scratch folder. If more than ``max_bad`` failed, nothing lands.
     """
     spark = decoded.sparkSession
-    with small_batches(spark), staged(decoded, "decoded") as rows:
+    with small_batches(spark), staged(decoded, "decoded", ROW_GROUP_ROWS) as rows:
         good, bad = split_good_bad(enforce_budget(rows, max_bad=max_bad))
         if quarantine:
             bad.select(*keep, "error").write.mode("append").parquet(quarantine)
@@ -88,8 +88,8 @@ def manifest_clips(
     spark: SparkSession, root: str, folders: list[str] | None = None, max_shards: int = 0, per_folder: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(labeled manifest lines joined to the bytes of their archive member, broken lines and archives)."""
-    paths: str | list[str] = root
-    if max_shards or folders:
+    paths: str | list[str] = [f"{root.rstrip('/')}/{f}" for f in folders] if folders else root
+    if max_shards:
         paths = [row.path for row in list_shards(spark, root, "manifest_", folders, max_shards, per_folder).collect()]
     lines, broken_lines = split_good_bad(read_manifest(spark, paths))
     labeled = drop_unlabeled(lines)

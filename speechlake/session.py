@@ -74,14 +74,16 @@ def hadoop_path(spark: SparkSession, path: str):
 
 
 @contextmanager
-def staged(df: DataFrame, name: str = "stage"):
+def staged(df: DataFrame, name: str = "stage", group_rows: int | None = None):
     """Write ``df`` once as parquet in the shared folder and read it back.
 
-    For expensive rows (decoded audio) that several outputs need; survives the loss of executors.
+    For expensive rows (decoded audio) that several outputs need; survives the loss of executors. ``group_rows`` bounds
+    the row groups, and so the memory of a writer, where rows are large.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    writer = df.write if group_rows is None else df.write.option("parquet.block.row.count.limit", group_rows)
+    writer.parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:

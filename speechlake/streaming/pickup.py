@@ -12,7 +12,7 @@ from speechlake.operators.quality import split_good_bad
 from speechlake.operators.sample import SEED, carve_splits
 from speechlake.session import small_batches, staged
 from speechlake.sources.corpora import archive_listing, manifest_lines, parse_manifest, read_archives
-from speechlake.sources.tables import write_lake
+from speechlake.sources.tables import ROW_GROUP_ROWS, write_lake
 
 
 def stream_ingest(
@@ -42,7 +42,7 @@ def stream_ingest(
             labeled = drop_unlabeled(good)
             members = read_archives(archive_listing(session, root), labeled)
             clips = join_audio(labeled, members.filter(F.col("member").isNotNull()).drop("archive_error"))
-            with staged(ingest_audio(clips, "raw", decoders), "decoded") as decoded:
+            with staged(ingest_audio(clips, "raw", decoders), "decoded", ROW_GROUP_ROWS) as decoded:
                 heard, failed = split_good_bad(decoded)
                 if split is None:
                     keyed = heard.withColumn("_key", F.concat_ws("#", "shard", "member"))
