@@ -6,10 +6,11 @@ from checks.registry import check, table
 from checks.text import _normalize_sql
 from speechlake.functions.text import normalize_text
 from speechlake.operators.aggregate import language_hours
+from speechlake.operators.audio import encode_waves
 from speechlake.operators.project import drop_unlabeled
 from speechlake.session import scratch_path
 from speechlake.sources import tables as T
-from speechlake.sources.corpora import read_manifest
+from speechlake.sources.corpora import read_clips, read_manifest
 
 
 def _lake(spark, sf):
@@ -83,3 +84,58 @@ def manifest(spark, sf):
     line = F.to_json(F.struct(F.col("doc_id").cast("string").alias("audio_filepath"), text.alias("transcription"), F.col("lang").alias("locale")))
     docs.select(line.alias("value"), "source").write.partitionBy("source").text(path)
     return drop_unlabeled(read_manifest(spark, path, "*.txt")).select("member", "transcription", "locale")
+
+
+@check(
+    "s5_read_clips",
+    """select split, text as transcription, lang as language, md5(text) as audio_md5
+    from (select *, case when lang = 'en' then 'train' else 'validation' end as split from documents)""",
+)
+def clips(spark, sf):
+    path = scratch_path(spark, "clips")
+    audio = F.struct(F.col("text").cast("binary").alias("bytes"), F.lit(None).cast("string").alias("path"))
+    docs = table(spark, sf, "documents").select(
+        F.col("text").alias("transcription"), F.col("lang").alias("language"), F.lit("own").alias("split"), audio.alias("audio")
+    )
+    docs.filter("language = 'en'").write.parquet(f"{path}/train")
+    docs.filter("language <> 'en'").write.parquet(f"{path}/validation")
+    parts = [read_clips(spark, path, split).withColumn("split", F.lit(split)) for split in ("train", "validation")]
+    return parts[0].unionByName(parts[1]).select("split", "transcription", "language", F.md5("audio.bytes").alias("audio_md5"))
+
+
+def _testset(spark, sf):
+    """The embeddings as WAV clips in nested folders."""
+    path = scratch_path(spark, "testset")
+    waves = table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("string").alias("id"), F.concat(F.lit("l"), "label").alias("language"), "label",
+        F.col("embedding").alias("wave"), F.lit(16_000).alias("sample_rate"),
+    )
+    encoded = encode_waves(waves).select("id", "language", F.struct(F.col("audio_bytes").alias("bytes")).alias("audio"), "label")
+    encoded.write.partitionBy("label").parquet(f"{path}/nested")
+    return path
+
+
+@check("s7_read_testset", "select vec_id::varchar as id, 'l' || label as language, 44 + 2 * 64 as bytes from embeddings")
+def testset(spark, sf):
+    clips = T.read_testset(spark, _testset(spark, sf), "part-*.parquet")
+    return clips.select("id", "language", F.length("audio_bytes").cast("bigint").alias("bytes"))
+
+
+@check("s8_read_ids", "select vec_id::varchar as id, 'l' || label as language from embeddings")
+def ids(spark, sf):
+    return T.read_ids(spark, _testset(spark, sf), "part-*.parquet").select("id", "language")
+
+
+@check(
+    "k4_write_transcripts",
+    """select 'ref' as side, trim(regexp_replace(a.text, '\\s+', ' ', 'g')) as line from benchmark a join benchmark b on b.item_id = a.item_id + 1
+    union all select 'hyp', trim(regexp_replace(b.text, '\\s+', ' ', 'g')) from benchmark a join benchmark b on b.item_id = a.item_id + 1""",
+)
+def transcripts(spark, sf):
+    path = scratch_path(spark, "transcripts")
+    items = table(spark, sf, "benchmark")
+    refs = items.select(F.col("item_id").alias("utt_id"), F.col("text").alias("ref"))
+    hyps = items.select((F.col("item_id") - 1).alias("utt_id"), F.col("text").alias("hyp"))
+    T.write_transcripts(refs.join(hyps, "utt_id"), path)
+    sides = [spark.read.text(f"{path}/{side}").select(F.lit(side).alias("side"), F.col("value").alias("line")) for side in ("ref", "hyp")]
+    return sides[0].unionByName(sides[1])

@@ -8,7 +8,7 @@ Arrow batches.
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,32 +70,40 @@ def _unit_scores(ref: pa.Array, hyp: pa.Array) -> pa.Array:
     return _scores((r or [], h or []) for r, h in zip(ref.to_pylist(), hyp.to_pylist()))
 
 
-def word_errors(df: DataFrame, ref: str = "ref", hyp: str = "hyp") -> DataFrame:
-    """Add ``score``: ``errors`` (word edits from ref to hyp) and ``length`` (words of ref)."""
-    return df.withColumn("score", _word_scores(ref, hyp))
+def word_errors(df: DataFrame, ref: str = "ref", hyp: str = "hyp", name: str = "words") -> DataFrame:
+    """Add a struct of ``errors`` (word edits from ref to hyp) and ``length`` (words of ref)."""
+    return df.withColumn(name, _word_scores(ref, hyp))
 
 
-def unit_errors(df: DataFrame, ref: str = "ref_tokens", hyp: str = "hyp_tokens") -> DataFrame:
+def unit_errors(df: DataFrame, ref: str = "ref_tokens", hyp: str = "hyp_tokens", name: str = "units") -> DataFrame:
     """The same on arrays of tokens."""
-    return df.withColumn("score", _unit_scores(ref, hyp))
+    return df.withColumn(name, _unit_scores(ref, hyp))
 
 
-def _rate(df: DataFrame, by: list[str], name: str) -> DataFrame:
+def _percent(score: str) -> Column:
+    return F.try_divide(F.sum(f"{score}.errors") * 100, F.sum(f"{score}.length"))
+
+
+def _rate(df: DataFrame, by: list[str], score: str, name: str) -> DataFrame:
     return df.groupBy(*by).agg(
-        F.sum("score.errors").alias("errors"),
-        F.sum("score.length").alias("length"),
-        F.try_divide(F.sum("score.errors") * 100, F.sum("score.length")).alias(name),
+        F.sum(f"{score}.errors").alias("errors"), F.sum(f"{score}.length").alias("length"), _percent(score).alias(name)
     )
 
 
 def wer(df: DataFrame, by: list[str] = (), ref: str = "ref", hyp: str = "hyp") -> DataFrame:
     """Word error rate in percent, with its edits and reference words."""
-    return _rate(word_errors(df.select(*by, ref, hyp), ref, hyp), list(by), "wer")
+    return _rate(word_errors(df.select(*by, ref, hyp), ref, hyp), list(by), "words", "wer")
 
 
 def uer(df: DataFrame, by: list[str] = (), ref: str = "ref_tokens", hyp: str = "hyp_tokens") -> DataFrame:
     """Unit (token) error rate in percent, with its edits and reference tokens."""
-    return _rate(unit_errors(df.select(*by, ref, hyp), ref, hyp), list(by), "uer")
+    return _rate(unit_errors(df.select(*by, ref, hyp), ref, hyp), list(by), "units", "uer")
+
+
+def error_rates(df: DataFrame, by: list[str] = ()) -> DataFrame:
+    """``wer`` and ``uer`` of rows with ``ref``, ``hyp``, ``ref_tokens`` and ``hyp_tokens``, in one pass."""
+    both = unit_errors(word_errors(df))
+    return both.groupBy(*by).agg(_percent("words").alias("wer"), _percent("units").alias("uer"))
 
 
 def publish_gate(df: DataFrame, floor: float = 1.0) -> DataFrame:

@@ -8,7 +8,7 @@ from speechlake.operators.join import pair_transcripts
 from speechlake.operators.project import MAX_AUDIO_LEN, MIN_AUDIO_LEN, drop_unlabeled, filter_length
 from speechlake.operators.ranking import join_null_safe
 from speechlake.operators.sample import BETA, SEED, mix_quotas, mix_weights, temperature_sample
-from speechlake.operators.score import uer, wer
+from speechlake.operators.score import error_rates
 from speechlake.operators.sequence import (
     BLANK,
     MAX_ELEMENTS,
@@ -59,7 +59,9 @@ def score(
     units = collect_sequences(tokens.select("utt_id", "frame_idx", "token"), references, by, order, coarse)
     texts = decode_tokens(tokens, vocab, by, order, coarse).withColumnRenamed("text", "hyp")
     whole = join_null_safe(references.select("utt_id"), texts, by, "left").withColumn("hyp", F.coalesce("hyp", F.lit("")))
-    words = wer(pair_transcripts(references.select("utt_id", "ref"), whole))
-    pairs = references.select("utt_id", "ref_tokens").join(units.withColumnRenamed("tokens", "hyp_tokens"), "utt_id")
-    rates = words.select(F.lit(0).alias("_one"), "wer").join(uer(pairs).select(F.lit(0).alias("_one"), "uer"), "_one")
-    return rates.select("wer", "uer")
+    pairs = (
+        pair_transcripts(references.select("utt_id", "ref"), whole)
+        .join(references.select("utt_id", "ref_tokens"), "utt_id")
+        .join(units.withColumnRenamed("tokens", "hyp_tokens"), "utt_id")
+    )
+    return error_rates(pairs)
