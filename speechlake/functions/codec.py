@@ -6,6 +6,7 @@ import wave
 from collections.abc import Callable
 
 import numpy as np
+from numpy.lib.stride_tricks import as_strided
 
 from speechlake.schemas import SAMPLE_RATE
 
@@ -15,6 +16,7 @@ Decoder = Callable[[bytes], tuple[np.ndarray, int]]
 # Fixed values of the windowed-sinc resampling filter: zero crossings kept per side, and its cut-off share.
 _FILTER_WIDTH = 6
 _ROLLOFF = 0.99
+_BLOCK = 1 << 20  # inputs taken at a time
 
 
 def decode_wav(data: bytes) -> tuple[np.ndarray, int]:
@@ -52,34 +54,36 @@ def downmix(samples: np.ndarray) -> np.ndarray:
     return samples.reshape(-1)
 
 
-_filters: dict[tuple[int, int], tuple[np.ndarray, int]] = {}  # per worker; sources have few rates
-
-
-def _filter_bank(source: int, target: int) -> tuple[np.ndarray, int]:
-    """Weights (target phases x taps) and the taps before the first sample, for rates without a common factor."""
-    if (source, target) in _filters:
-        return _filters[source, target]
-    cutoff = min(source, target) * _ROLLOFF
-    before = math.ceil(_FILTER_WIDTH * source / cutoff)
-    taps = np.arange(-before, before + source)
-    distance = taps[None, :] / source - np.arange(target)[:, None] / target
-    distance = np.clip(distance * cutoff, -_FILTER_WIDTH, _FILTER_WIDTH)
-    hann = np.cos(distance * np.pi / _FILTER_WIDTH / 2) ** 2
-    _filters[source, target] = np.sinc(distance) * hann * (cutoff / source), before
-    return _filters[source, target]
-
-
 def resample(samples: np.ndarray, rate: int, target: int = SAMPLE_RATE) -> np.ndarray:
-    """Band-limited resampling with a Hann-windowed sinc; gives ceil(n * target / rate) samples."""
+    """Band-limited resampling with a Hann-windowed sinc; gives ceil(n * target / rate) samples.
+
+    Outputs repeat in phases: ``steps`` outputs span ``source`` inputs. Every phase has its own weights for the inputs
+    within reach, and long clips are worked off in blocks.
+    """
     if rate == target:
         return samples
     common = math.gcd(rate, target)
     source, steps = rate // common, target // common
-    weights, before = _filter_bank(source, steps)
+    cutoff = min(source, steps) * _ROLLOFF
+    reach = math.ceil(_FILTER_WIDTH * source / cutoff)
+    phases, taps = np.arange(steps), np.arange(2 * reach + 2)
+    first = phases * source // steps - reach
+    distance = ((first[:, None] + taps) / source - phases[:, None] / steps) * cutoff
+    distance = np.clip(distance, -_FILTER_WIDTH, _FILTER_WIDTH)
+    weights = np.sinc(distance) * np.cos(distance * np.pi / _FILTER_WIDTH / 2) ** 2 * (cutoff / source)
+
     length = math.ceil(len(samples) * steps / source)
-    padded = np.pad(np.asarray(samples, np.float64), (before, before + source))
-    windows = np.lib.stride_tricks.sliding_window_view(padded, weights.shape[1])[::source]
-    return (windows @ weights.T).reshape(-1)[:length].astype(np.float32)
+    rounds = math.ceil(length / steps)
+    padded = np.pad(np.asarray(samples, np.float32), (reach, reach + 2 * source + 4))
+    output = np.empty((rounds, steps), np.float32)
+    block = max(1, _BLOCK // len(taps))
+    for start in range(0, rounds, block):
+        size = min(block, rounds - start)
+        for phase in phases:
+            begin = padded[start * source + reach + first[phase] :]
+            inputs = as_strided(begin, (size, len(taps)), (source * padded.itemsize, padded.itemsize))
+            output[start : start + size, phase] = inputs.astype(np.float64) @ weights[phase]
+    return output.reshape(-1)[:length]
 
 
 def encode_wav(samples: np.ndarray, rate: int = SAMPLE_RATE) -> bytes:
