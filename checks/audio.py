@@ -107,12 +107,21 @@ def _mixed_clips(spark, sf):
     return clips.withColumn("audio_bytes", audio)
 
 
-@check("u9_ingest_audio", "select vec_id, 64 as audio_size, 64 * 2 + 44 as bytes from embeddings where label > 1")
+@check("u9_ingest_audio", "select vec_id, 64::bigint as audio_size, (64 * 2 + 44)::bigint as bytes from embeddings where label > 1")
 def ingest_audio(spark, sf):
     good = drop_failed(U.ingest_audio(U.to_int8_list(_mixed_clips(spark, sf))))
     return good.select("vec_id", "audio_size", F.length("audio_bytes").cast("bigint").alias("bytes"))
 
 
+@check("u9_ingest_resampled", "select vec_id, 32000::bigint as audio_size, (32000 * 2 + 44)::bigint as bytes from embeddings")
+def ingest_resampled(spark, sf):
+    """Clips of two seconds at 48 kHz: each vector over and over."""
+    long = F.flatten(F.array_repeat("wave", 1500))
+    clips = U.encode_waves(_waves(spark, sf).select("vec_id", long.alias("wave"), F.lit(48_000).alias("sample_rate")))
+    good = drop_failed(U.ingest_audio(clips))
+    return good.select("vec_id", "audio_size", F.length("audio_bytes").cast("bigint").alias("bytes"))
+
+
 @check(
     "u9_failed_clips",
     """select vec_id, case label when 0 then 'no audio' else 'wav' end as reason from embeddings where label <= 1""",

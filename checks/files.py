@@ -115,7 +115,7 @@ def _testset(spark, sf):
     return path
 
 
-@check("s7_read_testset", "select vec_id::varchar as id, 'l' || label as language, 44 + 2 * 64 as bytes from embeddings")
+@check("s7_read_testset", "select vec_id::varchar as id, 'l' || label as language, (44 + 2 * 64)::bigint as bytes from embeddings")
 def testset(spark, sf):
     clips = T.read_testset(spark, _testset(spark, sf), "part-*.parquet")
     return clips.select("id", "language", F.length("audio_bytes").cast("bigint").alias("bytes"))

@@ -105,7 +105,7 @@ def mean_loss_bits(spark, sf):
 
 @check(
     "a12_running_totals",
-    """select o_orderkey as step, sum(o_custkey) over w as total_num_elements, count(*) over w as total_num_examples
+    """select o_orderkey as step, (sum(o_custkey) over w)::bigint as total_num_elements, count(*) over w as total_num_examples
     from orders window w as (partition by o_orderstatus order by o_orderkey rows unbounded preceding)""",
 )
 def totals(spark, sf):

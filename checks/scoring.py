@@ -27,10 +27,6 @@ def _hour():
     return F.date_trunc("hour", "ts")
 
 
-def _minute():
-    return F.date_trunc("minute", "ts")
-
-
 def _events(spark, sf):
     """Events of a user on a day are the frames of an utterance."""
     kind = F.array_position(F.array(*[F.lit(t) for t in _TYPES]), F.col("event_type")) - 1
@@ -66,7 +62,7 @@ _COLLAPSED = f"""frames as (select user_id, strftime(ts, '%Y-%m-%d') as day, ts,
 
 def _sequences(spark, sf):
     frames = _events(spark, sf)
-    by, coarse = ["user_id", "day"], _minute()
+    by, coarse = ["user_id", "day"], _hour()
     tokens = W.greedy_collapse(frames, by, _EVENT_ORDER, coarse)
     return W.collect_sequences(tokens, frames.select(*by).distinct(), by, _EVENT_ORDER, coarse)
 
@@ -105,7 +101,7 @@ def decode_tokens(spark, sf):
         F.concat(F.substring("event_type", 1, 3), F.lit(" ")).alias("piece"),
         (F.col("event_type") == "error").alias("special"),
     ).distinct()
-    return W.decode_tokens(events, vocab, ["user_id", "day"], _EVENT_ORDER, _minute())
+    return W.decode_tokens(events, vocab, ["user_id", "day"], _EVENT_ORDER, _hour())
 
 
 _PAIRS = f"""pairs as (select a.item_id as id, substr(a.text, 1, 1) as split, {_words_sql('a.text')} as r, {_words_sql('b.text')} as h
@@ -183,7 +179,7 @@ _UNITS = f"""{_COLLAPSED}, refs as (select user_id, day, string_agg({_LETTER_SQL
 
 def _token_pairs(spark, sf):
     frames = _events(spark, sf)
-    refs = W.collect_ordered(frames, ["user_id", "day"], _EVENT_ORDER, "token", _minute(), "ref_tokens")
+    refs = W.collect_ordered(frames, ["user_id", "day"], _EVENT_ORDER, "token", _hour(), "ref_tokens")
     return refs.join(_sequences(spark, sf).withColumnRenamed("tokens", "hyp_tokens"), ["user_id", "day"])
 
 

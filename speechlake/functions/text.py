@@ -115,17 +115,21 @@ def is_blank(text: str | Column) -> Column:
     return _stripped_is(_column(text), "")
 
 
-def normalize_text(text: str | Column) -> Column:
-    """Cleaned text; the placeholder stays as it is and replaces NULL and whatever cleans to nothing."""
+def normalize_text(text: str | Column, composed: str | Column | None = None) -> Column:
+    """Cleaned text; the placeholder stays as it is and replaces NULL and whatever cleans to nothing.
+
+    ``composed`` is the NFC of the text where it is at hand already.
+    """
     text = F.coalesce(_column(text).cast("string"), F.lit(""))
-    cleaned = squash_spaces(keep_latin(nfc(text)))
+    cleaned = squash_spaces(keep_latin(nfc(text) if composed is None else composed))
     # The cleaned text holds no line breaks, so ^$ matches only the empty string.
     return F.when(_stripped_is(text, r"\.\.\."), PLACEHOLDER).otherwise(F.regexp_replace(cleaned, "^$", PLACEHOLDER))
 
 
-def has_foreign(text: str | Column) -> Column:
+def has_foreign(text: str | Column, composed: str | Column | None = None) -> Column:
     """True where the composed text has a letter whose name does not start with LATIN."""
-    return nfc(F.coalesce(_column(text), F.lit(""))).rlike(character_classes()["find_foreign"])
+    composed = nfc(F.coalesce(_column(text), F.lit(""))) if composed is None else _column(composed)
+    return composed.rlike(character_classes()["find_foreign"])
 
 
 def scrub(text: str | Column) -> Column:

@@ -90,9 +90,9 @@ def normalize_metrics(text: str = "transcription") -> list[Column]:
 
 def normalized(df: DataFrame, text: str = "transcription") -> DataFrame:
     """Clean ``text`` and mark rows that changed beyond composition and rows that had foreign letters."""
-    before = F.coalesce(F.col(text), F.lit(""))
-    cleaned = df.withColumns(
-        {"_composed": nfc(before), "_foreign": has_foreign(text), text: normalize_text(text)}
+    composed = df.withColumn("_composed", nfc(F.coalesce(F.col(text), F.lit(""))))
+    cleaned = composed.withColumns(
+        {"_foreign": has_foreign(text, "_composed"), text: normalize_text(text, "_composed")}
     )
     return cleaned.withColumn("_changed", F.col("_composed") != F.col(text)).drop("_composed")
 

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +52,11 @@ def small_batches(spark: SparkSession, rows: int = CLIP_BATCH_ROWS):
         spark.conf.set(name, before)
 
 
+@lru_cache(maxsize=1)
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="speechlake-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -58,9 +64,7 @@ def scratch_root(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    named = tempfile.mkdtemp(prefix="speechlake-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return _local_scratch()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
