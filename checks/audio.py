@@ -117,7 +117,8 @@ def ingest_audio(spark, sf):
 def ingest_resampled(spark, sf):
     """Clips of two seconds at 48 kHz: each vector over and over."""
     long = F.flatten(F.array_repeat("wave", 1500))
-    clips = U.encode_waves(_waves(spark, sf).select("vec_id", long.alias("wave"), F.lit(48_000).alias("sample_rate")))
+    spread = _waves(spark, sf).repartition(spark.sparkContext.defaultParallelism)  # the vectors fit one task, the clips do not
+    clips = U.encode_waves(spread.select("vec_id", long.alias("wave"), F.lit(48_000).alias("sample_rate")))
     good = drop_failed(U.ingest_audio(clips))
     return good.select("vec_id", "audio_size", F.length("audio_bytes").cast("bigint").alias("bytes"))
 

@@ -161,8 +161,10 @@ _RESULTS = f"(select * from ({SUBMISSION_SQL}) where id in (select doc_id::varch
     select doc_id::varchar, lang, '...' from documents where doc_id not in (select doc_id from labels)""",
 )
 def backfill(spark, sf):
-    ids = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("language"))
-    return J.backfill(_results(spark, sf), ids)
+    ids = table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("language"), "doc_id"
+    )
+    return J.backfill(_results(spark, sf), ids, ["doc_id"])
 
 
 @check(

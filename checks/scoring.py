@@ -161,10 +161,9 @@ _REPLACED = ["the", "and", "la", "de", "der"]
     round(sum(len(list_filter(r, lambda w: lower(w) in ('the', 'and', 'la', 'de', 'der')))) * 100 / sum(len(r)), 6) as wer from w group by language""",
 )
 def wer_documents(spark, sf):
-    words = F.filter(F.split("text", f"[{_SPACE}]+"), lambda w: w != "")
-    heard = F.transform(words, lambda w: F.when(F.lower(w).isin(_REPLACED), "#").otherwise(w))
+    heard = F.regexp_replace("text", f"(?i)(?<!\\S)({'|'.join(_REPLACED)})(?!\\S)", "#")
     pairs = table(spark, sf, "documents").select(
-        F.col("lang").alias("language"), F.col("text").alias("ref"), F.array_join(heard, " ").alias("hyp")
+        F.col("lang").alias("language"), F.col("text").alias("ref"), heard.alias("hyp")
     )
     return E.wer(pairs, ["language"]).withColumn("wer", F.round("wer", 6))
 

@@ -11,23 +11,23 @@ from speechlake.operators.ranking import small_side
 def join_audio(manifest: DataFrame, members: DataFrame) -> DataFrame:
     """Manifest lines with the bytes of their archive member; lines without a member are dropped.
 
-    The member bytes stay where they were read if the manifest is small enough to broadcast.
+    Rows that tell of a broken archive (``archive_error``) are kept, so that one read of the archives gives both. The
+    member bytes stay where they were read if the manifest is small enough to broadcast.
     """
-    return members.join(small_side(manifest, 50_000), ["shard", "member"])
+    keys = ["shard", "member"]
+    if "archive_error" not in members.columns:
+        return members.join(small_side(manifest, 50_000), keys)
+    lines = small_side(manifest.withColumn("_listed", F.lit(True)), 50_000)
+    return members.join(lines, keys, "left").filter("_listed or archive_error is not null").drop("_listed")
 
 
-def backfill(results: DataFrame, ids: DataFrame) -> DataFrame:
-    """Add every known id that has no result, with the placeholder as its text."""
-    known = ids.select("id", "language")
-    missing = known.groupBy("id").agg(F.min("language").alias("language")).join(results.select("id"), "id", "left_anti")
+def backfill(results: DataFrame, ids: DataFrame, order: list[str]) -> DataFrame:
+    """Add every known id that has no result, with the placeholder as its text and its first language by ``order``."""
+    known = keep_first(ids.select("id", "language", *order), ["id"], order).select("id", "language")
+    missing = known.join(results.select("id"), "id", "left_anti")
     return results.unionByName(missing.withColumn("transcription", F.lit(PLACEHOLDER)))
 
 
-def first_ids(ids: DataFrame, order: list[str]) -> DataFrame:
-    """Each id once, with the language of its first row."""
-    return keep_first(ids, ["id"], order).select("id", "language")
-
-
 def _unique(df: DataFrame, key: str, text: str) -> DataFrame:
     one = F.assert_true(F.count("*") == 1, F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string")))
     grouped = df.groupBy(key).agg(F.min(text).alias(text), one.alias("_one"))

@@ -15,7 +15,7 @@ from speechlake.operators.ranking import number_slice
 from speechlake.operators.sample import SEED, cap_per_group, carve_splits, eval_head, skip_take
 from speechlake.schemas import LAKE_COLUMNS
 from speechlake.session import small_batches, staged
-from speechlake.sources.corpora import archive_listing, list_shards, read_archives, read_clips, read_manifest
+from speechlake.sources.corpora import archive_listing, list_shards, missing_archives, read_archives, read_clips, read_manifest
 from speechlake.sources.tables import ROW_GROUP_ROWS, has_data, write_lake
 
 SOURCE_SPLITS = ["train", "validation", "test"]
@@ -84,48 +84,57 @@ def ingest_clips(
     )
 
 
-def manifest_clips(
-    spark: SparkSession, root: str, folders: list[str] | None = None, max_shards: int = 0, per_folder: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """(labeled manifest lines joined to the bytes of their archive member, broken lines and archives)."""
-    paths: str | list[str] = [f"{root.rstrip('/')}/{f}" for f in folders] if folders else root
-    if max_shards:
-        paths = [row.path for row in list_shards(spark, root, "manifest_", folders, max_shards, per_folder).collect()]
-    lines, broken_lines = split_good_bad(read_manifest(spark, paths))
-    labeled = drop_unlabeled(lines)
-    members = read_archives(archive_listing(spark, root), labeled)
-    joined = join_audio(labeled, members.filter(F.col("member").isNotNull()).drop("archive_error"))
-    broken = broken_lines.select("shard", "member", "error").unionByName(
-        members.filter(F.col("archive_error").isNotNull()).select("shard", "member", F.col("archive_error").alias("error"))
-    )
-    return joined, broken
+MANIFEST_COLUMNS = ["shard", "member", "path", "line_block", "line_id", "transcription", "audio_size", "audio_bytes", "error"]
+
+
+def decode_manifests(
+    spark: SparkSession, root: str, lines: DataFrame, decoders=DEFAULT_DECODERS, decode_tasks: int = 0
+) -> DataFrame:
+    """Decoded clips of the labeled manifest lines, one row each, and an ``error`` row for whatever was lost.
+
+    Lost are broken lines, clips that no decoder takes, broken archives and shards without an archive. An archive is
+    read by one task, which decodes its clips too; with few large archives, ``decode_tasks`` spreads the clips first.
+    """
+    good, broken_lines = split_good_bad(lines)
+    labeled = drop_unlabeled(good)
+    archives = archive_listing(spark, root)
+    clips = join_audio(labeled, read_archives(archives, labeled))
+    if decode_tasks:
+        clips = clips.repartition(decode_tasks, "shard", "member")
+    decoded = ingest_audio(clips, "raw", decoders).withColumn("error", F.coalesce("archive_error", "error"))
+    lost = broken_lines.select("shard", "member", "error").unionByName(missing_archives(archives, labeled))
+    return decoded.select(*MANIFEST_COLUMNS).unionByName(lost, allowMissingColumns=True)
+
+
+def name_manifest_rows(good: DataFrame, language: str, corpus: str, split: Column | None, seed: int = SEED) -> DataFrame:
+    """Decoded manifest clips in lake schema; without ``split``, splits are carved by a hash of the clip."""
+    if split is None:
+        good = carve_splits(good.withColumn("_key", F.concat_ws("#", "shard", "member")), "_key", seed=seed)
+        split = F.col("split")
+    return to_lake_schema(good.withColumn("language", F.lit(language)), split, corpus)
 
 
 def ingest_manifests(
     spark: SparkSession, root: str, out: str, language: str, corpus: str, split: Column | None = None,
     folders: list[str] | None = None, max_shards: int = 0, max_clips_per_shard: int = 0, seed: int = SEED,
-    decoders=DEFAULT_DECODERS, quarantine: str | None = None, max_bad: int = MAX_BAD_UNITS,
+    decoders=DEFAULT_DECODERS, quarantine: str | None = None, max_bad: int = MAX_BAD_UNITS, per_folder: bool = False,
+    decode_tasks: int = 0,
 ) -> int:
     """Ingest one source of manifests and archive shards.
 
     ``split`` is an expression on ``path`` (the manifest file); without it, splits are carved by a hash of the clip.
     ``max_clips_per_shard`` counts decoded clips in manifest order.
     """
-    clips, broken = manifest_clips(spark, root, folders, max_shards)
-    decoded = ingest_audio(clips, "raw", decoders)
-    columns = ["shard", "member", "path", "line_block", "line_id", "transcription", "audio_size", "audio_bytes", "error"]
-    failed = broken.select(*[F.col(c) if c in broken.columns else F.lit(None).cast(decoded.schema[c].dataType).alias(c) for c in columns])
+    paths: str | list[str] = [f"{root.rstrip('/')}/{f}" for f in folders] if folders else root
+    if max_shards:
+        paths = [row.path for row in list_shards(spark, root, "manifest_", folders, max_shards, per_folder).collect()]
 
     def pick(good: DataFrame) -> DataFrame:
         capped = cap_per_group(good, ["shard"], ["line_block", "line_id"], F.col("line_block"), max_clips_per_shard)
-        if split is None:
-            keyed = capped.withColumn("_key", F.concat_ws("#", "shard", "member"))
-            named = carve_splits(keyed, "_key", seed=seed)
-        else:
-            named = capped.withColumn("split", split)
-        return to_lake_schema(named.withColumn("language", F.lit(language)), F.col("split"), corpus)
-
-    return land(decoded.select(*columns).unionByName(failed), out, quarantine, max_bad, pick, ["shard", "member"])
+        return name_manifest_rows(capped, language, corpus, split, seed)
+
+    decoded = decode_manifests(spark, root, read_manifest(spark, paths), decoders, decode_tasks)
+    return land(decoded, out, quarantine, max_bad, pick, ["shard", "member"])
 
 
 def ingest_all(spark: SparkSession, sources: dict[str, Callable[[], int]], parallel: int = 1) -> DataFrame:

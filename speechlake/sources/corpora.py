@@ -159,6 +159,12 @@ def read_archives(archives: DataFrame, labeled: DataFrame | None = None) -> Data
     return members.select(shard.alias("shard"), "member", "raw", "archive_error")
 
 
+def missing_archives(archives: DataFrame, labeled: DataFrame) -> DataFrame:
+    """Shards that have labeled lines but no archive, as error rows."""
+    lost = labeled.select("shard").distinct().join(archives.select("shard"), "shard", "left_anti")
+    return lost.select("shard", F.lit(None).cast("string").alias("member"), F.lit("archive: missing").alias("error"))
+
+
 def read_clips(spark: SparkSession, root: str, split: str) -> DataFrame:
     """Clip table of one split folder, audio as it is, with a unique ``clip_key`` and its place in the source."""
     return (

@@ -5,13 +5,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from speechlake.functions.codec import DEFAULT_DECODERS
-from speechlake.operators.audio import ingest_audio
-from speechlake.operators.join import join_audio
-from speechlake.operators.project import drop_unlabeled, to_lake_schema
 from speechlake.operators.quality import split_good_bad
-from speechlake.operators.sample import SEED, carve_splits
+from speechlake.operators.sample import SEED
+from speechlake.plans.ingest import decode_manifests, name_manifest_rows
 from speechlake.session import small_batches, staged
-from speechlake.sources.corpora import archive_listing, manifest_lines, parse_manifest, read_archives
+from speechlake.sources.corpora import manifest_lines, parse_manifest
 from speechlake.sources.tables import ROW_GROUP_ROWS, write_lake
 
 
@@ -38,22 +36,13 @@ def stream_ingest(
     def land_batch(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         with staged(batch, "manifest") as rows, small_batches(session):
-            good, broken = split_good_bad(rows)
-            labeled = drop_unlabeled(good)
-            members = read_archives(archive_listing(session, root), labeled)
-            clips = join_audio(labeled, members.filter(F.col("member").isNotNull()).drop("archive_error"))
-            with staged(ingest_audio(clips, "raw", decoders), "decoded", ROW_GROUP_ROWS) as decoded:
-                heard, failed = split_good_bad(decoded)
-                if split is None:
-                    keyed = heard.withColumn("_key", F.concat_ws("#", "shard", "member"))
-                    named = carve_splits(keyed, "_key", seed=seed)
-                else:
-                    named = heard.withColumn("split", split)
-                lake = to_lake_schema(named.withColumn("language", F.lit(language)), F.col("split"), corpus)
+            with staged(decode_manifests(session, root, rows, decoders), "decoded", ROW_GROUP_ROWS) as decoded:
+                good, lost = split_good_bad(decoded)
+                lake = name_manifest_rows(good, language, corpus, split, seed)
                 write_lake(lake, f"{out}/pickup={number}", mode="overwrite")
                 if quarantine:
-                    lost = failed.select("shard", "member", "error").unionByName(broken.select("shard", "member", "error"))
-                    lost.write.mode("overwrite").parquet(f"{quarantine}/pickup={number}")
+                    target = f"{quarantine}/pickup={number}"
+                    lost.select("shard", "member", "error").write.mode("overwrite").parquet(target)
 
     return (
         lines.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(land_batch).start()

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from fixtures import archive, entry, manifest, wav
 from pyspark.sql import functions as F
@@ -74,6 +76,9 @@ def test_ingest_manifests(spark, tmp_path):
     m1 = [(n, b"bad" if n.endswith("a2.wav") else d) for n, d in m1]
     e2, m2 = shard(3, "b")
     manifest_source(tmp_path / "src", {1: (e1 + [entry("b", None), "{oops"], m1), 2: (e2, m2), 10: ([entry("z", "")], [])})
+    archive(tmp_path / "src/health_x_train/audio/audio_7.tar.xz", [("q.wav", os.urandom(9000))], cut=3000)
+    manifest(tmp_path / "src/health_x_train/manifest_7.jsonl", [entry("q.wav", "q")])
+    manifest(tmp_path / "src/health_x_train/manifest_8.jsonl", [entry("r.wav", "r")])
     out, bad = str(tmp_path / "lake"), str(tmp_path / "bad")
     split = F.regexp_extract("path", "_([a-z]+)/manifest_", 1)
     landed = I.ingest_manifests(spark, str(tmp_path / "src"), out, "swa", "c", split, max_clips_per_shard=3, quarantine=bad)
@@ -81,10 +86,10 @@ def test_ingest_manifests(spark, tmp_path):
     assert texts == {"text a1", "text a3", "text a4", "text b0", "text b1", "text b2"} and landed == 6
     assert {r.split for r in read_lake(spark, out, META).collect()} == {"train"}
     errors = sorted(r.error.split(":")[0] for r in spark.read.parquet(bad).collect())
-    assert errors == ["manifest", "wav"]
+    assert errors == ["archive", "archive", "manifest", "wav"]
 
     carved = str(tmp_path / "carved")
-    assert I.ingest_manifests(spark, str(tmp_path / "src"), carved, "som", "c", max_shards=2) == 4
+    assert I.ingest_manifests(spark, str(tmp_path / "src"), carved, "som", "c", max_shards=2, decode_tasks=4) == 4
     assert {r.split for r in read_lake(spark, carved, META).collect()} <= {"train", "dev", "test"}
 
 
