@@ -1,5 +1,11 @@
 """Sinks and sources: the given tables written to the shared scratch folder and read back."""
 
+import io
+import tarfile
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from checks.registry import check, table
@@ -7,10 +13,12 @@ from checks.text import _normalize_sql
 from speechlake.functions.text import normalize_text
 from speechlake.operators.aggregate import language_hours
 from speechlake.operators.audio import encode_waves
+from speechlake.operators.join import join_audio
 from speechlake.operators.project import drop_unlabeled
-from speechlake.session import scratch_path
+from speechlake.session import hadoop_path, scratch_path
 from speechlake.sources import tables as T
-from speechlake.sources.corpora import read_clips, read_manifest
+from speechlake.sources.corpora import archive_listing, missing_archives, read_archives, read_clips, read_manifest
+from speechlake.sources.files import folder, plain_path
 
 
 def _lake(spark, sf):
@@ -139,3 +147,48 @@ def transcripts(spark, sf):
     T.write_transcripts(refs.join(hyps, "utt_id"), path)
     sides = [spark.read.text(f"{path}/{side}").select(F.lit(side).alias("side"), F.col("value").alias("line")) for side in ("ref", "hyp")]
     return sides[0].unionByName(sides[1])
+
+
+def archive_writer(root):
+    """Batch function that packs its rows into one tar.xz per task and names the archive of each row."""
+
+    def run(batches):
+        task = TaskContext.get().partitionId()
+        local = root.startswith("file:")
+        system, path = (fs.LocalFileSystem(), "/" + root[5:].lstrip("/")) if local else fs.FileSystem.from_uri(root)
+        system.create_dir(f"{path}/audio")
+        target = f"{root}/audio/audio_{task}.tar.xz"
+        with system.open_output_stream(f"{path}/audio/audio_{task}.tar.xz") as stream, tarfile.open(fileobj=stream, mode="w|xz") as tar:
+            for batch in batches:
+                for member, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    for data in (b"earlier copy", text.encode()):
+                        info = tarfile.TarInfo(f"clips/{member}")
+                        info.size = len(data)
+                        tar.addfile(info, io.BytesIO(data))
+                rows = [pa.array([target] * len(batch)), batch.column(0), batch.column(2)]
+                yield pa.RecordBatch.from_arrays(rows, names=["path", "member", "transcription"])
+
+    return run
+
+
+@check(
+    "s3_j1_j2_archives",
+    """select doc_id::varchar as member, lang as transcription, md5(text) as audio_md5
+    from documents join labels using (doc_id) where quality = 1""",
+)
+def archives(spark, sf):
+    """Documents packed into archives, two members per name; the labeled ones are joined back to their manifest lines."""
+    system, path = hadoop_path(spark, scratch_path(spark, "archives"))
+    root = system.makeQualified(path).toString()
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("member"), "text", "lang").repartition(4)
+    docs.mapInArrow(archive_writer(root), "path string, member string, transcription string").write.parquet(f"{root}/lines")
+    lines = spark.read.parquet(f"{root}/lines").withColumn(
+        "shard", F.concat_ws("/", folder(plain_path("path"), 2), F.regexp_extract("path", r"audio_(\d+)", 1))
+    )
+    labeled = lines.join(
+        table(spark, sf, "labels").filter("quality = 1").select(F.col("doc_id").cast("string").alias("member")), "member"
+    )
+    listing = archive_listing(spark, root)
+    clips = join_audio(labeled.drop("path"), read_archives(listing, labeled)).filter("archive_error is null")
+    lost = missing_archives(listing, labeled).select("member", F.col("error").alias("transcription"), F.col("error").alias("audio_md5"))
+    return clips.select("member", "transcription", F.md5("raw").alias("audio_md5")).unionByName(lost)
