@@ -32,21 +32,16 @@ def edit_distance(ref: Sequence, hyp: Sequence) -> int:
     places: dict = {}
     for i, item in enumerate(ref):
         places[item] = places.get(item, 0) | (1 << i)
-    everywhere, last = (1 << len(ref)) - 1, 1 << (len(ref) - 1)
-    up, down, distance = everywhere, 0, len(ref)
+    everywhere = (1 << len(ref)) - 1
+    up, down = everywhere, 0
     for item in hyp:
-        same = places.get(item, 0)
+        same = places.get(item, 0) | down
         diagonal = (((same & up) + up) ^ up) | same
-        raised = down | (everywhere & ~(diagonal | up))
-        lowered = up & diagonal
-        if raised & last:
-            distance += 1
-        elif lowered & last:
-            distance -= 1
-        raised, lowered = (raised << 1) | 1, lowered << 1
-        vertical = same | down
-        up, down = (lowered | ~(vertical | raised)) & everywhere, raised & vertical & everywhere
-    return distance
+        lowered = (up & diagonal) << 1
+        raised = (down | (everywhere & ~(diagonal | up))) << 1 | 1
+        up, down = everywhere & (lowered | ~(diagonal | raised)), everywhere & raised & diagonal
+    # Down the last column from len(hyp): one more where a bit of up is set, one less where a bit of down is.
+    return len(hyp) + up.bit_count() - down.bit_count()
 
 
 def _scores(pairs) -> pa.Array:
