@@ -9,6 +9,7 @@ from speechlake.llm.common import read
 from speechlake.llm.license_scan import scan_licenses
 from speechlake.llm.mixing import mix_sources
 from speechlake.llm.packing import pack_documents
+from speechlake.llm.simhash import near_duplicates
 from speechlake.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +28,11 @@ def op2_token_counts(spark, sf_dir):
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@register
+def op4_simhash_near_dedup(spark, sf_dir):
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @register
 def op5_best_fit_packing(spark, sf_dir):
     return pack_documents(read(spark, sf_dir, "documents"))
