@@ -9,6 +9,7 @@ from speechlake.llm.common import read
 from speechlake.llm.license_scan import scan_licenses
 from speechlake.llm.mixing import mix_sources
 from speechlake.llm.packing import pack_documents
+from speechlake.llm.quality import classify_quality
 from speechlake.llm.simhash import near_duplicates
 from speechlake.llm.token_counts import count_tokens
 
@@ -43,6 +44,12 @@ def op6_license_scan(spark, sf_dir):
     return scan_licenses(read(spark, sf_dir, "documents")).drop("places")
 
 
+@register
+def op7_quality_classifier(spark, sf_dir):
+    scored = classify_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "p_text", "p_meta", "p_quality", "keep")
+
+
 @register
 def op8_poisson_mixing(spark, sf_dir):
     mixed = mix_sources(read(spark, sf_dir, "documents"))
