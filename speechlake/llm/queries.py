@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from speechlake.llm.ann import nearest
 from speechlake.llm.common import read
 from speechlake.llm.license_scan import scan_licenses
 from speechlake.llm.mixing import mix_sources
@@ -12,6 +13,7 @@ from speechlake.llm.packing import pack_documents
 from speechlake.llm.quality import classify_quality
 from speechlake.llm.simhash import near_duplicates
 from speechlake.llm.token_counts import count_tokens
+from speechlake.llm.topk import exact_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +24,11 @@ def register(query: Callable[[SparkSession, str], DataFrame]):
     return query
 
 
+@register
+def op1_hash_prefix_forest(spark, sf_dir):
+    return nearest(read(spark, sf_dir, "embeddings"))
+
+
 @register
 def op2_token_counts(spark, sf_dir):
     import public_tokenizers
@@ -29,6 +36,11 @@ def op2_token_counts(spark, sf_dir):
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@register
+def op3_no_random_access(spark, sf_dir):
+    return exact_top_k(read(spark, sf_dir, "embeddings"))
+
+
 @register
 def op4_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"))
