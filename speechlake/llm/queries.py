@@ -12,6 +12,7 @@ from speechlake.llm.mixing import mix_sources
 from speechlake.llm.packing import pack_documents
 from speechlake.llm.quality import classify_quality
 from speechlake.llm.simhash import near_duplicates
+from speechlake.llm.suffix_dedup import remove_repeats
 from speechlake.llm.token_counts import count_tokens
 from speechlake.llm.topk import exact_top_k
 
@@ -68,6 +69,12 @@ def op8_poisson_mixing(spark, sf_dir):
     return mixed.select("doc_id", "source", "copy", F.round("shuffle_key", 12).alias("shuffle_key"), F.md5("text").alias("text_md5"))
 
 
+@register
+def op10_suffix_array_dedup(spark, sf_dir):
+    cut = remove_repeats(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 SQL["op8_poisson_mixing"] = """
 with docs as (select doc_id, source, text, ('0x' || substr(md5('17|' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint::double / 4503599627370496.0 as u from documents),
 totals as (select source, sum(coalesce(length(text), 0))::double as total from docs group by source),
