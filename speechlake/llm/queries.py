@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from speechlake.llm.ann import nearest
 from speechlake.llm.common import read
+from speechlake.llm.katz import score_documents
 from speechlake.llm.license_scan import scan_licenses
 from speechlake.llm.mixing import mix_sources
 from speechlake.llm.packing import pack_documents
@@ -69,6 +70,11 @@ def op8_poisson_mixing(spark, sf_dir):
     return mixed.select("doc_id", "source", "copy", F.round("shuffle_key", 12).alias("shuffle_key"), F.md5("text").alias("text_md5"))
 
 
+@register
+def op9_katz_backoff(spark, sf_dir):
+    return score_documents(read(spark, sf_dir, "documents"))
+
+
 @register
 def op10_suffix_array_dedup(spark, sf_dir):
     cut = remove_repeats(read(spark, sf_dir, "documents"))
