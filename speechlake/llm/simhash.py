@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from speechlake.llm.common import written
@@ -44,15 +44,15 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``key`` and ``fp`` of every row; a null text has no words."""
+    """``key``, ``fp`` and a hash ``r`` of the text of every row; a null text has no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint((value.as_py() or "").encode(), shingle) for value in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["key", "fp"])
+            fps = [fingerprint((value.as_py() or "").encode(), shingle) for value in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], names=["key", "r", "fp"])
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, fp bigint")
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("r"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, r bigint, fp bigint")
 
 
 def bit_pairs(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -191,23 +191,51 @@ def _flips(bits: list[int], threshold: int) -> list[int]:
     return list(dict.fromkeys(flips))
 
 
-def near_duplicates(
+def grouped(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE
-) -> DataFrame:
-    """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` (least key reachable) of every row of ``docs``.
+) -> tuple[DataFrame, DataFrame]:
+    """(``key``, ``r``, ``fp``) of every row, and (``fp``, ``root``, ``component_id``) of every distinct fingerprint.
 
-    Rows link if their fingerprints differ in at most ``distance`` bits. Equal fingerprints are one node from the start,
-    so copies cost nothing beyond their own rows. Texts that are null or without words have fingerprint 0 and link like
-    any other; a null key takes part and gets its component's least key (null if there is none); repeated rows are all
-    returned; an empty table gives no rows; other columns are not read.
+    Equal fingerprints are one node from the start, so copies cost nothing beyond their own rows.
     """
     rows = written(fingerprints(docs, key, text, shingle), "fingerprints")
     classes = written(rows.groupBy("fp").agg(F.min("key").alias("first_key")), "classes")
     links = near_links(classes.select("fp"), make_plan(classes.select("fp"), distance), distance)
     roots = components(links)
     nodes = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first_key", F.coalesce("root", "fp").alias("root"))
+    nodes = written(nodes, "nodes")
     least = nodes.groupBy("root").agg(F.min("first_key").alias("component_id"))
-    members = nodes.join(least, "root").select("fp", "component_id")
+    # Written, so that the runtime can split the rows of a very frequent fingerprint where they are joined.
+    return rows, written(nodes.join(least, "root").select("fp", "root", "component_id"), "members")
+
+
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE
+) -> DataFrame:
+    """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` (least key reachable) of every row of ``docs``.
+
+    Rows link if their fingerprints differ in at most ``distance`` bits. Texts that are null or without words have
+    fingerprint 0 and link like any other; a null key takes part and gets its component's least key (null if there is
+    none); repeated rows are all returned; an empty table gives no rows; other columns are not read.
+    """
+    rows, members = grouped(docs, key, text, shingle, distance)
     return rows.join(members, "fp").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE
+) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that of the least key (null first), then text hash.
+
+    Of rows that are alike in key and text one is kept, too. All columns stay; an empty table stays empty.
+    """
+    rows, members = grouped(docs, key, text, shingle, distance)
+    least = rows.join(members, "fp").groupBy("root").agg(F.min(F.struct("key", "r")).alias("least"))
+    chosen = written(least.select(F.col("least.key").alias("_key"), F.col("least.r").alias("_r")), "chosen")
+    marked = docs.withColumns({"_own_key": F.xxhash64(key), "_own_r": F.xxhash64(text)})
+    same = (F.col("_own_r") == F.col("_r")) & (F.col("_own_key") == F.xxhash64("_key")) & F.col(f"`{key}`").eqNullSafe(F.col("_key"))
+    copies = Window.partitionBy("_own_key", "_own_r").orderBy("_r")
+    kept = marked.join(chosen, same).withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
