@@ -1,7 +1,7 @@
 """Token counts through a digest cache.
 
-A text is known by the digest of its normalised content (runs of ASCII white space are one space, none at the ends)
-and the digest of the tokenizer file and library version. Digests are joined to the stored counts; of the texts that
+A text is known by the digest of its normalised content (runs of ASCII white space are one space, none at the ends, if
+the tokenizer drops white space) and the digest of the tokenizer file and library version. Digests are joined to the stored counts; of the texts that
 are missing there, one per digest is encoded, and its count is appended to the cache.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from speechlake.llm.common import scratch
+from speechlake.llm.common import scratch, written
 from speechlake.session import hadoop_path
 
 CACHE = "version string, content string, n_tokens bigint"
@@ -33,10 +33,10 @@ def tokenizer_version(path: str) -> str:
         return hashlib.sha256(file.read() + f"|{library}|{version}".encode()).hexdigest()
 
 
-def content_digest(text: str | Column) -> Column:
-    """Digest of a text up to white space, which no tokenizer here counts."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.sha2(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+", " ")), 256)
+def content_digest(text: str, up_to_space: bool) -> Column:
+    """Digest of a text; with ``up_to_space`` the same for texts that differ in ASCII white space only."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return F.sha2(F.trim(F.regexp_replace(whole, r"[ \t\n\x0B\f\r]+", " ")) if up_to_space else whole, 256)
 
 
 def whole_counter(path: str, model: bytes):
@@ -131,7 +131,7 @@ def count_tokens(
     with open(path, "rb") as file:
         model = file.read()
     rows = docs.select(
-        F.col(key).alias("key"), F.col(text).alias("text"), content_digest(text).alias("content"),
+        F.col(key).alias("key"), F.col(text).alias("text"), content_digest(text, splits_at_space(path, model)).alias("content"),
         F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("bigint").alias("n_bytes"),
     )
     # One document per missing digest; the texts of the others do not travel to Python.
@@ -145,7 +145,8 @@ def count_tokens(
     schema = T.StructType([T.StructField("content", T.StringType()), T.StructField("n_tokens", T.LongType())])
     encoded = misses.mapInArrow(_encoder(path, model), schema)
     encoded.select(F.lit(version).alias("version"), "content", "n_tokens").write.mode("append").parquet(cache)
-    counts = read_cache(spark, cache, version)
+    # Written once more without repeats, so that the runtime can split the rows of a very frequent text in the join.
+    counts = written(read_cache(spark, cache, version), "token-counts")
     return rows.select("key", "n_bytes", "content").join(counts, "content").select(
         F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
