@@ -387,7 +387,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
     stats = parts.agg(F.array(*[F.coalesce(F.sum(f"s{i}"), F.lit(0)) for i in range(STATS)]).alias("stats"))
     asked = by_bucket.applyInArrow(_asker(buckets), "bucket int, origin int, words binary")
     answers = by_bucket.cogroup(asked.groupBy("bucket")).applyInArrow(_answer, "bucket int, home int, counts binary")
-    everywhere = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(F.broadcast(stats))
+    everywhere = stats.select(F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"), "stats")
     told = answers.unionByName(everywhere, allowMissingColumns=True)
     sums = by_bucket.cogroup(told.groupBy("bucket")).applyInArrow(_scorer(buckets), SUMS.format(key=kind))
     result = f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"

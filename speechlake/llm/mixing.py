@@ -49,10 +49,10 @@ def source_rates(
         pairs = [F.lit(x) for pair in weights.items() for x in (pair[0], float(pair[1]))]
         wanted = F.coalesce(F.try_element_at(F.create_map(*pairs), F.coalesce("source", F.lit(""))), F.lit(0.0)) if pairs else F.lit(0.0)
     weighed = totals.withColumn("weight", F.when(F.col("total") > 0, wanted).otherwise(0.0))
-    whole = weighed.agg(F.sum("total").alias("all_total"), F.sum("weight").alias("all_weight"))  # one row
-    share = F.when(F.col("all_weight") > 0, F.col("weight") / F.col("all_weight")).otherwise(0.0)
-    rate = F.when(F.col("total") > 0, F.lit(float(epochs)) * F.col("all_total") * F.col("share") / F.col("total")).otherwise(0.0)
-    return weighed.join(F.broadcast(whole)).withColumn("share", share).withColumn("rate", rate).select("source", "total", "share", "rate")
+    whole, all_weight = (x or 0.0 for x in weighed.agg(F.sum("total"), F.sum("weight")).first())
+    share = F.col("weight") / all_weight if all_weight else F.lit(0.0)
+    rate = F.when(F.col("total") > 0, F.lit(epochs * whole) * F.col("share") / F.col("total")).otherwise(0.0)
+    return weighed.withColumn("share", share).withColumn("rate", rate).select("source", "total", "share", "rate")
 
 
 def mix_sources(
