@@ -17,6 +17,7 @@ Decoder = Callable[[bytes], tuple[np.ndarray, int]]
 _FILTER_WIDTH = 6
 _ROLLOFF = 0.99
 _BLOCK = 1 << 20  # inputs taken at a time
+MAX_RATE = 1_000_000  # a header that states more is corrupt; filters grow with the rate
 
 
 def decode_wav(data: bytes) -> tuple[np.ndarray, int]:
@@ -112,17 +113,18 @@ def decode_clip(
     for name, decoder in decoders:
         try:
             samples, found = decoder(data)
-        except Exception as error:  # a broken clip must not end the job
+            if samples is None or np.size(samples) == 0:
+                return None, None, f"{name}: empty wave"
+            if not found or not 0 < found:
+                return None, None, f"{name}: no sample rate"
+            if not found <= MAX_RATE:
+                return None, None, f"{name}: no recording has {found} samples a second"
+            mono = downmix(samples)
+            if not np.isfinite(mono).all():
+                return None, None, f"{name}: samples are not finite"
+            return resample(mono, int(found), rate), name, None
+        except Exception as error:  # a broken clip, or a decoder that gives odd arrays, must not end the job
             reasons.append(f"{name}: {type(error).__name__}: {error}")
-            continue
-        if samples is None or np.size(samples) == 0:
-            return None, None, f"{name}: empty wave"
-        if not found or found <= 0:
-            return None, None, f"{name}: no sample rate"
-        mono = downmix(samples)
-        if not np.isfinite(mono).all():
-            return None, None, f"{name}: samples are not finite"
-        return resample(mono, int(found), rate), name, None
     return None, None, "; ".join(reasons) or "no decoder"
 
 

@@ -2,14 +2,13 @@ import math
 
 import numpy as np
 import pytest
-from fixtures import wav, zero_rate
+from fixtures import small_batches, wav, zero_rate
 from pyspark.sql import functions as F
 
 from speechlake.functions import codec
 from speechlake.functions import wave as V
 from speechlake.operators import audio as U
 from speechlake.operators.udf import map_batches, transcribe
-from speechlake.session import small_batches
 
 
 def clips():
@@ -153,3 +152,14 @@ def test_map_batches_passes_arguments(spark):
 
     df = spark.range(5).withColumn("b", F.col("id") * 2)
     assert sorted(r.b for r in map_batches(df, factory, "b bigint", column="b").collect()) == [0, 2, 4, 6, 8]
+
+
+def test_a_corrupt_rate_is_an_error_row():
+    from speechlake.functions.codec import decode_clip, decode_wav
+
+    data = wav(0.1)
+    broken = data[:24] + (2**31 - 1).to_bytes(4, "little") + data[28:]
+    assert decode_clip(broken, [("wav", decode_wav)])[2].startswith("wav: no recording has")
+    for odd in (lambda d: (np.zeros((2, 3, 4)), 16_000), lambda d: (np.ones(3), float("nan")), lambda d: ("text", 8000), lambda d: None):
+        wave, _, error = decode_clip(b"x", [("odd", odd)])
+        assert (wave is None) == (error is not None)
