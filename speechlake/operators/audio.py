@@ -138,11 +138,10 @@ def to_int8_list(df: DataFrame, column: str = "audio_bytes") -> DataFrame:
     """BINARY -> ARRAY<TINYINT>: the same bytes seen as signed numbers; NULLs stay."""
 
     def convert(array: pa.Array) -> pa.Array:
-        array = array.cast(pa.binary())
-        data = array.buffers()[2]
-        size = data.size if data else 0
-        values = pa.Array.from_buffers(pa.int8(), size, [None, data or pa.py_buffer(b"")])
-        return pa.ListArray.from_arrays(pa.array(_offsets(array)), values, mask=array.is_null())
+        valid, offsets, data = array.cast(pa.binary()).buffers()
+        numbers = pa.Array.from_buffers(pa.int8(), data.size if data else 0, [None, data or pa.py_buffer(b"")])
+        # A binary array is a list of bytes: same validity, same offsets, another child.
+        return pa.Array.from_buffers(pa.list_(pa.int8()), len(array), [valid, offsets], offset=array.offset, children=[numbers])
 
     return _view(df, column, T.ArrayType(T.ByteType()), convert)
 

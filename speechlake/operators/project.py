@@ -13,13 +13,13 @@ MIN_AUDIO_LEN = 32_000
 MAX_AUDIO_LEN = 960_000
 
 
-def to_lake_schema(df: DataFrame, split: str | Column, corpus: str) -> DataFrame:
-    """The six columns of the utterance table, in order; ``split`` is a constant or a column."""
+def to_lake_schema(df: DataFrame, split: str | Column, corpus: str, keep: list[str] = ()) -> DataFrame:
+    """The six columns of the utterance table, in order, and those to ``keep``; ``split`` is a constant or a column."""
     split = F.lit(split) if isinstance(split, str) else split
     return (
         df.withColumnRenamed("transcription", "text")
         .withColumns({"split": split, "corpus": F.lit(corpus)})
-        .select(*LAKE_COLUMNS)
+        .select(*LAKE_COLUMNS, *keep)
     )
 
 

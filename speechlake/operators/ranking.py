@@ -201,7 +201,7 @@ def _between(df: DataFrame, ends, order: list[Column], skip: int, take: int) ->
         if ends["_low"] is None:
             return df.filter(F.lit(False))
         df = df.filter((order[0] >= F.lit(ends["_low"][0])) & (F.struct(*order) > _literal(ends["_low"], types)))
-    if take and ends["_total"] > skip + take:
+    if take and (ends["_total"] or 0) > skip + take:
         df = df.filter((order[0] <= F.lit(ends["_high"][0])) & (F.struct(*order) <= _literal(ends["_high"], types)))
     return df
 

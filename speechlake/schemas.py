@@ -19,6 +19,7 @@ UTTERANCE = T.StructType(
     ]
 )
 LAKE_COLUMNS = UTTERANCE.fieldNames()
+CLIP_KEY = "clip_key"  # kept beside the clips that jobs land: names a clip in its source, so no rerun lands it twice
 LAKE_PARTITIONS = ["corpus", "split", "language"]
 
 CLIP = T.StructType(
@@ -56,14 +57,6 @@ LANGUAGE_STATS = T.StructType(
     ]
 )
 
-TESTSET = T.StructType(
-    [
-        T.StructField("id", TEXT),
-        T.StructField("language", TEXT),
-        T.StructField("audio", T.StructType([T.StructField("bytes", T.BinaryType())])),
-    ]
-)
-
 SUBMISSION = T.StructType(
     [
         T.StructField("id", TEXT),
@@ -71,48 +64,3 @@ SUBMISSION = T.StructType(
         T.StructField("transcription", TEXT),
     ]
 )
-
-CHUNK = T.StructType(
-    [
-        T.StructField("id", TEXT),
-        T.StructField("language", TEXT),
-        T.StructField("chunk_idx", T.IntegerType()),
-        T.StructField("wave", T.ArrayType(T.FloatType())),
-    ]
-)
-
-FRAME_SCORES = T.StructType(
-    [
-        T.StructField("utt_id", TEXT),
-        T.StructField("frame_idx", T.IntegerType()),
-        T.StructField("scores", T.ArrayType(T.FloatType())),
-    ]
-)
-
-TOKENS = T.StructType(
-    [T.StructField("utt_id", TEXT), T.StructField("tokens", T.ArrayType(T.IntegerType()))]
-)
-
-PAIR = T.StructType(
-    [T.StructField("utt_id", TEXT), T.StructField("ref", TEXT), T.StructField("hyp", TEXT)]
-)
-
-METRIC_EVENT = T.StructType(
-    [
-        T.StructField("step", T.LongType()),
-        T.StructField("split", TEXT),
-        T.StructField("loss", T.DoubleType()),
-        T.StructField("batch_size", T.LongType()),
-        T.StructField("num_examples", T.LongType()),
-        T.StructField("num_elements", T.LongType()),
-        T.StructField("padding", T.LongType()),
-    ]
-)
-
-CHECKPOINT = T.StructType(
-    [
-        T.StructField("path", TEXT),
-        T.StructField("step", T.IntegerType()),
-        T.StructField("wer", T.DoubleType()),
-    ]
-)

@@ -1,17 +1,25 @@
 """Open files inside tasks, by the paths that Spark lists."""
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def open_stream(path: str):
-    """A forward-only stream on a local path or URI."""
+def _located(path: str):
+    """(file system, path in it) of a local path or URI."""
     from pyarrow import fs
 
     scheme, colon, rest = path.partition(":")
     if not colon or scheme == "file":
-        return fs.LocalFileSystem().open_input_stream("/" + (rest if colon else path).lstrip("/"))
-    system, inner = fs.FileSystem.from_uri(path)
+        return fs.LocalFileSystem(), "/" + (rest if colon else path).lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def open_stream(path: str):
+    """A forward-only stream on a local path or URI."""
+    system, inner = _located(path)
     return system.open_input_stream(inner)
 
 
@@ -20,6 +28,12 @@ def read_bytes(path: str) -> bytes:
         return stream.read()
 
 
+def metadata_path(path: str | Column = "_metadata.file_path") -> Column:
+    """The path of a file as the listings spell it; readers tell it URL-encoded in their metadata column."""
+    path = F.col(path) if isinstance(path, str) else path
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def plain_path(path: str | Column) -> Column:
     """One spelling for ``file:/a``, ``file:///a`` and the like, to compare paths of different readers."""
     path = F.col(path) if isinstance(path, str) else path
@@ -30,3 +44,37 @@ def folder(path: str | Column, up: int = 1) -> Column:
     """The path without its last ``up`` parts."""
     path = F.col(path) if isinstance(path, str) else path
     return F.regexp_replace(path, f"(/[^/]*){{{up}}}$", "")
+
+
+def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """``path`` of all files below ``root`` that match; contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    return reader.load(root).select("path")
+
+
+def file_types(spark: SparkSession, root: str, columns: list[str], pattern: str = "*.parquet") -> DataFrame:
+    """``path``, ``types`` (per column its type in the file, NULL if absent) and ``error`` of parquet files.
+
+    Footers are read in tasks. Files of one table may hold a column in different types, which one scan can't read.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+        from pyspark.sql.pandas.types import from_arrow_type
+
+        for batch in batches:
+            types, errors = [], []
+            for path in batch.column(0).to_pylist():
+                try:
+                    system, inner = _located(path)
+                    with system.open_input_file(inner) as file:
+                        schema = pq.read_schema(file)
+                    own = [from_arrow_type(schema.field(c).type).simpleString() if c in schema.names else None for c in columns]
+                    types.append(own)
+                    errors.append(None)
+                except Exception as error:  # told as a row
+                    types.append(None)
+                    errors.append(f"{type(error).__name__}: {error}")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(types, pa.list_(pa.string())), pa.array(errors, pa.string())], names=["path", "types", "error"])
+
+    return list_files(spark, root, pattern).mapInArrow(run, "path string, types array<string>, error string")

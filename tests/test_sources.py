@@ -91,8 +91,9 @@ def test_lake(spark, tmp_path):
         spark.sql("drop table speech_test")
     with pytest.raises(ValueError, match="MIXTURE_PARQUET"):
         T.open_dataset(spark, "speech_test", "CSV")
-    manifest(tmp_path / "m/manifest_1.jsonl", [entry("a", "x")])
-    assert T.open_dataset(spark, str(tmp_path / "m"), "MANIFEST").count() == 1
+    manifest(tmp_path / "m/manifest_1.jsonl", [entry("a", "x"), entry("b", None)])
+    archive(tmp_path / "m/audio/audio_1.tar.xz", [("a", b"aa"), ("b", b"bb")])
+    assert [(r.transcription, bytes(r.raw)) for r in T.open_dataset(spark, str(tmp_path / "m"), "MANIFEST").collect()] == [("x", b"aa")]
 
 
 def test_lake_written_as_int8_lists(spark, tmp_path):
@@ -119,7 +120,7 @@ def test_testset(spark, tmp_path):
     assert [(r.id, bytes(r.audio_bytes)) for r in clips] == [("8", b"z"), ("007", b"x"), ("8", b"y")]
     ids = T.read_ids(spark, root)
     assert "audio" not in ids._jdf.queryExecution().executedPlan().toString()
-    skipped = T.skipped_files(spark, root, ids).collect()
+    skipped = T.unreadable_files(spark, root, "test_*.parquet").collect()
     assert [r.path.rsplit("/", 1)[1] for r in skipped] == ["test_bad.parquet"]
 
 
@@ -157,3 +158,59 @@ def test_resolve_code():
         resolve_code("nope", mapping)
     with pytest.raises(ValueError, match="several"):
         resolve_code("x", {"a/x": "1", "b/x": "2"})
+
+
+def test_lake_of_mixed_types(spark, tmp_path):
+    from speechlake.operators.audio import to_int8_list
+
+    root = str(tmp_path / "lake")
+    one = spark.createDataFrame([("a", b"\x01", "swa", "train", "c", 5)], "text string, audio_bytes binary, language string, split string, corpus string, audio_size bigint")
+    T.write_lake(one, root)
+    T.write_lake(to_int8_list(one.withColumns({"text": F.lit("b"), "audio_size": F.lit(7.0)})), root)
+    T.write_lake(one.withColumns({"text": F.lit("c"), "audio_size": F.lit(float("nan"))}), root)
+    rows = T.read_lake(spark, root, ["corpus", "language", "text", "audio_size"]).collect()
+    assert sorted((r.text, r.audio_size) for r in rows if r.text != "c") == [("a", 5), ("b", 7)] and len(rows) == 3
+    assert sorted((r.text, bytes(r.audio_bytes)) for r in T.read_lake(spark, root).collect()) == [("a", b"\x01"), ("b", b"\x01"), ("c", b"\x01")]
+
+
+def test_ids_of_any_type(spark, tmp_path):
+    audio = F.struct(F.lit(b"x").alias("bytes"), F.lit("p").alias("path")).alias("audio")
+    for folder, ids in (("number", F.col("id")), ("text", F.lpad(F.col("id").cast("string"), 3, "0"))):
+        spark.range(3).select(ids.alias("id"), F.lit("swa").alias("language"), audio).write.parquet(str(tmp_path / "s p" / folder))
+    ids = T.read_ids(spark, str(tmp_path / "s p"), "part-*.parquet")
+    assert sorted(r.id for r in ids.collect()) == ["0", "000", "001", "002", "1", "2"] and ids.count() == 6
+    clips = T.read_testset(spark, str(tmp_path / "s p"), "part-*.parquet").collect()
+    assert len(clips) == 6 and all(bytes(r.audio_bytes) == b"x" and "/s p/" in r.file for r in clips)
+
+
+@pytest.mark.parametrize("name", ["with space", "100%", "a+b", "plain", "a%20b"])
+def test_any_folder_name(spark, tmp_path, name):
+    manifest(tmp_path / name / "manifest_1.jsonl", [entry("a.wav", "A")])
+    archive(tmp_path / name / "audio/audio_1.tar.xz", [("a.wav", b"aa")])
+    labeled = C.read_manifest(spark, str(tmp_path))
+    joined = join_audio(labeled, C.read_archives(C.archive_listing(spark, str(tmp_path)), labeled)).collect()
+    assert [(r.member, r.transcription, bytes(r.raw)) for r in joined] == [("a.wav", "A", b"aa")]
+    assert C.missing_archives(C.archive_listing(spark, str(tmp_path)), labeled).count() == 0
+
+
+def test_a_failing_second_read_is_told(tmp_path, monkeypatch):
+    path = tmp_path / "audio_1.tar.xz"
+    archive(path, [(f"{i}.wav", b"x" * 100) for i in range(5)])
+    opened, plain = [], C.open_stream
+
+    def once(name):
+        opened.append(name)
+        if len(opened) > 1:
+            raise OSError("stream lost")
+        return plain(name)
+
+    monkeypatch.setattr(C, "open_stream", once)
+    rows = list(C._archive_rows(str(path), None))
+    assert len(rows) == 1 and rows[0][0] is None and "stream lost" in rows[0][2]
+
+
+def test_unlisted_members_do_not_leave_the_task(spark, tmp_path):
+    archive(tmp_path / "s/audio/audio_1.tar.xz", [(f"{i}.wav", b"x") for i in range(50)])
+    manifest(tmp_path / "s/manifest_1.jsonl", [entry("7.wav", "A"), entry("8.wav", None), entry("gone.wav", "G")])
+    members = C.read_archives(C.archive_listing(spark, str(tmp_path)), drop_unlabeled(C.read_manifest(spark, str(tmp_path))))
+    assert [r.member for r in members.collect()] == ["7.wav"]
