@@ -2,22 +2,24 @@
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from speechlake.functions.codec import DEFAULT_DECODERS
-from speechlake.operators.audio import ingest_audio
+from speechlake.operators.audio import ingest_audio, to_int8_list
 from speechlake.operators.join import join_audio
 from speechlake.operators.project import SPLIT_NAMES, drop_unlabeled, set_language, to_lake_schema
-from speechlake.operators.quality import MAX_BAD_UNITS, enforce_budget, split_good_bad
+from speechlake.operators.quality import enforce_budget, split_good_bad
 from speechlake.operators.ranking import number_slice
 from speechlake.operators.sample import SEED, cap_per_group, carve_splits, eval_head, skip_take
-from speechlake.schemas import LAKE_COLUMNS
-from speechlake.session import small_batches, staged
+from speechlake.schemas import CLIP_KEY, LAKE_COLUMNS
+from speechlake.session import staged
 from speechlake.sources.corpora import archive_listing, list_shards, missing_archives, read_archives, read_clips, read_manifest
-from speechlake.sources.tables import ROW_GROUP_ROWS, has_data, write_lake
+from speechlake.sources.tables import ROW_GROUP_ROWS, has_data, landed_keys, quarantine_new, write_lake
 
+# The split folders of a source.
 SOURCE_SPLITS = ["train", "validation", "test"]
 
 
@@ -47,44 +49,75 @@ def ingest_round(
 
 
 def land(
-    decoded: DataFrame, out: str, quarantine: str | None = None, max_bad: int = MAX_BAD_UNITS,
-    pick: Callable[[DataFrame], DataFrame] = lambda good: good, keep: list[str] = (),
+    clips: DataFrame, decode: Callable[[DataFrame], DataFrame], name: Callable[[DataFrame], DataFrame], out: str, corpus: str,
+    language: str, quarantine: str | None = None, max_bad: int | None = None, staging: bool = False,
 ) -> int:
-    """Write decoded clips to the lake and failed ones, with their reason, to ``quarantine``; returns rows landed.
+    """Decode the clips that the lake does not hold yet and append them; returns the rows landed.
 
-    Clips are decoded once into a table in the shared scratch folder. If more than ``max_bad`` failed, nothing lands.
+    ``clips`` have a ``clip_key``, which the lake keeps, so a round or a batch that runs again adds only what is missing.
+    ``decode`` adds ``error``; ``name`` gives good rows their lake columns. Failed clips and their reason go to
+    ``quarantine``, once. Decoded audio goes straight to its place; the few failed clips are then decoded again for
+    their reasons. If ``max_bad`` is set and more clips fail, nothing lands; for that, or with ``staging``, all is
+    decoded into the shared scratch folder first.
     """
-    spark = decoded.sparkSession
-    with small_batches(spark), staged(decoded, "decoded", ROW_GROUP_ROWS) as rows:
-        good, bad = split_good_bad(enforce_budget(rows, max_bad=max_bad))
-        if quarantine:
-            bad.select(*keep, "error").write.mode("append").parquet(quarantine)
-        picked = pick(good)
-        write_lake(picked, out)
-        return picked.select("split").count()
+    spark = clips.sparkSession
+    new = clips.join(landed_keys(spark, out, corpus, language), CLIP_KEY, "left_anti").select(*clips.columns)
+    decoded = decode(new)
+    if staging or max_bad is not None:
+        with staged(decoded, "decoded", ROW_GROUP_ROWS) as rows:
+            good, bad = split_good_bad(enforce_budget(rows, max_bad=max_bad))
+            if quarantine:
+                quarantine_new(bad.select(*LOST_COLUMNS), quarantine)
+            return _append(name(good), out)
+    seen = Observation("decoded")
+    good = decoded.observe(seen, F.count_if(F.col("error").isNotNull()).alias("bad"))
+    landed = _append(name(split_good_bad(good)[0]), out)
+    if quarantine and seen.get["bad"]:
+        left = new.join(landed_keys(spark, out, corpus, language), CLIP_KEY, "left_anti").select(*new.columns)
+        quarantine_new(split_good_bad(decode(left))[1].select(*LOST_COLUMNS), quarantine)
+    return landed
+
+
+def _append(rows: DataFrame, out: str) -> int:
+    counted = Observation("landed")
+    write_lake(rows.observe(counted, F.count(F.lit(1)).alias("rows")), out, spread=False)
+    return counted.get["rows"]
+
+
+LOST_COLUMNS = [CLIP_KEY, "corpus", "language", "error"]
 
 
 def ingest_clips(
     spark: SparkSession, root: str, out: str, language: str, corpus: str, skip: int = 0, take: int = 0, seed: int = SEED,
-    decoders=DEFAULT_DECODERS, quarantine: str | None = None, max_bad: int = MAX_BAD_UNITS,
+    decoders=DEFAULT_DECODERS, quarantine: str | None = None, max_bad: int | None = None, int8_list: bool = False,
 ) -> int:
-    """Ingest one source that has split folders of clip tables."""
+    """Ingest one source that has split folders of clip tables; clips that the lake holds are not landed again.
+
+    ``int8_list`` lands the audio as ARRAY<TINYINT>, which some readers of the lake take.
+    """
     splits = SOURCE_SPLITS if skip == 0 else ["train"]
     parts = []
     for split in splits:
         rows = sample_round(read_clips(spark, root, split), split, skip, take, seed)
         named = set_language(rows, language).withColumn("split", F.lit(SPLIT_NAMES.get(split, split)))
-        parts.append(named.select("clip_key", "transcription", "language", "split", F.col("audio.bytes").alias("audio_bytes")))
-    clips = parts[0]
-    for part in parts[1:]:
-        clips = clips.unionByName(part)
-    decoded = ingest_audio(clips, "audio_bytes", decoders)
-    return land(
-        decoded, out, quarantine, max_bad, lambda good: to_lake_schema(good, F.col("split"), corpus), ["clip_key", "split", "language"]
-    )
+        key = F.concat_ws("#", F.lit(split), "clip_key").alias(CLIP_KEY)
+        parts.append(named.select(key, "transcription", "language", "split", F.col("audio.bytes").alias("audio_bytes")))
+    clips = reduce(DataFrame.unionByName, parts).withColumn("corpus", F.lit(corpus))
+
+    def name(good: DataFrame) -> DataFrame:
+        rows = to_lake_schema(good, F.col("split"), corpus, [CLIP_KEY])
+        return to_int8_list(rows) if int8_list else rows
+
+    return land(clips, lambda rows: ingest_audio(rows, "audio_bytes", decoders), name, out, corpus, language, quarantine, max_bad)
 
 
-MANIFEST_COLUMNS = ["shard", "member", "path", "line_block", "line_id", "transcription", "audio_size", "audio_bytes", "error"]
+MANIFEST_COLUMNS = [CLIP_KEY, "shard", "member", "path", "line_block", "line_id", "transcription", "audio_size", "audio_bytes", "error"]
+
+
+def key_lines(lines: DataFrame) -> DataFrame:
+    """Manifest rows with the ``clip_key`` of their member, or of their place if the line is broken."""
+    place = F.concat_ws("#", "shard", "line_block", "line_id")
+    return lines.withColumn(CLIP_KEY, F.when(F.col("error").isNull(), F.concat_ws("#", "shard", "member")).otherwise(place))
 
 
 def decode_manifests(
@@ -102,22 +135,44 @@ def decode_manifests(
     if decode_tasks:
         clips = clips.repartition(decode_tasks, "shard", "member")
     decoded = ingest_audio(clips, "raw", decoders).withColumn("error", F.coalesce("archive_error", "error"))
-    lost = broken_lines.select("shard", "member", "error").unionByName(missing_archives(archives, labeled))
+    decoded = decoded.withColumn(CLIP_KEY, F.coalesce(CLIP_KEY, "shard"))
+    missing = missing_archives(archives, labeled).withColumn(CLIP_KEY, F.col("shard"))
+    lost = broken_lines.select(CLIP_KEY, "shard", "member", "error").unionByName(missing)
     return decoded.select(*MANIFEST_COLUMNS).unionByName(lost, allowMissingColumns=True)
 
 
 def name_manifest_rows(good: DataFrame, language: str, corpus: str, split: Column | None, seed: int = SEED) -> DataFrame:
     """Decoded manifest clips in lake schema; without ``split``, splits are carved by a hash of the clip."""
     if split is None:
-        good = carve_splits(good.withColumn("_key", F.concat_ws("#", "shard", "member")), "_key", seed=seed)
+        good = carve_splits(good, CLIP_KEY, seed=seed)
         split = F.col("split")
-    return to_lake_schema(good.withColumn("language", F.lit(language)), split, corpus)
+    return to_lake_schema(good.withColumn("language", F.lit(language)), split, corpus, [CLIP_KEY])
+
+
+def ingest_lines(
+    spark: SparkSession, root: str, lines: DataFrame, out: str, language: str, corpus: str, split: Column | None = None,
+    max_clips_per_shard: int = 0, seed: int = SEED, decoders=DEFAULT_DECODERS, quarantine: str | None = None,
+    max_bad: int | None = None, decode_tasks: int = 0,
+) -> int:
+    """Land the clips of manifest lines; see ``land`` and ``ingest_manifests``."""
+
+    def decode(rows: DataFrame) -> DataFrame:
+        decoded = decode_manifests(spark, root, rows, decoders, decode_tasks)
+        return decoded.withColumns({"corpus": F.lit(corpus), "language": F.lit(language)})
+
+    def name(good: DataFrame) -> DataFrame:
+        capped = cap_per_group(good, ["shard"], ["line_block", "line_id"], F.col("line_block"), max_clips_per_shard)
+        return name_manifest_rows(capped, language, corpus, split, seed)
+
+    # The lines are parsed once; they are read for the names, the archives and the join.
+    with staged(key_lines(lines), "lines") as parsed:
+        return land(parsed, decode, name, out, corpus, language, quarantine, max_bad, staging=max_clips_per_shard > 0)
 
 
 def ingest_manifests(
     spark: SparkSession, root: str, out: str, language: str, corpus: str, split: Column | None = None,
     folders: list[str] | None = None, max_shards: int = 0, max_clips_per_shard: int = 0, seed: int = SEED,
-    decoders=DEFAULT_DECODERS, quarantine: str | None = None, max_bad: int = MAX_BAD_UNITS, per_folder: bool = False,
+    decoders=DEFAULT_DECODERS, quarantine: str | None = None, max_bad: int | None = None, per_folder: bool = False,
     decode_tasks: int = 0,
 ) -> int:
     """Ingest one source of manifests and archive shards.
@@ -128,13 +183,10 @@ def ingest_manifests(
     paths: str | list[str] = [f"{root.rstrip('/')}/{f}" for f in folders] if folders else root
     if max_shards:
         paths = [row.path for row in list_shards(spark, root, "manifest_", folders, max_shards, per_folder).collect()]
-
-    def pick(good: DataFrame) -> DataFrame:
-        capped = cap_per_group(good, ["shard"], ["line_block", "line_id"], F.col("line_block"), max_clips_per_shard)
-        return name_manifest_rows(capped, language, corpus, split, seed)
-
-    decoded = decode_manifests(spark, root, read_manifest(spark, paths), decoders, decode_tasks)
-    return land(decoded, out, quarantine, max_bad, pick, ["shard", "member"])
+    return ingest_lines(
+        spark, root, read_manifest(spark, paths), out, language, corpus, split, max_clips_per_shard, seed, decoders, quarantine,
+        max_bad, decode_tasks,
+    )
 
 
 def ingest_all(spark: SparkSession, sources: dict[str, Callable[[], int]], parallel: int = 1) -> DataFrame:

@@ -19,8 +19,8 @@ from speechlake.operators.quality import (
 from speechlake.operators.ranking import number_slice, take_ranks
 from speechlake.operators.sequence import chunk_arrays, concat_ordered
 from speechlake.operators.udf import MODEL_BATCH, transcribe
-from speechlake.session import local_copy, small_batches, staged
-from speechlake.sources.tables import read_ids, read_submission, read_testset, write_submission
+from speechlake.session import local_copy, staged
+from speechlake.sources.tables import read_ids, read_submission, read_testset, unreadable_files, write_submission
 
 
 def transcribe_clips(
@@ -44,8 +44,8 @@ def build_submission(
     spark: SparkSession, testset: str, out: str, model_factory: Callable, decoders=DEFAULT_DECODERS, limit: int = 0,
     batch_size: int = MODEL_BATCH, expected_rows: int = EXPECTED_ROWS, languages: list[str] = EXPECTED_LANGUAGES,
     files: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Transcribe a test set and write a complete submission; returns (checks, loss report), both small.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Transcribe a test set and write a complete submission; returns (checks, loss report, unreadable files), all small.
 
     ``limit`` transcribes only the first clips in source order; all other ids are backfilled. Of a repeated id, the
     first clip that could be decoded counts.
@@ -54,7 +54,7 @@ def build_submission(
     if limit:
         places = F.struct(F.col("file"), number_slice("row"))
         clips = take_ranks(clips, [], places, [F.col("file"), F.col("row")], 0, limit)
-    with small_batches(spark), staged(transcribe_clips(clips, model_factory, decoders, batch_size), "transcribed") as texts:
+    with staged(transcribe_clips(clips, model_factory, decoders, batch_size), "transcribed") as texts:
         heard = texts.filter(F.col("status") == "transcribed")
         with staged(complete_submission(heard, ids, ["file", "row"]), "submission") as complete:
             write_submission(complete, out, files)
@@ -63,7 +63,7 @@ def build_submission(
             reported = texts.select("id", "status", "transcription").unionByName(
                 missing.select("id", F.lit("backfilled").alias("status"), F.lit("").alias("transcription"))
             )
-            return checks, local_copy(loss_report(reported))
+            return checks, local_copy(loss_report(reported)), local_copy(unreadable_files(spark, testset, "test_*.parquet"))
 
 
 def clean_submission(spark: SparkSession, source: str, out: str, files: int | None = None) -> dict:

@@ -1,5 +1,6 @@
 """Session defaults and the shared scratch folder."""
 
+import atexit
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -8,15 +9,15 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 # The partition values of the lake are codes ("swa", "train"); never read them as numbers.
-# Clips are large rows: keep the Arrow batches that go to Python workers small.
+# Clips are large rows: Arrow batches that go to Python workers are bounded by bytes.
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
 }
-CLIP_BATCH_ROWS = 50
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -40,18 +41,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = CLIP_BATCH_ROWS):
-    """Hold Arrow batches to a few clips while an audio job runs."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 @lru_cache(maxsize=1)
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="speechlake-")
@@ -67,8 +56,24 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch()
 
 
+_GIVEN: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared scratch folder; what is written there goes when the driver's Python ends."""
+    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _GIVEN.append((spark, path))
+    return path
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _GIVEN:
+        try:
+            system, target = hadoop_path(spark, path)
+            system.delete(target, True)
+        except Exception:  # the session is gone already
+            return
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -6,6 +6,7 @@ import lzma
 import math
 import tarfile
 import wave
+from contextlib import contextmanager
 
 
 def wav(seconds=None, rate=16_000, channels=1, frames=None, hz=440.0, width=2):
@@ -56,3 +57,15 @@ def manifest(path, entries):
 
 def entry(name, text, **more):
     return {"audio_filepath": name, "transcription": text, "locale": "x", **more}
+
+
+@contextmanager
+def small_batches(spark, rows):
+    """Hold Arrow batches to a few rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

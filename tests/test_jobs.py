@@ -40,7 +40,11 @@ def test_ingest_clips_in_rounds(spark, tmp_path):
     assert sorted(splits["test"]) == [f"test{i}" for i in range(5)]
     assert len(set(splits["train"])) == 10
     bad = spark.read.parquet(str(tmp_path / "bad")).collect()
-    assert len(bad) == 1 and bad[0].split == "dev" and "wav" in bad[0].error
+    assert len(bad) == 1 and bad[0].clip_key.startswith("validation#") and "wav" in bad[0].error
+    again = I.ingest_clips(spark, source, out, "kik", "c26", take=5, quarantine=str(tmp_path / "bad"))
+    assert again == 0 and spark.read.parquet(str(tmp_path / "bad")).count() == 1  # a round that runs again adds nothing
+    assert I.ingest_clips(spark, source, out, "kik", "c26", take=8) == 3 + 1  # validation5 to 7 and test5
+    rows = read_lake(spark, out, META).collect()
     lake = read_lake(spark, out)
     assert len(decode_wav(bytes(lake.filter("text = 'test3'").first().audio_bytes))[0]) == 103
 
@@ -104,9 +108,11 @@ def test_ingest_all_goes_on_after_a_failure(spark, tmp_path):
     calls = []
     sources = {"a": lambda: calls.append(1) or 1}
     assert I.ingest_once(spark, str(out), sources).first().rows == 1
-    out.mkdir()
-    (out / "x").write_text("y")
-    assert I.ingest_once(spark, str(out), sources).first().rows == 0 and calls == [1]
+    (out / "_temporary/0").mkdir(parents=True)
+    (out / "corpus=c/split=train/language=x/_temporary").mkdir(parents=True)
+    assert I.ingest_once(spark, str(out), sources).first().rows == 1
+    (out / "corpus=c/split=train/language=x/part-0.parquet").write_text("y")
+    assert I.ingest_once(spark, str(out), sources).first().rows == 0 and calls == [1, 1]
 
 
 def test_rounds_with_a_ledger(spark):
@@ -138,7 +144,7 @@ def test_stream_ingest_lands_each_manifest_once(spark, tmp_path):
     manifest_source(source, {2: (entries, members[:-1] + [(members[-1][0], b"bad")])})
     run()
     assert texts() == [f"text a{i}" for i in range(4)] + ["text b1", "text b2"]
-    assert [r.member for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == ["b0.wav"]
+    assert [r.clip_key.split("#")[1] for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == ["b0.wav"]
 
 
 def model():
@@ -157,13 +163,15 @@ def test_build_submission(spark, tmp_path):
         target = tmp_path / "set" / name
         target.parent.mkdir(parents=True)
         target.write_bytes(next(out.glob("*.parquet")).read_bytes())
-    checks, losses = build_submission(spark, str(tmp_path / "set"), str(tmp_path / "out"), model, expected_rows=5, languages=["swa", "kik"], files=1)
+    (tmp_path / "set/swa/test_bad.parquet").write_bytes(b"garbage")
+    checks, losses, skipped = build_submission(spark, str(tmp_path / "set"), str(tmp_path / "out"), model, expected_rows=5, languages=["swa", "kik"], files=1)
     got = {r.id: (r.language, r.transcription) for r in read_submission(spark, str(tmp_path / "out")).collect()}
     assert got == {"1": ("swa", "n100"), "2": ("kik", "n50"), "3": ("swa", "..."), "4": ("kik", "n560000 n16000"), "5": ("kik", "n560000")}
     assert all(r.ok for r in checks.collect())
     assert losses.first().asDict() == {"decode_failed": 1, "model_blank": 1, "backfilled": 0}
+    assert [r.path.rsplit("/", 1)[1] for r in skipped.collect()] == ["test_bad.parquet"]
 
-    checks, losses = build_submission(spark, str(tmp_path / "set"), str(tmp_path / "few"), model, limit=1, expected_rows=9, languages=["swa"])
+    checks, losses, skipped = build_submission(spark, str(tmp_path / "set"), str(tmp_path / "few"), model, limit=1, expected_rows=9, languages=["swa"])
     got = {r.id: r.transcription for r in read_submission(spark, str(tmp_path / "few")).collect()}
     assert got == {"4": "n560000 n16000", "5": "...", "1": "...", "2": "...", "3": "..."}
     assert {r.check: (r.ok, r.detail) for r in checks.collect()} == {"row_count": (False, "5"), "languages": (False, "kik"), "blank_cells": (True, "0")}
@@ -186,3 +194,34 @@ def test_validate_submission_reports_all_problems(spark):
     assert got == {"row_count": (False, "3"), "languages": (False, "NULL,xx"), "blank_cells": (False, "2")}
     empty = {r.check: r.ok for r in validate_submission(df.limit(0), 0).collect()}
     assert empty == {"row_count": True, "languages": True, "blank_cells": True}
+
+
+def test_any_number_of_clips_may_fail(spark, tmp_path):
+    source, out, bad = str(tmp_path / "src"), str(tmp_path / "lake"), str(tmp_path / "bad")
+    clip_source(spark, source, {"train": 70, "validation": 1, "test": 1}, bad={("train", i) for i in range(60)})
+    assert I.ingest_clips(spark, source, out, "kik", "c", quarantine=bad, int8_list=True) == 12
+    assert spark.read.parquet(bad).count() == 60
+    assert dict(read_lake(spark, out).dtypes)["audio_bytes"] == "array<tinyint>"
+
+
+def test_streams_and_batches_share_a_lake(spark, tmp_path):
+    source, out = tmp_path / "my src 100%+", str(tmp_path / "lake")
+    manifest_source(source, {1: shard(4, "a")})
+    manifest(source / "health_x_train/manifest_9.jsonl", [entry("z0.wav", "text z0")])
+
+    def stream(language, checkpoint):
+        stream_ingest(spark, str(source), out, str(tmp_path / checkpoint), language, "c", F.lit("train"), quarantine=str(tmp_path / "bad")).awaitTermination()
+
+    def landed():
+        return sorted((r.language, r.text) for r in read_lake(spark, out, META).collect())
+
+    first = [f"text a{i}" for i in range(4)]
+    stream("swa", "one")
+    stream("som", "two")
+    assert I.ingest_manifests(spark, str(source), out, "kik", "c", F.lit("train")) == 4
+    stream("swa", "three")  # a new checkpoint sees all manifests again
+    assert landed() == [(language, text) for language in ("kik", "som", "swa") for text in first]
+    archive(source / "health_x_train/audio/audio_9.tar.xz", [("clips/z0.wav", wav(frames=70))])
+    stream("swa", "one")
+    stream("swa", "one")
+    assert landed() == sorted([(language, text) for language in ("kik", "som", "swa") for text in first] + [("swa", "text z0")])

@@ -6,14 +6,15 @@ import pytest
 from compare import TESTDATA, difference
 
 import __spark_entry__ as entry
+import checks
 
 SF_DIR = os.path.join(TESTDATA, os.environ.get("SPEECHLAKE_SF", "sf0.001"))
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.queries(), checks.SQL
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(checks.QUERIES))
 def test_query(spark, name):
     assert difference(QUERIES[name], SQL[name], spark, SF_DIR) is None
 
