@@ -76,32 +76,41 @@ def _literal(value, dtype) -> Column:
     return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in dtype.fields])
 
 
+def _sliced(df: DataFrame, by: list[str], coarse: Column) -> tuple[DataFrame, Window]:
+    """``df`` with ``_key``, its group and slice as one value that is never NULL, and the window over one slice.
+
+    Windows and joins on ``_key`` share one shuffle: rows of NULL groups meet without a null-safe comparison.
+    """
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(by)], coarse.alias("slice"))
+    return df.withColumn("_key", key), Window.partitionBy("_key")
+
+
+def _earlier_slices(by: list[str]) -> Window:
+    return Window.partitionBy(*[F.col(f"_key.k{i}") for i in range(len(by))]).orderBy("_key.slice")
+
+
+def _with_slice_values(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """``values`` (one row per ``_key``) beside the rows, which stay where the window over their slice left them."""
+    return rows.join(values.hint("merge"), "_key").drop("_key")
+
+
 def running_sums(
     df: DataFrame, by: list[str], coarse: Column, order: list[str], sums: dict[str, Column]
 ) -> DataFrame:
-    """Add inclusive running sums of ``sums`` within ``by`` in ``order``."""
-    sliced = df.withColumns({"_slice": coarse, **{f"_of_{name}": value for name, value in sums.items()}})
-    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*by, "_slice")
-        .agg(*[F.sum(f"_of_{name}").alias(f"_of_{name}") for name in sums])
-        .select(
-            *by,
-            "_slice",
-            *[
-                F.coalesce(F.sum(f"_of_{name}").over(earlier), F.lit(0)).alias(f"_before_{name}")
-                for name in sums
-            ],
-        )
-    )
-    within = (
-        Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    joined = attach(sliced, offsets, [*by, "_slice"])
-    return joined.select(
-        *df.columns,
-        *[(F.sum(f"_of_{name}").over(within) + F.col(f"_before_{name}")).alias(name) for name in sums],
+    """Add inclusive running sums of ``sums`` within ``by`` in ``order``.
+
+    Rows are shuffled once, to their slice. The totals of the slices come from the same rows.
+    """
+    sliced, slices = _sliced(df.withColumns({f"_of_{name}": value for name, value in sums.items()}), by, coarse)
+    before = _earlier_slices(by).rowsBetween(Window.unboundedPreceding, -1)
+    totals = sliced.groupBy("_key").agg(*[F.sum(f"_of_{name}").alias(f"_all_{name}") for name in sums])
+    offsets = totals.select(
+        "_key", *[F.coalesce(F.sum(f"_all_{name}").over(before), F.lit(0)).alias(f"_before_{name}") for name in sums]
     )
+    within = slices.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = sliced.select(*df.columns, "_key", *[F.sum(f"_of_{name}").over(within).alias(f"_in_{name}") for name in sums])
+    joined = _with_slice_values(summed, offsets)
+    return joined.select(*df.columns, *[(F.col(f"_in_{name}") + F.col(f"_before_{name}")).alias(name) for name in sums])
 
 
 def ranked(df: DataFrame, by: list[str], coarse: Column, order: list[str], name: str = "rank") -> DataFrame:
@@ -211,14 +220,9 @@ def with_previous(df: DataFrame, by: list[str], coarse: Column, order: list[str]
 
     The first row of a slice takes the last value of the nearest earlier slice.
     """
-    sliced = df.withColumn("_slice", coarse)
-    earlier = Window.partitionBy(*by).orderBy("_slice")
-    ends = (
-        sliced.groupBy(*by, "_slice")
-        .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_end"))
-        .select(*by, "_slice", F.lag("_end").over(earlier).alias("_carry"))
-    )
-    within = Window.partitionBy(*by, "_slice").orderBy(*order)
-    joined = attach(sliced, ends, [*by, "_slice"])
-    before = F.lag(F.struct(F.col(value).alias("v"))).over(within)
-    return joined.select(*df.columns, F.coalesce(before, F.col("_carry"))["v"].alias(name))
+    sliced, slices = _sliced(df, by, coarse)
+    last = F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_end")
+    carried = sliced.groupBy("_key").agg(last).select("_key", F.lag("_end").over(_earlier_slices(by)).alias("_carry"))
+    before = F.lag(F.struct(F.col(value).alias("v"))).over(slices.orderBy(*order)).alias("_before")
+    joined = _with_slice_values(sliced.select(*df.columns, "_key", before), carried)
+    return joined.select(*df.columns, F.coalesce("_before", "_carry")["v"].alias(name))

@@ -4,21 +4,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from speechlake.operators.aggregate import language_hours
-from speechlake.operators.join import pair_transcripts
 from speechlake.operators.project import MAX_AUDIO_LEN, MIN_AUDIO_LEN, drop_unlabeled, filter_length
-from speechlake.operators.ranking import join_null_safe
+from speechlake.operators.ranking import join_null_safe, small_side
 from speechlake.operators.sample import BETA, SEED, mix_quotas, mix_weights, temperature_sample
 from speechlake.operators.score import error_rates
 from speechlake.operators.sequence import (
     BLANK,
     MAX_ELEMENTS,
     argmax_frames,
-    collect_sequences,
-    decode_tokens,
+    collect_ordered,
     greedy_collapse,
     group_steps,
     pack_batches,
 )
+from speechlake.session import materialized
 from speechlake.sources.tables import read_lake, write_stats
 
 
@@ -52,16 +51,19 @@ def score(
 ) -> DataFrame:
     """Greedy decoding of frame scores (``utt_id, frame_idx, scores``) against ``utt_id, ref, ref_tokens``.
 
-    One row with ``wer`` and ``uer``. Utterances without frames count as empty hypotheses.
+    One row with ``wer`` and ``uer``. Utterances without frames count as empty hypotheses. The scores are read once: the
+    best token of each frame is written as a narrow table, and one aggregate of it gives token arrays and texts.
     """
     by, order = ["utt_id"], ["frame_idx"]
-    tokens = greedy_collapse(argmax_frames(frames, "scores", "frame_idx" if length else None, length), by, order, coarse, blank=blank)
-    units = collect_sequences(tokens.select("utt_id", "frame_idx", "token"), references, by, order, coarse)
-    texts = decode_tokens(tokens, vocab, by, order, coarse).withColumnRenamed("text", "hyp")
-    whole = join_null_safe(references.select("utt_id"), texts, by, "left").withColumn("hyp", F.coalesce("hyp", F.lit("")))
-    pairs = (
-        pair_transcripts(references.select("utt_id", "ref"), whole)
-        .join(references.select("utt_id", "ref_tokens"), "utt_id")
-        .join(units.withColumnRenamed("tokens", "hyp_tokens"), "utt_id")
-    )
-    return error_rates(pairs)
+    best = argmax_frames(frames, "scores", "frame_idx" if length else None, length).select("utt_id", "frame_idx", "token")
+    tokens = greedy_collapse(materialized(best, "tokens"), by, order, coarse, blank=blank)
+    pieces = vocab.filter(~F.col("special")).select(F.col("token_id").alias("token"), "piece")
+    spoken = tokens.join(small_side(pieces), "token", "left").withColumn("heard", F.struct("token", "piece"))
+    heard = collect_ordered(spoken, by, order, "heard", coarse, "heard")
+    one = F.assert_true(F.count("*") == 1, F.concat(F.lit("utt_id is not unique: "), F.col("utt_id").cast("string"))).alias("_one")
+    unique = references.groupBy("utt_id").agg(F.min("ref").alias("ref"), F.min("ref_tokens").alias("ref_tokens"), one).filter("_one is null")
+    pairs = join_null_safe(unique.drop("_one"), heard, by, "left")
+    empty = F.array().cast(dict(heard.dtypes)["heard"])
+    pairs = pairs.withColumn("heard", F.coalesce("heard", empty))
+    hyp = F.array_join(F.transform("heard", lambda h: h["piece"]), "")  # skips the pieces of special tokens, which are NULL
+    return error_rates(pairs.select("ref", "ref_tokens", hyp.alias("hyp"), F.transform("heard", lambda h: h["token"]).alias("hyp_tokens")))

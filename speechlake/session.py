@@ -82,6 +82,13 @@ def hadoop_path(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a parquet table in the shared scratch folder, for as long as the driver lives."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def staged(df: DataFrame, name: str = "stage", group_rows: int | None = None):
     """Write ``df`` once as parquet in the shared folder and read it back.
