@@ -138,6 +138,16 @@ def windowed_shuffle(spark, sf):
     return S.windowed_shuffle(_docs(spark, sf).select("doc_id"), "doc_id", "doc_id", 16)
 
 
+_SPARSE_SQL = "('0x' || substr(md5(doc_id::varchar), 1, 15))::bigint"
+
+
+@check("m7_sparse_order", f"select doc_id, row_number() over (order by {_SPARSE_SQL}) as position from documents")
+def sparse_order(spark, sf):
+    """An order whose values are far apart."""
+    place = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 15), 16, 10).cast("bigint")
+    return S.windowed_shuffle(_docs(spark, sf).select("doc_id", place.alias("place")), "place", "doc_id", 1).drop("place")
+
+
 @check("m7_window_one", "select doc_id, row_number() over (order by doc_id) as position from documents")
 def window_one(spark, sf):
     return S.windowed_shuffle(_docs(spark, sf).select("doc_id"), "doc_id", "doc_id", 1)

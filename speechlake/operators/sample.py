@@ -7,7 +7,7 @@ of the sample: chunks cut with the same seed are disjoint whatever their sizes.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from speechlake.operators.ranking import attach, hash_slice, join_null_safe, number_slice, order_hash, rank_cutoffs, ranked, take_ranks
+from speechlake.operators.ranking import attach, even_slice, hash_slice, join_null_safe, order_hash, rank_cutoffs, ranked, take_ranks
 
 # Default seed, size of the eval head, split fractions and temperature exponents.
 SEED = 123
@@ -127,7 +127,7 @@ def windowed_shuffle(
     df: DataFrame, order: str, key: str, window: int, seed: int = SEED, coarse: Column | None = None
 ) -> DataFrame:
     """Add ``position``: source order with rows shuffled inside blocks of ``window``; 1 leaves the order as it is."""
-    numbered = ranked(df, [], number_slice(order) if coarse is None else coarse, [order], "position")
+    numbered = ranked(df, [], even_slice(df, order) if coarse is None else coarse, [order], "position")
     if window == 1:
         return numbered
     block = F.floor((F.col("position") - 1) / window)

@@ -1,10 +1,9 @@
 """Frames, tokens, chunks and batches."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from speechlake.operators.ranking import (
-    attach,
     hash_slice,
     join_null_safe,
     order_hash,
@@ -93,12 +92,12 @@ def decode_tokens(
 
 def pad_batch(df: DataFrame, batch: list[str], tokens: str = "tokens", pad: int = 0) -> DataFrame:
     """Pad the token arrays to the longest of their batch; ``length`` keeps the length before."""
-    longest = df.groupBy(*batch).agg(F.max(F.size(tokens)).alias("_longest"))
     element = dict(df.dtypes)[tokens][len("array<") : -1]
+    # A batch is what a consumer holds at once, so its rows may meet in one task.
+    longest = F.max(F.size(tokens)).over(Window.partitionBy(*batch))
     filler = F.array_repeat(F.lit(pad).cast(element), F.col("_longest") - F.col("length"))
     return (
-        attach(df, longest, batch)
-        .withColumn("length", F.size(tokens))
+        df.withColumns({"_longest": longest, "length": F.size(tokens)})
         .withColumn(tokens, F.concat(F.col(tokens), filler))
         .drop("_longest")
     )

@@ -51,7 +51,9 @@ def test_ends_of_a_range_reach_the_scan(spark):
 
 def test_ranks_cut_hot_groups_into_slices(lake):
     text = plan(R.ranked(lake.select("language", "audio_size"), ["language"], R.number_slice("audio_size", 50), ["audio_size"]))
-    assert "hashpartitioning(language" in text and "_slice" in text.split("hashpartitioning")[1].split(")")[0]
+    windows = [line for line in text.split("\n") if "Window [" in line and "audio_size" in line]
+    assert windows and all("[_key#" in line for line in windows)  # the group and the slice together
+    assert "hashpartitioning(_key#" in text and "hashpartitioning(language" not in text
 
 
 def test_text_cleaning_stays_in_the_jvm(lake):
