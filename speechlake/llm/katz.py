@@ -21,8 +21,8 @@ from pyspark.sql.types import _parse_datatype_string
 
 START, END = np.uint64(1), np.uint64(2)  # marks before and behind a text; the end is a token, the start is not
 DISCOUNTED = 5  # counts up to this are discounted
-PACK_TOKENS, PACK_DOCS = 3_000_000, 60_000
-BUCKET_BYTES = 16 << 20  # text per bucket, about
+PACK_TOKENS, PACK_DOCS = 1_500_000, 60_000  # bounds on a task's memory
+BUCKET_BYTES = 12 << 20  # text per bucket, about
 LEAST_MASS = 1e-12
 
 PACKS = (
@@ -44,7 +44,7 @@ class _Pack:
 
     def add(self, key, text: bytes, held: bool) -> None:
         words, number = text.lower().split(), self.words.setdefault  # bytes: A-Z and ASCII white space only
-        row = np.array([0, *[number(w, len(self.words)) for w in words], 1], np.int64)
+        row = np.array([0, *[number(w, len(self.words)) for w in words], 1], np.int32)
         (self.held if held else self.train).append((key, row))
         self.size += len(row)
 
@@ -58,26 +58,32 @@ class _Pack:
     def rows(self) -> Iterator[dict]:
         docs = [row for _, row in [*self.train, *self.held]]
         keys = [key for key, _ in [*self.train, *self.held]]
+        sizes = [len(d) - 1 for d in docs]
         shared = {"pack": self.number, "n_train": len(self.train), "n_docs": len(docs)}
         hashes = self.hashes()
+        self.words, self.train, self.held = {}, [], []  # what follows needs the room
         home = (hashes % np.uint64(self.buckets)).astype(np.int64)
         turn = np.lexsort((hashes, home))
         rank = np.empty(len(turn), np.int64)
         rank[turn] = np.arange(len(turn))
-        first = rank[np.concatenate([d[:-1] for d in docs])]
-        second = np.concatenate([d[1:] for d in docs])
-        doc = np.repeat(np.arange(len(docs)), [len(d) - 1 for d in docs])
-        pair = first * len(hashes) + second
+        pair = rank[np.concatenate([d[:-1] for d in docs])]
+        pair *= len(hashes)
+        pair += np.concatenate([d[1:] for d in docs])
+        del docs
         order = np.argsort(pair, kind="stable")
-        pair, doc = pair[order], doc[order]
+        pair = pair[order]
+        doc = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)[order]
+        del order
         new_pair = np.concatenate(([True], pair[1:] != pair[:-1]))
         entry = np.flatnonzero(new_pair | np.concatenate(([True], doc[1:] != doc[:-1])))
-        times = np.diff(np.append(entry, len(pair)))
-        entry_pair = np.cumsum(new_pair)[entry] - 1
+        times = np.diff(np.append(entry, len(pair))).astype(np.uint32)
+        doc = doc[entry]
+        n_in = np.bincount((np.cumsum(new_pair) - 1)[entry])
+        del entry
         pair = pair[new_pair]
-        n_in = np.bincount(entry_pair, minlength=len(pair))
         of_first = turn[pair // len(hashes)]
         second_hash = hashes[pair % len(hashes)]
+        del pair, new_pair
         entry_end = np.concatenate(([0], np.cumsum(n_in)))
         cuts = np.searchsorted(home[of_first], np.arange(self.buckets + 1))
         for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
@@ -88,11 +94,10 @@ class _Pack:
             often = np.flatnonzero(times[part] > 1)
             arrays = {
                 "first": hashes[of_first[a:b][starts]], "n_second": np.diff(np.append(starts, b - a)).astype(np.uint32), "second": second_hash[a:b],
-                "n_in": n_in[a:b].astype(np.uint16), "docs": doc[entry][part].astype(np.uint16), "often": often.astype(np.uint32),
-                "times": times[part][often].astype(np.uint32),
+                "n_in": n_in[a:b].astype(np.uint16), "docs": doc[part], "often": often.astype(np.uint32), "times": times[part][often],
             }
             yield shared | {"bucket": bucket, **{name: a.tobytes() for name, a in arrays.items()}}
-        yield shared | {"bucket": self.number % self.buckets, "n_tokens": [len(d) - 1 for d in docs], "keys": keys}
+        yield shared | {"bucket": self.number % self.buckets, "n_tokens": sizes, "keys": keys}
 
 
 def _packer(buckets: int, schema: pa.Schema):
@@ -336,6 +341,7 @@ def _scorer(buckets: int):
                 out.append({"pack": part.pack, "base": sums[0].tobytes(), "known": sums[1].astype(np.uint32).tobytes(), "score": sums[2].tobytes()})
         for row in table.filter(pc.is_valid(table.column("n_tokens"))).to_pylist():
             out.append({"pack": row["pack"], "n_train": row["n_train"], "n_tokens": row["n_tokens"], "keys": row["keys"], "tokens": model.tokens, "distinct": model.distinct})
+        pa.default_memory_pool().release_unused()
         kinds = {"pack": pa.int64(), "base": pa.binary(), "known": pa.binary(), "score": pa.binary(), "n_train": pa.int32(), "n_tokens": pa.list_(pa.int64()), "keys": table.schema.field("keys").type, "tokens": pa.int64(), "distinct": pa.int64()}
         return pa.table({name: pa.array([row.get(name) for row in out], kind) for name, kind in kinds.items()})
 
