@@ -81,6 +81,14 @@ def op10_suffix_array_dedup(spark, sf_dir):
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+SQL["op3_no_random_access"] = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+    where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+    from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id)
+select query_id, rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored) where rank <= 5
+"""
 SQL["op8_poisson_mixing"] = """
 with docs as (select doc_id, source, text, ('0x' || substr(md5('17|' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint::double / 4503599627370496.0 as u from documents),
 totals as (select source, sum(coalesce(length(text), 0))::double as total from docs group by source),

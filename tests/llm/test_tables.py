@@ -175,10 +175,11 @@ def test_pack_documents(spark):
 # --- mixing
 
 
-def test_mixing_sql(spark):
+@pytest.mark.parametrize("name", sorted(registered.SQL))
+def test_sql(spark, name):
     from compare import difference
 
-    assert difference(registered.QUERIES["op8_poisson_mixing"], registered.SQL["op8_poisson_mixing"], spark, SF) is None
+    assert difference(registered.QUERIES[name], registered.SQL[name], spark, SF) is None
 
 
 def test_mixing_meets_its_shares(spark):
