@@ -14,9 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TEXT_BUCKETS, META_BUCKETS = 1024, 256
+TEXT_BUCKETS, META_BUCKETS = 512, 256
 # Fitting runs on bounded samples; scoring takes every document whole.
-LABELLED_ROWS, POOL_ROWS = 4000, 4000
+LABELLED_ROWS, POOL_ROWS = 3000, 2000
 ROUNDS, PER_ROUND, CONFIDENT = 4, 200, 0.97
 SEED = 11
 TEXT_WIDTH = TEXT_BUCKETS + 4
@@ -36,7 +36,7 @@ def text_features(text: bytes) -> np.ndarray:
     if len(raw) >= 3:
         wide = raw.astype(np.uint32)
         triples = ((wide[:-2] << 16) | (wide[1:-1] << 8) | wide[2:]) * np.uint32(2654435761)
-        counts = np.bincount(triples >> np.uint32(22), minlength=TEXT_BUCKETS)  # the top 10 bits
+        counts = np.bincount(triples >> np.uint32(23), minlength=TEXT_BUCKETS)  # the top 9 bits
         out[:TEXT_BUCKETS] = np.sqrt(counts / (len(triples) + SHORT_BYTES))
         words = text.split()
         again = sum(map(eq, words, words[1:]))
@@ -173,10 +173,14 @@ def train_quality(
     chosen = texts.join(F.broadcast(sample), F.col("_key") == F.col("key")).drop("_key")
     names = [f"meta_{c}" for c in meta]
     rows = chosen.select("label", "turn", "text", *names).mapInArrow(_features(names), "label double, turn bigint, x binary").toArrow()
-    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.float32).reshape(rows.num_rows, TEXT_WIDTH + META_BUCKETS + 1)
     y = rows.column("label").to_numpy(zero_copy_only=False).astype(np.float64)
     order = np.argsort(rows.column("turn").to_numpy(), kind="stable")
+    width = TEXT_WIDTH + META_BUCKETS + 1
+    x = np.empty((rows.num_rows, width), np.float32)
+    for i, row in enumerate(rows.column("x")):  # no second copy of all rows
+        x[i] = np.frombuffer(row.as_buffer(), np.float32)
     x, y = x[order], y[order]
+    del rows
     known = ~np.isnan(y)
     if not (y == 0).any() or not (y == 1).any():
         return None
