@@ -5,8 +5,12 @@ documents each occurs in. Its rows go to buckets by the hash of a bigram's first
 its words: bigram counts, word counts (every word but the last mark is a first word once per occurrence) and the backoff
 weights. What the second words count is asked of the buckets they belong to. Buckets are the partitioned tables of the
 model; every bucket scores the tokens it holds, and the sums go back to the documents.
+
+A word that would fill more than a bucket as a first word is hot. A sample finds the hot words; their bigrams are spread
+by the second word, under stand-ins for the first one, and only a row of sums per hot word is brought together.
 """
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +27,7 @@ START, END = np.uint64(1), np.uint64(2)  # marks before and behind a text; the e
 DISCOUNTED = 5  # counts up to this are discounted
 PACK_TOKENS, PACK_DOCS = 1_500_000, 60_000  # bounds on a task's memory
 BUCKET_BYTES = 12 << 20  # text per bucket, about
+SAMPLED = 16  # one document in so many is read for hot words; that steers where bigrams go, not what they count
 LEAST_MASS = 1e-12
 
 PACKS = (
@@ -37,8 +42,8 @@ PACKS = (
 class _Pack:
     """Documents as rows of word numbers; ``rows`` gives their bigrams by bucket."""
 
-    def __init__(self, number: int, buckets: int):
-        self.number, self.buckets = number, buckets
+    def __init__(self, number: int, buckets: int, hot: dict[int, int]):
+        self.number, self.buckets, self.hot = number, buckets, hot
         self.words: dict[bytes, int] = {b"\0start": 0, b"\0end": 1}
         self.train, self.held, self.size = [], [], 0
 
@@ -60,16 +65,22 @@ class _Pack:
         keys = [key for key, _ in [*self.train, *self.held]]
         sizes = [len(d) - 1 for d in docs]
         shared = {"pack": self.number, "n_train": len(self.train), "n_docs": len(docs)}
-        hashes = self.hashes()
+        hashes = own = self.hashes()
         self.words, self.train, self.held = {}, [], []  # what follows needs the room
+        first, second = np.concatenate([d[:-1] for d in docs]), np.concatenate([d[1:] for d in docs])
+        del docs
+        for i in np.flatnonzero(np.isin(own, np.array(list(self.hot), np.uint64))):
+            at, spread = np.flatnonzero(first == i), self.hot[int(own[i])]
+            first[at] = len(hashes) + (own[second[at]] % np.uint64(spread)).astype(np.int32)
+            hashes = np.append(hashes, stand_ins(int(own[i]), spread))
         home = (hashes % np.uint64(self.buckets)).astype(np.int64)
         turn = np.lexsort((hashes, home))
         rank = np.empty(len(turn), np.int64)
         rank[turn] = np.arange(len(turn))
-        pair = rank[np.concatenate([d[:-1] for d in docs])]
+        pair = rank[first]
         pair *= len(hashes)
-        pair += np.concatenate([d[1:] for d in docs])
-        del docs
+        pair += second
+        del first, second
         order = np.argsort(pair, kind="stable")
         pair = pair[order]
         doc = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)[order]
@@ -100,10 +111,50 @@ class _Pack:
         yield shared | {"bucket": self.number % self.buckets, "n_tokens": sizes, "keys": keys}
 
 
-def _packer(buckets: int, schema: pa.Schema):
+def stand_ins(word: int, spread: int) -> np.ndarray:
+    """Hashes under which the bigrams of a hot first word are kept, by the hash of the second word."""
+    from xxhash import xxh64_intdigest
+
+    return np.array([xxh64_intdigest(f"{word}|{k}") for k in range(spread)], np.uint64)
+
+
+def _frequent(buckets: int):
+    """Hashes of the first words of sampled texts that may be hot, and their counts; the number of all first words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        counts, texts, total = Counter(), 0, 0
+        for batch in batches:
+            for value in batch.column(0):
+                words = (value.as_py() or "").encode().lower().split()
+                counts.update(words)
+                texts, total = texts + 1, total + len(words) + 1
+            if len(counts) > PACK_TOKENS:  # words too rare here to be hot on the whole
+                counts = Counter({w: n for w, n in counts.items() if n * 8 * buckets > total})
+        found = [(int(START), texts), *((xxh64_intdigest(w), n) for w, n in counts.items() if n * 4 * buckets > total)]
+        words = np.array([w for w, _ in found], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array([n for _, n in found], pa.int64()), pa.array([total] + [0] * (len(found) - 1), pa.int64())], names=["word", "n", "total"])
+
+    return run
+
+
+def hot_words(docs: DataFrame, text: str, buckets: int) -> dict[int, int]:
+    """First words that would fill more than a bucket, and over how many stand-ins each is spread; at most ``buckets``."""
+    if buckets == 1:
+        return {}
+    sample = docs.filter(F.pmod(F.xxhash64(F.col(text), F.lit(3)), F.lit(SAMPLED)) == 0).select(text)
+    found = sample.mapInArrow(_frequent(buckets), "word bigint, n bigint, total bigint")
+    seen = found.groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    total = seen.agg(F.sum("total")).first()[0] or 0
+    rows = seen.filter(F.col("n") * buckets > total).collect() if total else []
+    return {row.word % 2**64: 2 * -(-row.n * buckets // total) for row in rows}
+
+
+def _packer(buckets: int, hot: dict[int, int], schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        pack = _Pack(number, buckets)
+        pack = _Pack(number, buckets, hot)
 
         def flush(pack):
             for row in pack.rows():
@@ -115,7 +166,7 @@ def _packer(buckets: int, schema: pa.Schema):
                 if pack.size >= PACK_TOKENS or len(pack.train) + len(pack.held) >= PACK_DOCS:
                     yield from flush(pack)
                     number += 1
-                    pack = _Pack(number, buckets)
+                    pack = _Pack(number, buckets, hot)
         if pack.size:
             yield from flush(pack)
 
@@ -179,15 +230,58 @@ def _count_of_counts(counts: np.ndarray) -> list[int]:
 STATS = 2 * (DISCOUNTED + 1) + 3
 
 
-def _stats(key: tuple, table: pa.Table) -> pa.Table:
-    """Word and bigram counts of counts, tokens and distinct words (both without the end mark), end marks."""
-    parts, values = _parts(table), [0] * STATS
-    if parts:
-        words, counts = _first_words(parts)
-        counts = counts[words != START]
-        _, second, pairs, _ = _bigrams(parts)
-        values = [*_count_of_counts(counts), *_count_of_counts(pairs), int(counts.sum()), int((counts > 0).sum()), int(pairs[second == END].sum())]
-    return pa.table({f"s{i}": pa.array([v], pa.int64()) for i, v in enumerate(values)})
+class _Hot:
+    """Stand-ins of the hot words, sorted, and the word that each stands for."""
+
+    def __init__(self, hot: dict[int, int]):
+        subs = [(int(sub), word) for word, spread in hot.items() for sub in stand_ins(word, spread)]
+        self.subs, self.words = (np.array(c, np.uint64) for c in (zip(*sorted(subs)) if subs else ([], [])))
+
+    def among(self, first: np.ndarray) -> np.ndarray:
+        return np.isin(first, self.subs)
+
+    def word(self, first: np.ndarray) -> np.ndarray:
+        return self.words[np.searchsorted(self.subs, first)]
+
+
+def _stats(hot: dict[int, int]):
+    """Word and bigram counts of counts, tokens and distinct words (without end marks and hot words), end marks."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        parts, values = _parts(table), [0] * STATS
+        if parts:
+            words, counts = _first_words(parts)
+            counts = counts[(words != START) & ~_Hot(hot).among(words)]
+            _, second, pairs, _ = _bigrams(parts)
+            values = [*_count_of_counts(counts), *_count_of_counts(pairs), int(counts.sum()), int((counts > 0).sum()), int(pairs[second == END].sum())]
+        return pa.table({f"s{i}": pa.array([v], pa.int64()) for i, v in enumerate(values)})
+
+    return run
+
+
+def _hot_bigrams(table: pa.Table, hot: _Hot):
+    """Hot first word, second word and trained count of the bigrams under stand-ins in a bucket."""
+    parts = _parts(table)
+    for part in parts:
+        own = hot.among(part.first)
+        part.first, part.second, part.trained = part.first[own], part.second[own], part.trained[own]
+    if not sum(len(p.first) for p in parts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    first, second, counts, _ = _bigrams(parts)
+    return hot.word(first), second, counts
+
+
+def _hot_sums(hot: dict[int, int]):
+    """Of each hot word in a bucket: its count, its bigrams with counts 1 .. DISCOUNTED, and the sum of larger counts."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        word, _, counts = _hot_bigrams(table, _Hot(hot))
+        names, at = np.unique(word, return_inverse=True)
+        sums = lambda x: pa.array(np.bincount(at, weights=x, minlength=len(names)).astype(np.int64))
+        few = {f"n{r}": sums(counts == r) for r in range(1, DISCOUNTED + 1)}
+        return pa.table({"word": pa.array(names.view(np.int64)), "total": sums(counts), **few, "rest": sums(np.where(counts > DISCOUNTED, counts, 0))})
+
+    return run
 
 
 def _by_home(words: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
@@ -197,15 +291,16 @@ def _by_home(words: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
     return [(to, words[order[a:b]]) for to, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
 
 
-def _asked_words(table: pa.Table, buckets: int) -> list[tuple[int, np.ndarray]]:
+def _asked_words(table: pa.Table, buckets: int, hot: dict[int, int]) -> list[tuple[int, np.ndarray]]:
+    """Second words of a bucket by the bucket that counts them; end marks and hot words are told to all."""
     second = [np.frombuffer(row, np.uint64) for row in table.column("second").to_pylist() if row is not None]
     words = np.unique(np.concatenate(second)) if second else np.zeros(0, np.uint64)
-    return _by_home(words[words != END], buckets)
+    return _by_home(words[~np.isin(words, np.array([int(END), *hot], np.uint64))], buckets)
 
 
-def _asker(buckets: int):
+def _asker(buckets: int, hot: dict[int, int]):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        asked = _asked_words(table, buckets)
+        asked = _asked_words(table, buckets, hot)
         origin = key[0].as_py()
         return pa.table([
             pa.array([to for to, _ in asked], pa.int32()), pa.array([origin] * len(asked), pa.int32()), pa.array([w.tobytes() for _, w in asked], pa.binary()),
@@ -271,13 +366,14 @@ class Model:
     scale: float
 
     @classmethod
-    def of(cls, stats: list[int]) -> "Model":
+    def of(cls, stats: list[int], hot_counts: list[int] = ()) -> "Model":
         k = DISCOUNTED + 1
         words, pairs = list(stats[:k]), stats[k : 2 * k]
         tokens, distinct, ends = stats[2 * k :]
-        if 0 < ends <= k:
-            words[ends - 1] += 1
-        tokens, distinct = tokens + ends, distinct + (ends > 0)
+        for count in (ends, *hot_counts):
+            if 0 < count <= k:
+                words[count - 1] += 1
+            tokens, distinct = tokens + count, distinct + (count > 0)
         factors = discounts(words)
         if not tokens:
             return cls(factors, discounts(pairs), 0, 0, 0, 1.0, 1.0)
@@ -291,46 +387,82 @@ class Model:
         return np.where(counts > 0, seen, self.unknown)
 
 
-def bigram_logs(model: Model, first: np.ndarray, pairs: np.ndarray, second_counts: np.ndarray) -> np.ndarray:
+def bigram_logs(model: Model, first: np.ndarray, pairs: np.ndarray, second_counts: np.ndarray, whole: dict | None = None) -> np.ndarray:
     """log10 P(second | first) of bigrams sorted by first word, from their counts and those of their second words.
 
-    All seen bigrams of a first word have to be there. A seen bigram has its discounted share of the first word's count;
-    the rest backs off to the word chances of all other words, normalised so that the chances after a word sum to 1.
+    All seen bigrams of a first word have to be there, or ``whole`` has its sums: count, discounted count, and the word
+    chances of its seen second words. A seen bigram has its discounted share of the first word's count; the rest backs
+    off to the word chances of all other words, normalised so that the chances after a word sum to 1.
     """
     starts = np.flatnonzero(np.concatenate(([True], np.diff(first) != 0)))
     group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(first))))
-    total = np.add.reduceat(pairs, starts)[group] if len(starts) else pairs
-    seen = pairs > 0
-    share = np.where(seen, model.pair_factors[np.minimum(pairs, DISCOUNTED + 1) % (DISCOUNTED + 1)] * pairs / np.maximum(total, 1), 0.0)
-    words = model.word_chance(second_counts)
-    sums = lambda x: np.bincount(group, weights=x)[group]
-    left = 1 - sums(share)
+    seen, words = pairs > 0, model.word_chance(second_counts)
+    taken = np.where(seen, model.pair_factors[np.minimum(pairs, DISCOUNTED + 1) % (DISCOUNTED + 1)] * pairs, 0.0)
+    sums = np.stack([np.bincount(group, weights=x, minlength=len(starts)) for x in (pairs, taken, np.where(seen, words, 0.0))])
+    for i in np.flatnonzero(np.isin(first[starts], np.array(list(whole or ()), np.uint64))):
+        sums[:, i] = whole[int(first[starts[i]])]
+    total, all_taken, known = sums[:, group]
+    share, left = taken / np.maximum(total, 1), 1 - all_taken / np.maximum(total, 1)
     tight = (left <= LEAST_MASS) & (total > 0)  # nothing was discounted: make room for one more occurrence
     share = np.where(tight, share * total / (total + 1), share)
     left = np.where(tight, 1 / (total + 1), left)
-    weight = np.where(total > 0, left / (1 - sums(np.where(seen, words, 0.0))), 1.0)
+    weight = np.where(total > 0, left / (1 - known), 1.0)
     return np.log10(np.where(seen, share, weight * words))
 
 
-def _scorer(buckets: int):
-    """Sums of a bucket per pack: of log10(count + 1), of known words and of log10 chances, by document."""
+class _Told:
+    """What a bucket is told: the model, the sums of hot words, and the counts of its second words."""
 
-    def run(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+    def __init__(self, table: pa.Table, answers: pa.Table, buckets: int, hot: dict[int, int]):
         rows = answers.to_pylist()
         stats = next(row["stats"] for row in rows if row["stats"] is not None)
+        self.hot = {hot_row["word"] % 2**64: hot_row for row in rows for hot_row in row.get("hot") or ()}
+        words = {word: row["total"] for word, row in self.hot.items() if word != int(START)}
+        self.model = Model.of(stats, list(words.values()))
+        told = {int(END): self.model.ends, **{word: words.get(word, 0) for word in hot}}
         counts_from = {row["home"]: row["counts"] for row in rows if row["counts"] is not None}
-        model, parts, out = Model.of(stats), _parts(table), []
+        known, counts = [np.array(list(told), np.uint64)], [np.array(list(told.values()), np.int64)]
+        for home, asked in _asked_words(table, buckets, hot):
+            raw = counts_from[home]
+            known.append(asked)
+            counts.append(np.frombuffer(raw, np.uint32 if len(raw) == 4 * len(asked) else np.uint64).astype(np.int64))
+        known, counts = np.concatenate(known), np.concatenate(counts)
+        order = np.argsort(known)
+        self.known, self.counts = known[order], counts[order]
+
+    def count(self, second: np.ndarray) -> np.ndarray:
+        return self.counts[np.searchsorted(self.known, second)]
+
+    def whole(self, stand: _Hot) -> dict[int, tuple[float, float, float]]:
+        """Sums of the hot words, by their stand-ins; see ``bigram_logs``."""
+        factors = self.model.pair_factors
+        sums = {word: (row["total"], sum(factors[r] * r * row[f"n{r}"] for r in range(1, DISCOUNTED + 1)) + row["rest"], row["seen"]) for word, row in self.hot.items()}
+        return {int(sub): sums[int(word)] for sub, word in zip(stand.subs, stand.words) if int(word) in sums}
+
+
+def _hot_seen(buckets: int, hot: dict[int, int]):
+    """Of each hot word in a bucket: the word chances of the second words seen after it."""
+
+    def run(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        told = _Told(table, answers, buckets, hot)
+        word, second, counts = _hot_bigrams(table, _Hot(hot))
+        names, at = np.unique(word, return_inverse=True)
+        chances = np.where(counts > 0, told.model.word_chance(told.count(second)), 0.0)
+        return pa.table({"word": pa.array(names.view(np.int64)), "seen": pa.array(np.bincount(at, weights=chances, minlength=len(names)), pa.float64())})
+
+    return run
+
+
+def _scorer(buckets: int, hot: dict[int, int]):
+    """Sums of a bucket per pack: of log10(count + 1), of known words and of log10 chances, by document."""
+
+    def run(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        told, parts, out = _Told(table, answers, buckets, hot), _parts(table), []
+        model = told.model
         if parts:
-            known_words, known_counts = [np.array([END])], [np.array([model.ends])]
-            for home, words in _asked_words(table, buckets):
-                raw = counts_from[home]
-                known_words.append(words)
-                known_counts.append(np.frombuffer(raw, np.uint32 if len(raw) == 4 * len(words) else np.uint64).astype(np.int64))
-            words, counts = np.concatenate(known_words), np.concatenate(known_counts)
-            order = np.argsort(words)
             first, second, pairs, number = _bigrams(parts)
-            second_counts = counts[order][np.searchsorted(words[order], second)]
-            logs = bigram_logs(model, first, pairs, second_counts)
+            second_counts = told.count(second)
+            logs = bigram_logs(model, first, pairs, second_counts, told.whole(_Hot(hot)))
             at = 0
             for part in parts:
                 own = number[at : at + len(part.first)]
@@ -385,16 +517,33 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
     kind = rows.schema["key"].dataType.simpleString()
     size = docs.agg(F.sum(F.octet_length(text).cast("bigint"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
+    hot = hot_words(docs, text, buckets)
     schema = f"{PACKS}, keys array<{kind}>"
-    packs = rows.mapInArrow(_packer(buckets, to_arrow_schema(_parse_datatype_string(schema))), schema)
+    packs = rows.mapInArrow(_packer(buckets, hot, to_arrow_schema(_parse_datatype_string(schema))), schema)
     by_bucket = packs.groupBy("bucket")
     # One row; the exchange of the packs is shared by all passes over the buckets.
-    parts = by_bucket.applyInArrow(_stats, ", ".join(f"s{i} bigint" for i in range(STATS)))
+    parts = by_bucket.applyInArrow(_stats(hot), ", ".join(f"s{i} bigint" for i in range(STATS)))
     stats = parts.agg(F.array(*[F.coalesce(F.sum(f"s{i}"), F.lit(0)) for i in range(STATS)]).alias("stats"))
-    asked = by_bucket.applyInArrow(_asker(buckets), "bucket int, origin int, words binary")
+    asked = by_bucket.applyInArrow(_asker(buckets, hot), "bucket int, origin int, words binary")
     answers = by_bucket.cogroup(asked.groupBy("bucket")).applyInArrow(_answer, "bucket int, home int, counts binary")
-    everywhere = stats.select(F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"), "stats")
-    told = answers.unionByName(everywhere, allowMissingColumns=True)
-    sums = by_bucket.cogroup(told.groupBy("bucket")).applyInArrow(_scorer(buckets), SUMS.format(key=kind))
+
+    def everywhere(hot_rows: DataFrame | None) -> DataFrame:
+        """The statistics and the rows of the hot words (at most one per bucket), for every bucket."""
+        every = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket")
+        told = answers.unionByName(stats.select(every, "stats"), allowMissingColumns=True)
+        if hot_rows is None:
+            return told
+        listed = hot_rows.agg(F.collect_list(F.struct(*hot_rows.columns)).alias("hot"))
+        return told.unionByName(listed.select(every, "hot"), allowMissingColumns=True)
+
+    hot_rows = None
+    if hot:
+        names = ["total", *[f"n{r}" for r in range(1, DISCOUNTED + 1)], "rest"]
+        totals = by_bucket.applyInArrow(_hot_sums(hot), "word bigint, " + ", ".join(f"{n} bigint" for n in names))
+        totals = totals.groupBy("word").agg(*[F.sum(n).alias(n) for n in names])
+        told = everywhere(totals.withColumn("seen", F.lit(0.0)))
+        seen = by_bucket.cogroup(told.groupBy("bucket")).applyInArrow(_hot_seen(buckets, hot), "word bigint, seen double")
+        hot_rows = totals.join(seen.groupBy("word").agg(F.sum("seen").alias("seen")), "word")
+    sums = by_bucket.cogroup(everywhere(hot_rows).groupBy("bucket")).applyInArrow(_scorer(buckets, hot), SUMS.format(key=kind))
     result = f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return sums.groupBy("pack").applyInArrow(_finish, result).withColumnRenamed("key", key)

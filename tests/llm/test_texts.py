@@ -187,14 +187,18 @@ def test_multikey_order():
 # --- language model
 
 
-@pytest.mark.parametrize("pack, bucket", [(3_000_000, 16 << 20), (50, 300)])
-def test_katz(spark, monkeypatch, pack, bucket):
+@pytest.mark.parametrize("pack, bucket, sampled", [(3_000_000, 16 << 20, 16), (50, 2000, 16), (300, 300, 1)])
+def test_katz(spark, monkeypatch, pack, bucket, sampled):
     monkeypatch.setattr(katz, "PACK_TOKENS", pack)
+    monkeypatch.setattr(katz, "SAMPLED", sampled)
     rng = np.random.default_rng(5)
     texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.4, rng.integers(1, 60)) if x < 500) for _ in range(120)]
     extra = [(100 + i, t, "en", "a", 1) for i, t in enumerate(texts)]
     docs = brute.messy(spark, extra).filter("doc_id not in (5, 6) or doc_id is null")
     got = katz.score_documents(docs, bucket_bytes=bucket).collect()
+    if sampled == 1:
+        hot = katz.hot_words(docs, "text", 40)
+        assert int(katz.START) in hot and len(hot) > 2  # short texts: the start mark is hot, too
     rows = pairs(docs)
     want, chance, count = brute.katz(rows, katz.discounts)
     key = lambda r: (repr(r[0]), r[1:5], round(r[5], 4))
