@@ -22,19 +22,26 @@ _CHUNK = 1 << 16  # shingles whose bits are counted at once
 _PROBE_WORK = 4.0  # work of one probe, in compared candidates
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """64-bit SimHash of a text's word shingles, as a signed number; 0 for a text without words."""
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """64-bit hashes of a text's word shingles, in their order; a text of fewer words is one shingle."""
     from xxhash import xxh64_intdigest
 
     words = text.lower().split()  # on bytes: A-Z only, and ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = min(shingle, len(words))
     spans = zip(starts[: len(words) - n + 1].tolist(), ends[n - 1 :].tolist())
-    hashes = np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in spans), np.uint64, len(words) - n + 1)
+    return np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in spans), np.uint64, len(words) - n + 1)
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """64-bit SimHash of a text's word shingles, as a signed number; 0 for a text without words."""
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), _CHUNK):
         chunk = hashes[at : at + _CHUNK]
@@ -232,7 +239,12 @@ def keep_one(
     Of rows that are alike in key and text one is kept, too. All columns stay; an empty table stays empty.
     """
     rows, members = grouped(docs, key, text, shingle, distance)
-    least = rows.join(members, "fp").groupBy("root").agg(F.min(F.struct("key", "r")).alias("least"))
+    return kept(docs, rows.join(members, "fp").select("key", "r", "root"), key, text)
+
+
+def kept(docs: DataFrame, rows: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` with one row of each ``root`` of ``rows`` (``key``, hash ``r`` of the text, ``root``); see ``keep_one``."""
+    least = rows.groupBy("root").agg(F.min(F.struct("key", "r")).alias("least"))
     chosen = written(least.select(F.col("least.key").alias("_key"), F.col("least.r").alias("_r")), "chosen")
     marked = docs.withColumns({"_own_key": F.xxhash64(key), "_own_r": F.xxhash64(text)})
     same = (F.col("_own_r") == F.col("_r")) & (F.col("_own_key") == F.xxhash64("_key")) & F.col(f"`{key}`").eqNullSafe(F.col("_key"))
