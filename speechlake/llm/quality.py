@@ -1,7 +1,7 @@
 """Quality classifier by co-training a text-content view and a page-metadata view.
 
-Both views are logistic models on hashed features. In every round each scores a pool of unlabelled documents, and its
-most confident verdicts become labels for the other one. Each view is then calibrated on labelled rows that neither was
+Both views are logistic models on hashed features. In every round each scores all unlabelled documents, and its confident
+verdicts become labels for the other one. Each view is then calibrated on labelled rows that neither was
 trained on, and the calibrated views are added up as evidence to score all documents.
 """
 
@@ -14,10 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TEXT_BUCKETS, META_BUCKETS = 512, 256
-# Fitting runs on bounded samples; scoring takes every document whole.
-LABELLED_ROWS, POOL_ROWS = 3000, 2000
-ROUNDS, PER_ROUND, CONFIDENT = 4, 200, 0.97
+from speechlake.llm.common import broadcast_within, written
+
+TEXT_BUCKETS, META_BUCKETS = 1024, 256
+# Only the labelled sample is bounded; the views teach each other on every unlabelled document.
+LABELLED_ROWS, KNOWN_ROWS = 4000, 200_000
+ROUNDS, CONFIDENT, STEPS = 4, 0.97, 8
+_STORED = np.float16
 SEED = 11
 TEXT_WIDTH = TEXT_BUCKETS + 4
 SHORT_BYTES, SHARE_WEIGHT = 200, 4.0
@@ -36,7 +39,7 @@ def text_features(text: bytes) -> np.ndarray:
     if len(raw) >= 3:
         wide = raw.astype(np.uint32)
         triples = ((wide[:-2] << 16) | (wide[1:-1] << 8) | wide[2:]) * np.uint32(2654435761)
-        counts = np.bincount(triples >> np.uint32(23), minlength=TEXT_BUCKETS)  # the top 9 bits
+        counts = np.bincount(triples >> np.uint32(22), minlength=TEXT_BUCKETS)  # the top 10 bits
         out[:TEXT_BUCKETS] = np.sqrt(counts / (len(triples) + SHORT_BYTES))
         words = text.split()
         again = sum(map(eq, words, words[1:]))
@@ -112,86 +115,213 @@ class CoTrained:
         return text, meta, text + meta - self.prior
 
 
-def co_train(xt, xm, y, fold, pool_t, pool_m, rounds=ROUNDS, per_round=PER_ROUND, confident=CONFIDENT) -> CoTrained:
+class LocalPool:
+    """Unlabelled rows held in memory; ``SparkPool`` gives the same sums over a table."""
+
+    def __init__(self, pool_t: np.ndarray, pool_m: np.ndarray):
+        self.views = [(np.asarray(pool_t, np.float64), np.asarray(pool_m, np.float64))] if len(pool_t) else []
+
+    def sums(self, teach: "Teaching", weights=None) -> np.ndarray:
+        return sum((teach.sums(xt, xm, weights) for xt, xm in self.views), np.zeros(teach.size(weights)))
+
+
+@dataclass
+class Teaching:
+    """What one round takes from the unlabelled rows: each view's confident verdicts are the other's labels."""
+
+    text: np.ndarray
+    meta: np.ndarray
+    text_scale: tuple[float, float]
+    meta_scale: tuple[float, float]
+    confident: float
+
+    def size(self, weights) -> int:
+        return 4 if weights is None else sum(2 * (len(w) + 1) for w in weights)
+
+    def sums(self, xt: np.ndarray, xm: np.ndarray, weights) -> np.ndarray:
+        """Numbers of labels by view and class or, at ``weights``, loss and gradient by view and class."""
+        out = []
+        teachers = ((xm, self.meta, self.meta_scale), (xt, self.text, self.text_scale))
+        for k, (x, (other, w, scale)) in enumerate(zip((xt, xm), teachers)):
+            p = _sigmoid(scale[0] * (other @ w) + scale[1])
+            for label, sure in ((0.0, 1 - p), (1.0, p)):
+                rows = x[sure >= self.confident]
+                out.append([len(rows)] if weights is None else _loss(rows, label, weights[k]))
+        return np.concatenate(out).astype(np.float64)
+
+
+def _loss(x, y, w) -> np.ndarray:
+    """Sum of the losses of rows ``x`` of label ``y``, and its gradient."""
+    z = np.clip(x @ w, -40, 40)
+    return np.concatenate([[np.log1p(np.exp(np.where(y > 0, -z, z))).sum()], (_sigmoid(z) - y) @ x])
+
+
+def _learn(pool, teach: Teaching, known, y, start, ridge: float = 1.0):
+    """Weights of both views on the labelled rows and on all confident verdicts, from ``start`` on; None without verdicts.
+
+    The classes weigh the same in each of the two sets, and verdicts together weigh no more than the labelled rows, however
+    large the table is. Only sums leave the pool; both views take their steps in one pass over it.
+    """
+    counts = pool.sums(teach).reshape(2, 2)
+    if not counts.any():
+        return None
+    n = len(y)
+    mass = np.minimum(counts.sum(axis=1), n)
+    part = np.where((counts > 0).all(axis=1), 0.5, 1.0)
+    scale = np.where(counts > 0, (part * mass)[:, None] / np.maximum(counts, 1), 0.0)
+    sides = (1 - y.mean(), y.mean())
+    own = np.where(y > 0, 0.5 / max(sides[1], 1e-9), 0.5 / max(sides[0], 1e-9))
+    penalties, bends = [], []
+    for x, w in zip(known, start):
+        penalty = np.full(x.shape[1], ridge)
+        penalty[-1] = 1e-6
+        p = _sigmoid(x @ w)
+        bends.append(2 * x.T @ (x * (own * np.maximum(p * (1 - p), 1e-3))[:, None]) + np.diag(penalty + 1e-3))
+        penalties.append(penalty)
+
+    def value(weights):
+        total, slopes, at = 0.0, [], 0
+        found = pool.sums(teach, weights)
+        for k, (x, w) in enumerate(zip(known, weights)):
+            z = np.clip(x @ w, -40, 40)
+            total += (own * np.log1p(np.exp(np.where(y > 0, -z, z)))).sum() + 0.5 * (penalties[k] * w * w).sum()
+            gradient = x.T @ (own * (_sigmoid(z) - y)) + penalties[k] * w
+            for label in range(2):
+                one = found[at : at + len(w) + 1] * scale[k, label]
+                total, gradient, at = total + one[0], gradient + one[1:], at + len(w) + 1
+            slopes.append(gradient)
+        return total, np.concatenate(slopes)
+
+    cut = len(start[0])
+    split = lambda v: [v[:cut], v[cut:]]
+    return split(_descend(lambda v: value(split(v)), np.concatenate(start), lambda v: np.concatenate([np.linalg.solve(b, g) for b, g in zip(bends, split(v))])))
+
+
+def _descend(value, at: np.ndarray, inverse, steps: int = STEPS) -> np.ndarray:
+    """The least point of a convex function from ``at`` on: L-BFGS from ``inverse``, a first guess of the inverse bend."""
+    past = []
+    now, slope = value(at)
+    for _ in range(steps):
+        q, used = slope.copy(), []
+        for s, t in reversed(past):
+            used.append((s @ q) / (s @ t))
+            q -= used[-1] * t
+        step = inverse(q)
+        for (s, t), u in zip(past, reversed(used)):
+            step += s * (u - (t @ step) / (s @ t))
+        size, down = 1.0, slope @ step
+        while True:
+            then, after = value(at - size * step)
+            if then <= now - 1e-4 * size * down or size < 1e-3:
+                break
+            size /= 2
+        if then >= now:
+            break
+        if -size * step @ (after - slope) > 1e-12:
+            past.append((-size * step, after - slope))
+        gain, at, now, slope = now - then, at - size * step, then, after
+        if gain <= 1e-4 * now:
+            break
+    return at
+
+
+def co_train(xt, xm, y, fold, pool_t, pool_m, rounds=ROUNDS, confident=CONFIDENT) -> CoTrained:
+    """``teach_views`` on unlabelled rows in memory."""
+    return teach_views(xt, xm, y, fold, LocalPool(pool_t, pool_m), rounds, confident)
+
+
+def teach_views(xt, xm, y, fold, pool, rounds=ROUNDS, confident=CONFIDENT) -> CoTrained:
     """Train both views on rows outside of ``fold``, let them teach each other on the pool, calibrate on ``fold``."""
-    views = {"text": (xt, pool_t), "meta": (xm, pool_m)}
-    taught: dict[str, dict[int, float]] = {"text": {}, "meta": {}}  # pool row -> pseudo-label
     learn = ~fold
     prior = float(np.log((y.sum() + 1) / ((1 - y).sum() + 1)))
-    weights, scales = {}, {}
+    known = [np.asarray(x[learn], np.float64) for x in (xt, xm)]
+    weights = [fit(x, y[learn]) for x in known]
     for turn in range(rounds + 1):
-        for name, (x, pool) in views.items():
-            rows = np.fromiter(taught[name], int, len(taught[name]))
-            both = np.concatenate([x[learn], pool[rows]]).astype(np.float64)
-            weights[name] = fit(both, np.concatenate([y[learn], np.fromiter(taught[name].values(), float, len(rows))]))
-            scales[name] = calibrate(x[fold] @ weights[name], y[fold])
-        if turn == rounds or not len(pool_t):
+        scales = [calibrate(x[fold] @ w, y[fold]) for x, w in zip((xt, xm), weights)]
+        if turn == rounds:
+            break
+        more = _learn(pool, Teaching(*weights, *scales, confident), known, y[learn], weights)
+        if more is None:
             break
-        for name, other in (("text", "meta"), ("meta", "text")):
-            slope, offset = scales[name]
-            p = _sigmoid(slope * (views[name][1] @ weights[name]) + offset)
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                for row in np.argsort(-sure, kind="stable")[:per_round]:
-                    if sure[row] >= confident:
-                        taught[other].setdefault(int(row), label)
-    return CoTrained(weights["text"], weights["meta"], scales["text"], scales["meta"], prior)
+        weights = more
+    return CoTrained(*weights, *scales, prior)
 
 
 def _features(columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             metas = list(zip(*[batch.column(c).to_pylist() for c in columns])) if columns else [()] * batch.num_rows
-            rows = [text_features((v.as_py() or "").encode()).tobytes() + meta_features(m).tobytes() for v, m in zip(batch.column("text"), metas)]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("turn"), pa.array(rows, pa.binary())], names=["label", "turn", "x"])
+            rows = [text_features((v.as_py() or "").encode()).astype(_STORED).tobytes() + meta_features(m).astype(_STORED).tobytes() for v, m in zip(batch.column("text"), metas)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=[batch.schema.names[0], "x"])
 
     return run
 
 
-def _sampled(docs: DataFrame, labels: DataFrame, key: str, label: str):
-    """Keys of up to LABELLED_ROWS labelled and POOL_ROWS unlabelled documents, in hash order; ``label`` is null in the pool."""
-    turn = F.xxhash64(F.col("key"), F.lit(SEED))
-    known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
-    known = known.groupBy(F.col(key).alias("key")).agg(F.min(F.col(label).cast("double")).alias("label")).withColumn("turn", turn)
-    keys = docs.select(F.col(key).alias("key")).filter("key is not null").distinct()
-    # A label counts if its document is there; both samples are the first rows of a hash order.
-    labelled = known.join(keys, "key", "left_semi").orderBy("turn", "key").limit(LABELLED_ROWS)
-    pool = keys.join(known, "key", "left_anti").withColumn("turn", turn).orderBy("turn", "key").limit(POOL_ROWS)
-    return labelled.select("key", "label", "turn").unionAll(pool.select("key", F.lit(None).cast("double").alias("label"), "turn"))
+def _matrix(column: pa.Array) -> np.ndarray:
+    width = TEXT_WIDTH + META_BUCKETS + 1
+    out = np.empty((len(column), width), np.float32)
+    for i, row in enumerate(column):
+        out[i] = np.frombuffer(row.as_buffer(), _STORED)
+    return out
+
+
+class SparkPool:
+    """All unlabelled rows, as a table of features; a pass over it returns one row of sums per task."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def sums(self, teach: Teaching, weights=None) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(teach.size(weights))
+            for batch in batches:
+                for at in range(0, batch.num_rows, 2048):
+                    x = _matrix(batch.column(0).slice(at, 2048))
+                    total += teach.sums(x[:, :TEXT_WIDTH], x[:, TEXT_WIDTH:], weights)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
+
+        teach = Teaching(teach.text.astype(np.float32), teach.meta.astype(np.float32), teach.text_scale, teach.meta_scale, teach.confident)
+        weights = None if weights is None else [w.astype(np.float32) for w in weights]
+        total = np.zeros(teach.size(weights))
+        for row in self.rows.mapInArrow(run, "s binary").toLocalIterator():
+            total += np.frombuffer(row.s)
+        return total
 
 
 def train_quality(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", meta: tuple[str, ...] = ("lang", "source", "n_chars"),
     label: str = "quality",
 ) -> CoTrained | None:
-    """Fit on at most LABELLED_ROWS labelled and POOL_ROWS unlabelled documents; None if a class has no label.
+    """Fit on at most LABELLED_ROWS labelled documents and on all unlabelled ones; None if a class has no label.
 
     A key with contradicting labels counts as the lower one; other values of the label than 0 and 1 are passed over.
+    Documents without a key are unlabelled.
     """
-    sample = _sampled(docs, labels, key, label)
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"), *[F.col(c).alias(f"meta_{c}") for c in meta])
-    # At most LABELLED_ROWS + POOL_ROWS narrow rows, so the texts stay where they are read.
-    chosen = texts.join(F.broadcast(sample), F.col("_key") == F.col("key")).drop("_key")
     names = [f"meta_{c}" for c in meta]
-    rows = chosen.select("label", "turn", "text", *names).mapInArrow(_features(names), "label double, turn bigint, x binary").toArrow()
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), *[F.col(c).alias(f"meta_{c}") for c in meta])
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    known = written(known.groupBy(F.col(key).alias("key")).agg(F.min(F.col(label).cast("double")).alias("label")), "known")
+    # A label counts if its document is there; the sample is the first keys of a hash order.
+    keys = docs.select(F.col(key).alias("key")).filter("key is not null").distinct()
+    sample = known.join(keys, "key", "left_semi").withColumn("turn", F.xxhash64(F.col("key"), F.lit(SEED))).orderBy("turn", "key").limit(LABELLED_ROWS)
+    chosen = texts.join(F.broadcast(sample), "key").select(F.struct("label", "turn").alias("of"), "text", *names)
+    of = "struct<label:double,turn:bigint>"
+    rows = chosen.mapInArrow(_features(names), f"of {of}, x binary").select("of.label", "of.turn", "x").toArrow()
     y = rows.column("label").to_numpy(zero_copy_only=False).astype(np.float64)
-    order = np.argsort(rows.column("turn").to_numpy(), kind="stable")
-    width = TEXT_WIDTH + META_BUCKETS + 1
-    x = np.empty((rows.num_rows, width), np.float32)
-    for i, row in enumerate(rows.column("x")):  # no second copy of all rows
-        x[i] = np.frombuffer(row.as_buffer(), np.float32)
-    x, y = x[order], y[order]
-    del rows
-    known = ~np.isnan(y)
     if not (y == 0).any() or not (y == 1).any():
         return None
+    order = np.argsort(rows.column("turn").to_numpy(), kind="stable")
+    x, y = _matrix(rows.column("x"))[order], y[order]
+    del rows
     xt, xm = x[:, :TEXT_WIDTH], x[:, TEXT_WIDTH:]
-    fold = np.arange(known.sum()) % 4 == 0  # rows are in hash order
-    if len(set(y[known][fold])) < 2 or len(set(y[known][~fold])) < 2:
-        fold = np.ones(known.sum(), bool) if known.sum() < 8 else fold
-        learn_all = len(set(y[known][~fold])) < 2
-        if learn_all:
-            return _unheld(xt[known], xm[known], y[known])
-    return co_train(xt[known], xm[known], y[known], fold, xt[~known], xm[~known])
+    fold = np.arange(len(y)) % 4 == 0  # rows are in hash order
+    if len(set(y[fold])) < 2 or len(set(y[~fold])) < 2:
+        fold = np.ones(len(y), bool) if len(y) < 8 else fold
+        if len(set(y[~fold])) < 2:
+            return _unheld(xt, xm, y)
+    kind = texts.schema["key"].dataType.simpleString()
+    pool = texts.mapInArrow(_features(names), f"key {kind}, x binary").join(broadcast_within(known.select("key"), KNOWN_ROWS), "key", "left_anti")
+    return teach_views(xt, xm, y, fold, SparkPool(written(pool.select("x"), "pool")))
 
 
 def _unheld(xt, xm, y) -> CoTrained:
