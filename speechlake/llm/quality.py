@@ -304,7 +304,9 @@ def train_quality(
     # A label counts if its document is there; the sample is the first keys of a hash order.
     keys = docs.select(F.col(key).alias("key")).filter("key is not null").distinct()
     sample = known.join(keys, "key", "left_semi").withColumn("turn", F.xxhash64(F.col("key"), F.lit(SEED))).orderBy("turn", "key").limit(LABELLED_ROWS)
-    chosen = texts.join(F.broadcast(sample), "key").select(F.struct("label", "turn").alias("of"), "text", *names)
+    # One row per key, so that a repeated key neither exceeds the bound nor dominates the fit.
+    least = F.min_by(F.struct("label", "turn", "text", *names), F.xxhash64("text", *names)).alias("one")
+    chosen = texts.join(F.broadcast(sample), "key").groupBy("key").agg(least).select("one.*").select(F.struct("label", "turn").alias("of"), "text", *names)
     of = "struct<label:double,turn:bigint>"
     rows = chosen.mapInArrow(_features(names), f"of {of}, x binary").select("of.label", "of.turn", "x").toArrow()
     y = rows.column("label").to_numpy(zero_copy_only=False).astype(np.float64)

@@ -44,3 +44,13 @@ def test_gradient():
         loss = quality._loss(x, label, w)
         step = [(quality._loss(x, label, w + d)[0] - quality._loss(x, label, w - d)[0]) / 2e-6 for d in np.eye(6) * 1e-6]
         assert np.allclose(loss[1:], step, atol=1e-5)
+
+
+def test_one_row_per_labelled_key(spark, monkeypatch):
+    docs, labels = tables(spark, False)
+    again = docs.filter("doc_id = 1").crossJoin(spark.range(3000)).drop("id")
+    seen = []
+    teach = quality.teach_views
+    monkeypatch.setattr(quality, "teach_views", lambda xt, xm, y, *more: (seen.append(len(y)), teach(xt, xm, y, *more))[1])
+    quality.train_quality(docs.unionAll(again), labels)
+    assert seen == [800]
