@@ -209,7 +209,7 @@ def _with_errors(spark, sf):
     from documents left join labels using (doc_id)""",
 )
 def budget(spark, sf):
-    return Q.budget_report(_with_errors(spark, sf))
+    return Q.budget_report(_with_errors(spark, sf), max_bad=50)
 
 
 @check("v3_quarantine", "select doc_id, lang, 'toxic' as error from documents join labels using (doc_id) where toxic = 1")

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from speechlake.llm.common import read, scratch
-from speechlake.llm.jaccard import keep_one
 from speechlake.llm.mixing import mix_sources
 from speechlake.llm.packing import pack_documents
 from speechlake.llm.quality import classify_quality
+from speechlake.llm.simhash import keep_one
 from speechlake.llm.suffix_dedup import remove_repeats
 
 
@@ -22,7 +22,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of 5-word shingles of 0.8 or more, the one of the least id."""
+    """One document of each SimHash group (4-word shingles, up to 4 differing bits), the one of the least id."""
     return keep_one(docs)
 
 
