@@ -9,6 +9,7 @@ from speechlake.llm.ann import nearest
 from speechlake.llm.common import read
 from speechlake.llm.katz import score_documents
 from speechlake.llm.license_scan import scan_licenses
+from speechlake.llm.merkle import build_manifest, fold, leaf_digest, proof_digest
 from speechlake.llm.mixing import mix_sources
 from speechlake.llm.packing import pack_documents
 from speechlake.llm.quality import classify_quality
@@ -81,6 +82,17 @@ def op10_suffix_array_dedup(spark, sf_dir):
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@register
+def op13_merkle_manifest(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    n_chars = F.col("n_chars").cast("decimal(20,0)")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    own = F.when(tampered, n_chars + 1).otherwise(n_chars)
+    manifest = build_manifest(docs, claimed=leaf_digest("doc_id", "source", "lang", own, "text"))
+    folded = manifest.select("doc_id", "leaf", "subroot", "root", proof_digest().alias("proof_sha256"), fold("claimed").alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 SQL["op3_no_random_access"] = """
 with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
     where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
@@ -102,3 +114,37 @@ select doc_id, source, copy::int as copy,
 round(('0x' || substr(md5('18|' || coalesce(doc_id::varchar, 'null') || '|' || copy::varchar), 1, 13))::bigint::double / 4503599627370496.0, 12) as shuffle_key, md5(text) as text_md5
 from copies
 """
+SQL["op13_merkle_manifest"] = """
+with recursive fields as (select doc_id, lang, source, n_chars, text,
+    list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, len(doc_id::varchar) + 1), lambda i: ascii((doc_id::varchar)[i])::bigint)),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))) as crc
+    from documents),
+leaves as (select doc_id, lang, sha256(head || mid || tail) as leaf, sha256(head || case when coalesce(xor(crc, 4294967295) % 7 = 0, false)
+        then case when n_chars is null then '-' else len((n_chars + 1)::varchar) || ':' || (n_chars + 1) end else mid end || tail) as claimed
+    from (select *, case when doc_id is null then '-' else len(doc_id::varchar) || ':' || doc_id end
+        || case when source is null then '-' else strlen(source) || ':' || source end || case when lang is null then '-' else strlen(lang) || ':' || lang end as head,
+        case when n_chars is null then '-' else len(n_chars::varchar) || ':' || n_chars end as mid,
+        case when text is null then '-' else strlen(text) || ':' || text end as tail from fields)),
+placed as (select *, dense_rank() over (order by lang nulls first) - 1 as tree, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos,
+    count(*) over (partition by lang) as n from leaves),
+below as (select tree, 0 as level, pos, n, leaf as digest from placed
+    union all select tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' order by pos)) from below where n > 1 group by tree, level, pos // 2, n),
+heights as (select tree, max(level) as height, max_by(digest, level) as subroot from below group by tree),
+above as (select 0 as level, tree as pos, count(*) over () as n, subroot as digest from heights
+    union all select level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' order by pos)) from above where n > 1 group by level, pos // 2, n),
+steps as (select p.doc_id, p.lang, p.pos as leaf_pos, p.claimed, b.level as step, (p.pos >> b.level) & 1 as side, b2.digest as sibling
+    from placed p join heights h using (tree) join (select distinct tree, level, n from below) b on b.tree = p.tree and b.level < h.height
+    left join below b2 on b2.tree = p.tree and b2.level = b.level and b2.pos = xor(p.pos >> b.level, 1)
+    union all select p.doc_id, p.lang, p.pos, p.claimed, h.height + a.level, (p.tree >> a.level) & 1, a2.digest
+    from placed p join heights h using (tree) join (select distinct level, n from above) a on a.n > 1
+    left join above a2 on a2.level = a.level and a2.pos = xor(p.tree >> a.level, 1)),
+proofs as (select lang, leaf_pos as pos, sha256(string_agg(coalesce(sibling, ''), '' order by step)) as proof_sha256,
+    list({'side': side, 'sibling': sibling} order by step) as proof from steps group by all),
+folds as (select lang, pos, claimed as digest, 1::bigint as step from placed
+    union all select f.lang, f.pos, sha256(case when proof[step].sibling is null then digest when proof[step].side = 1 then proof[step].sibling || digest else digest || proof[step].sibling end), step + 1
+    from folds f join proofs p on p.lang is not distinct from f.lang and p.pos = f.pos and step <= len(proof)),
+folded as (select lang, pos, max_by(digest, step) as folded_root from folds group by all)
+select p.doc_id, p.leaf, h.subroot, r.digest as root, coalesce(f.proof_sha256, sha256('')) as proof_sha256, folded_root, folded_root = r.digest as verified
+from placed p join heights h using (tree) join (select digest from above where n = 1) r on true
+left join proofs f on f.lang is not distinct from p.lang and f.pos = p.pos join folded d on d.lang is not distinct from p.lang and d.pos = p.pos
+"""
