@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from speechlake.llm.align import align_documents
 from speechlake.llm.ann import nearest
 from speechlake.llm.common import read
 from speechlake.llm.katz import score_documents
@@ -82,6 +83,13 @@ def op10_suffix_array_dedup(spark, sf_dir):
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@register
+def op11_token_alignment(spark, sf_dir):
+    import public_tokenizers
+
+    return align_documents(read(spark, sf_dir, "documents"), *map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))[0]
+
+
 @register
 def op13_merkle_manifest(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
