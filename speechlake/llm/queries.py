@@ -11,6 +11,7 @@ from speechlake.llm.common import read
 from speechlake.llm.katz import score_documents
 from speechlake.llm.license_scan import scan_licenses
 from speechlake.llm.merkle import build_manifest, fold, leaf_digest, proof_digest
+from speechlake.llm.minhash import fingerprint_documents
 from speechlake.llm.mixing import mix_sources
 from speechlake.llm.packing import pack_documents
 from speechlake.llm.quality import classify_quality
@@ -90,6 +91,11 @@ def op11_token_alignment(spark, sf_dir):
     return align_documents(read(spark, sf_dir, "documents"), *map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))[0]
 
 
+@register
+def op12_minhash(spark, sf_dir):
+    return fingerprint_documents(read(spark, sf_dir, "documents"))
+
+
 @register
 def op13_merkle_manifest(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
