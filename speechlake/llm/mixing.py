@@ -57,20 +57,22 @@ def source_rates(
 
 def mix_sources(
     docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: int = 17, key: str = "doc_id",
-    source: str = "source", size: Column | None = None, temperature: float = TEMPERATURE,
+    source: str = "source", size: Column | None = None, temperature: float = TEMPERATURE, text: str = "text",
 ) -> DataFrame:
     """``docs`` with each row repeated so that the sources have their target shares, in global random order.
 
-    A row occurs as often as the inverted Poisson distribution of its source's rate says at the row's hash, so counts do
-    not depend on partitions or retries. Adds ``copy`` (from 1), ``rate`` and ``shuffle_key`` (uniform in [0, 1)). Rows
+    A row occurs as often as the inverted Poisson distribution of its source's rate says at the hash of the row's key and
+    text, so counts do not depend on partitions or retries. Adds ``copy`` (from 1), ``rate`` and ``shuffle_key`` (uniform in [0, 1)). Rows
     are dealt out by the shuffle key and sorted by it in each partition, so their order has nothing of the source's.
     A null source is a source of its own without ``weights`` and gets no share with them; equal rows get equal counts
-    and keep all their copies; null keys hash as "null"; sources of size 0 are left out; an empty table stays empty.
+    and keep all their copies; null keys hash as "null", and different texts of one key draw apart; sources of size 0
+    are left out; an empty table stays empty.
     Columns of ``docs`` named like the added ones are replaced.
     """
     rates = source_rates(docs, weights, epochs, source, size, temperature).withColumn("_cdf", poisson_cdf(F.col("rate")))
     rates = broadcast_within(rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), "_cdf"), SOURCES_BROADCAST)
-    u = uniform(seed, key)
+    digest = F.md5(F.coalesce(F.col(text), F.lit("")))
+    u = uniform(seed, key, digest)
     count = F.size(F.filter("_cdf", lambda c: c <= u))
     added = ["copy", "rate", "shuffle_key"]
     kept = [c for c in docs.columns if c not in added]
@@ -80,7 +82,7 @@ def mix_sources(
         .withColumn("_count", count)
         .filter("_count > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_count"))))
-        .withColumn("shuffle_key", uniform(seed + 1, key, "copy"))
+        .withColumn("shuffle_key", uniform(seed + 1, key, digest, F.col("copy")))
         .select(*[F.col(f"`{c}`") for c in kept], "copy", F.col("_rate").alias("rate"), "shuffle_key")
     )
     return replicated.repartition("shuffle_key").sortWithinPartitions("shuffle_key")

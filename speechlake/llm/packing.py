@@ -67,24 +67,26 @@ def pack_documents(
     sizes = tuple(sorted(sizes))
     largest = sizes[-1]
     length = F.octet_length("text") if length is None else length
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(length, F.lit(0)).cast("bigint").alias("n"))
-    total = rows.agg(F.sum("n")).first()[0] or 0
+    whole = docs.select(F.col(key).alias("key"), F.coalesce(length, F.lit(0)).cast("bigint").alias("n"))
+    # Equal rows are counted and numbered, so that they do not share a shard.
+    rows = whole.filter("n > 0").groupBy("key", "n").agg(F.count("*").alias("m")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "m")))
+    total = whole.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // shard_length))
     pieces = rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.ceil(F.col("n") / largest) - 1, F.lit(0)).cast("bigint"))))
-    pieces = pieces.select("key", "piece", (F.col("piece") * largest).alias("start"), F.least(F.col("n") - F.col("piece") * largest, F.lit(largest)).alias("length"))
-    spread = F.xxhash64("key", "piece", "length")
-    dealt = pieces.withColumn("shard", F.pmod(spread, F.lit(shards)))
+    pieces = pieces.select("key", "copy", "piece", (F.col("piece") * largest).alias("start"), F.least(F.col("n") - F.col("piece") * largest, F.lit(largest)).alias("length"))
+    spread = F.xxhash64("key", "piece", "length", "copy")
+    dealt = pieces.withColumn("shard", F.pmod(spread, F.lit(shards))).drop("copy")
     kind = rows.schema["key"].dataType.simpleString()
 
     def run(group: tuple, table: pa.Table) -> pa.Table:
         lengths = table.column("length").to_pylist()
-        filled = [i for i, n in enumerate(lengths) if n]
-        places, bins = pack([lengths[i] for i in filled], sizes, cost) if filled else ([], [])
-        shard, bin_ids, bin_sizes, starts = group[0].as_py(), [None] * len(lengths), [None] * len(lengths), [None] * len(lengths)
-        for i, (bin_no, start) in zip(filled, places):
-            bin_ids[i], bin_sizes[i], starts[i] = (shard << 32) + bin_no, bins[bin_no], start
-        added = [pa.array(column, pa.int64()) for column in (bin_ids, bin_sizes, starts)]
+        places, bins = pack(lengths, sizes, cost)
+        shard = group[0].as_py() << 32
+        added = [pa.array(column, pa.int64()) for column in zip(*[(shard + bin_no, bins[bin_no], start) for bin_no, start in places])]
         return pa.Table.from_arrays([*[table.column(c) for c in ("key", "piece", "start", "length")], *added], names=["key", "piece", "start", "length", "bin_id", "bin_size", "bin_start"])
 
     schema = f"key {kind}, piece bigint, start bigint, length bigint, bin_id bigint, bin_size bigint, bin_start bigint"
-    return dealt.groupBy("shard").applyInArrow(run, schema).withColumnRenamed("key", key)
+    none = [F.lit(None).cast("bigint").alias(c) for c in ("bin_id", "bin_size", "bin_start")]
+    zero = [F.lit(0).cast("bigint").alias(c) for c in ("piece", "start", "length")]
+    placed = dealt.groupBy("shard").applyInArrow(run, schema)
+    return placed.unionByName(whole.filter("n <= 0").select("key", *zero, *none)).withColumnRenamed("key", key)

@@ -20,6 +20,7 @@ TEXT_BUCKETS, META_BUCKETS = 1024, 256
 # Only the labelled sample is bounded; the views teach each other on every unlabelled document.
 LABELLED_ROWS, KNOWN_ROWS = 4000, 200_000
 ROUNDS, CONFIDENT, STEPS = 4, 0.97, 8
+SUMS = 12  # rows of sums that a pass brings to the driver
 _STORED = np.float16
 SEED = 11
 TEXT_WIDTH = TEXT_BUCKETS + 4
@@ -266,7 +267,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 class SparkPool:
-    """All unlabelled rows, as a table of features; a pass over it returns one row of sums per task."""
+    """All unlabelled rows, as a table of features; a pass over it returns a few rows of sums."""
 
     def __init__(self, rows: DataFrame):
         self.rows = rows
@@ -280,10 +281,16 @@ class SparkPool:
                     total += teach.sums(x[:, :TEXT_WIDTH], x[:, TEXT_WIDTH:], weights)
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
 
+        def add(table: pa.Table) -> pa.Table:
+            whole = sum((np.frombuffer(s.as_buffer()) for s in table.column("s")), np.zeros(teach.size(weights)))
+            return pa.table({"s": pa.array([whole.tobytes()], pa.binary())})
+
         teach = Teaching(teach.text.astype(np.float32), teach.meta.astype(np.float32), teach.text_scale, teach.meta_scale, teach.confident)
         weights = None if weights is None else [w.astype(np.float32) for w in weights]
         total = np.zeros(teach.size(weights))
-        for row in self.rows.mapInArrow(run, "s binary").toLocalIterator():
+        # Tasks' sums are added up in SUMS groups; only those come to the driver, in one job.
+        sums = self.rows.mapInArrow(run, "s binary").withColumn("g", F.spark_partition_id() % SUMS)
+        for row in sums.groupBy("g").applyInArrow(add, "s binary").collect():
             total += np.frombuffer(row.s)
         return total
 

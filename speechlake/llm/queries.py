@@ -116,7 +116,7 @@ select query_id, rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored) where rank <= 5
 """
 SQL["op8_poisson_mixing"] = """
-with docs as (select doc_id, source, text, ('0x' || substr(md5('17|' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint::double / 4503599627370496.0 as u from documents),
+with docs as (select doc_id, source, text, ('0x' || substr(md5('17|' || coalesce(doc_id::varchar, 'null') || '|' || md5(coalesce(text, ''))), 1, 13))::bigint::double / 4503599627370496.0 as u from documents),
 totals as (select source, sum(coalesce(length(text), 0))::double as total from docs group by source),
 shares as (select source, total, sqrt(total) / sum(sqrt(total)) over () as share, sum(total) over () as whole from totals where total > 0),
 rates as (select source, whole * share / total as rate from shares),
@@ -125,7 +125,7 @@ cdf as (select source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) over (pa
 counts as (select d.doc_id, d.source, d.text, d.u, count(*) filter (c.p <= d.u) as n from docs d join cdf c on d.source is not distinct from c.source group by all),
 copies as (select doc_id, source, text, unnest(range(1, n + 1)) as copy from counts where n > 0)
 select doc_id, source, copy::int as copy,
-round(('0x' || substr(md5('18|' || coalesce(doc_id::varchar, 'null') || '|' || copy::varchar), 1, 13))::bigint::double / 4503599627370496.0, 12) as shuffle_key, md5(text) as text_md5
+round(('0x' || substr(md5('18|' || coalesce(doc_id::varchar, 'null') || '|' || md5(coalesce(text, '')) || '|' || copy::varchar), 1, 13))::bigint::double / 4503599627370496.0, 12) as shuffle_key, md5(text) as text_md5
 from copies
 """
 SQL["op13_merkle_manifest"] = """

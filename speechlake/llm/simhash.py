@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from speechlake.llm.common import written
@@ -248,6 +248,5 @@ def kept(docs: DataFrame, rows: DataFrame, key: str, text: str) -> DataFrame:
     chosen = written(least.select(F.col("least.key").alias("_key"), F.col("least.r").alias("_r")), "chosen")
     marked = docs.withColumns({"_own_key": F.xxhash64(key), "_own_r": F.xxhash64(text)})
     same = (F.col("_own_r") == F.col("_r")) & (F.col("_own_key") == F.xxhash64("_key")) & F.col(f"`{key}`").eqNullSafe(F.col("_key"))
-    copies = Window.partitionBy("_own_key", "_own_r").orderBy("_r")
-    kept = marked.join(chosen, same).withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1")
+    kept = marked.join(chosen, same).dropDuplicates(["_own_key", "_own_r"])  # reduced before the shuffle, however many
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

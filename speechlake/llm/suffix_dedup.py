@@ -200,20 +200,20 @@ def _compare(length: int, token: int):
 
 
 def _cut(text_column: str, token: int, length: int):
-    """Documents with the place of a wanted context -> its bytes and its leading token."""
+    """Documents with the places of wanted contexts -> their bytes and leading tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, names = None, ["token", "context", "n", "place", "lead", "bytes"]
+        kinds = [pa.int64()] * 4 + [pa.binary()] * 2
         for batch in batches:
-            texts, last = batch.column(text_column), None
-            bytes_, leads, shapes = [], [], []
-            for i, place in enumerate(batch.column("_place").to_pylist()):
-                first, span, at = place >> 16, place >> 8 & 255, place & 255
-                raw = (texts[i].as_py() or "").encode()
-                bytes_.append(raw[first : first + span + length])
-                leads.append(raw[first + at : first + at + token])
-                shapes.append(span << 8 | at)
-            columns = [batch.column("_token"), batch.column("_context"), batch.column("_n"), pa.array(shapes, pa.int64()), pa.array(leads, pa.binary()), pa.array(bytes_, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "context", "n", "place", "lead", "bytes"])
+            for own, value, wanted in zip(zip(*(batch.column(c).to_pylist() for c in ("_k", "_r"))), batch.column(text_column), batch.column("_wanted")):
+                if own == last:  # copies of a whole row lie side by side
+                    continue
+                raw, last, rows = (value.as_py() or "").encode(), own, []
+                for one in wanted.as_py():
+                    first, span, at = one["place"] >> 16, one["place"] >> 8 & 255, one["place"] & 255
+                    rows.append((one["token"], one["context"], one["n"], span << 8 | at, raw[first + at : first + at + token], raw[first : first + span + length]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=names)
 
     return run
 
@@ -297,7 +297,9 @@ def remove_repeats(
     alike = rows.filter("not mixed").select("k", "r", (F.shiftleft(F.shiftright("place", 16), 10) + F.shiftright("place", 8).bitwiseAND(F.lit(255)) + length).alias("span"))
     mixed = rows.filter("mixed")
     distinct = mixed.groupBy("token", "context").agg(F.count("*").alias("n"), F.min(F.struct("k", "r", "place")).alias("at"))
-    wanted = distinct.select(*[F.col(c).alias(f"_{c}") for c in ("token", "context", "n")], F.col("at.k").alias("_at_k"), F.col("at.r").alias("_at_r"), F.col("at.place").alias("_place"))
+    # All places of a text in one row, so that it is joined once; there are no more than its tokens.
+    places = F.collect_list(F.struct("token", "context", "n", "at.place")).alias("_wanted")
+    wanted = distinct.groupBy(F.col("at.k").alias("_at_k"), F.col("at.r").alias("_at_r")).agg(places)
     sizes = written(distinct.groupBy("token").agg(F.count("*").alias("rows")), "sizes")
     buckets = max(1, -(-(sizes.agg(F.sum("rows")).first()[0] or 0) // BUCKET_ROWS))
     hot = sizes.filter(F.col("rows") > group_rows).select("token")
@@ -313,7 +315,7 @@ def remove_repeats(
         compared = compared.unionByName(_by_hashes(contexts.join(hot, "token", "left_semi"), length))
     spread = mixed.join(compared, ["token", "context"]).select("k", "r", F.shiftright("place", 16).alias("first"), F.explode("spans").alias("span"))
     placed = spread.select("k", "r", (F.shiftleft("first", 10) + F.col("span")).alias("span"))
-    spans = alike.unionAll(placed).groupBy("k", "r").agg(F.collect_list("span").alias("_spans"))
+    spans = alike.unionAll(placed).groupBy("k", "r").agg(F.collect_set("span").alias("_spans"))
     spans = spans.select(F.col("k").alias("_span_k"), F.col("r").alias("_span_r"), "_spans")
     joined = marked.join(spans, (F.col("_k") == F.col("_span_k")) & (F.col("_r") == F.col("_span_r")), "left")
     kept_fields = [docs.schema[c] for c in columns]

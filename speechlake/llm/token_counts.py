@@ -63,7 +63,10 @@ def splits_at_space(path: str, model: bytes) -> bool:
     spec = json.loads(model)
     steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
     removed = any(s["type"] == "Split" and s["behavior"] == "Removed" and s["invert"] and r"\s" in str(s["pattern"]) for s in steps)
-    return removed and not any(" " in str(t["content"]) or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
+    lowers = "Lowercase" in json.dumps(spec.get("normalizer") or {})
+    # ``part_keys`` needs lower case and letters apart from marks.
+    apart = any(s["type"] == "Split" and r"\\p{L}" in json.dumps(s["pattern"]) for s in steps)
+    return removed and lowers and apart and not any(" " in str(t["content"]) or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
 
 
 def part_keys(part: bytes) -> tuple[bytes, ...]:
@@ -84,6 +87,7 @@ def _encoder(path: str, model: bytes):
         count, by_part = whole_counter(path, model), splits_at_space(path, model)
         keys: dict[bytes, tuple[bytes, ...]] = {}
         memo: dict[bytes, int] = {}
+        done: set[str] = set()
 
         def count_parts(text: bytes) -> int:
             parts = _PARTS.findall(text)
@@ -101,9 +105,14 @@ def _encoder(path: str, model: bytes):
             return total
 
         for batch in batches:
-            texts = (value.as_py() or "" for value in batch.column(1))
+            # Equal rows come to one task; one of them is encoded.
+            contents = batch.column(0).to_pylist()
+            fresh = [i for i, c in enumerate(contents) if c not in done and not done.add(c)]
+            texts = (batch.column(1)[i].as_py() or "" for i in fresh)
             counts = [count_parts(t.encode()) for t in texts] if by_part else count(list(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["content", "n_tokens"])
+            if len(done) > MEMO_ROWS:
+                done.clear()
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(fresh, pa.int64())), pa.array(counts, pa.int64())], names=["content", "n_tokens"])
 
     return run
 

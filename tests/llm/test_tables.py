@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from speechlake.llm import ann, mixing, packing, quality, topk
+from speechlake.llm import ann, mixing, packing, quality, simhash, suffix_dedup, topk
 from speechlake.llm import queries as registered
 from speechlake.llm.vectors import usable
 
@@ -274,6 +274,29 @@ def test_held_out_accuracy(spark):
     assert right > 0.95
 
 
+# --- many rows of one key
+
+
+def hot(spark, n=6000):
+    """A third of all rows is one row under a null key, a third a null key with texts of its own, a few are empty."""
+    long_text = "A passage that is long enough to be found again by whoever looks for it, in every copy. " * 40
+    one = F.when(F.col("id") % 3 == 0, F.lit(long_text)).when(F.col("id") % 30 == 1, "").otherwise(F.concat(F.lit("own text "), F.col("id").cast("string")))
+    return spark.range(n).select(F.when(F.col("id") % 3 == 2, F.col("id")).alias("doc_id"), one.alias("text"), F.lit("s").alias("source"), F.lit("en").alias("lang"), F.lit(1).alias("n_chars"))
+
+
+def test_many_rows_of_one_key(spark, tmp_path):
+    docs = hot(spark)
+    mixed = mixing.mix_sources(docs, epochs=1.0).filter("doc_id is null and text like 'own%'")
+    assert abs(mixed.count() - 1800) < 5 * math.sqrt(1800) and mixed.select("shuffle_key").distinct().count() == mixed.count()
+    packed = packing.pack_documents(docs, shard_length=1 << 18)
+    check_packed(docs, packed, 32768)
+    per_shard = [r["count"] for r in packed.filter("bin_id is not null").groupBy(F.shiftright("bin_id", 32)).count().collect()]
+    assert len(per_shard) > 20 and max(per_shard) < 4 * sum(per_shard) / len(per_shard)
+    assert simhash.keep_one(docs.filter("doc_id is null and length(text) > 99")).count() == 1
+    cut = suffix_dedup.remove_repeats(docs).groupBy("n_removed", "n_spans").count().collect()
+    assert {(r.n_removed > 0, r.n_spans): r["count"] for r in cut} == {(True, 1): 2000, (False, 0): 4000}
+
+
 # --- pipeline
 
 
