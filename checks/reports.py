@@ -7,6 +7,8 @@ from checks.text import _SCRUB, SUBMISSION_SQL, _strip_sql, submission
 from speechlake.operators import aggregate as A
 from speechlake.operators import join as J
 from speechlake.operators import quality as Q
+from speechlake.operators.audio import encode_waves, ingest_audio
+from speechlake.operators.blocks import block_report
 from speechlake.operators.sequence import join_chunks, running_totals
 from speechlake.operators.ranking import number_slice
 from speechlake.plans.training import labeled_hours
@@ -212,6 +214,22 @@ def budget(spark, sf):
     return Q.budget_report(_with_errors(spark, sf), max_bad=50)
 
 
+@check(
+    "v2_block_budget",
+    """with vectors as (select vec_id // 50 as block, vec_id // 50 % 9 = 4 or vec_id % 11 = 0 as lost from embeddings),
+    blocks as (select block, count(*) as n, count(*) filter (lost) as lost from vectors group by block)
+    select count(*) as blocks, count(*) filter (lost = n) as bad_blocks, sum(lost)::bigint as rows_lost, count(*) filter (lost = n) <= 50 as ok from blocks""",
+)
+def block_budget(spark, sf):
+    """Vectors are decoded as clips; those of some whole blocks, and others here and there, are no audio."""
+    block, own = F.floor(F.col("vec_id") / 50).cast("bigint"), F.transform("embedding", lambda x: x.cast("float"))
+    vectors = table(spark, sf, "embeddings").select("vec_id", block.alias("block"), own.alias("wave"), F.lit(16_000).alias("rate"))
+    clips = encode_waves(vectors, "wave", "rate")
+    lost = (F.col("block") % 9 == 4) | (F.col("vec_id") % 11 == 0)
+    broken = clips.withColumn("audio_bytes", F.when(lost, F.lit(b"no audio")).otherwise(F.col("audio_bytes")))
+    return block_report(ingest_audio(broken), max_bad=50)
+
+
 @check("v3_quarantine", "select doc_id, lang, 'toxic' as error from documents join labels using (doc_id) where toxic = 1")
 def quarantine(spark, sf):
     return Q.split_good_bad(_with_errors(spark, sf))[1]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from speechlake.functions.codec import DEFAULT_DECODERS, Decoder, decode_clip, encode_wav
+from speechlake.operators.blocks import BlockBudget
 from speechlake.schemas import SAMPLE_RATE
 from speechlake.sources.files import read_bytes
 
@@ -27,9 +28,13 @@ def _reader(dtype: T.DataType):
 
 
 def _map_clips(
-    df: DataFrame, audio: str, outputs: list[T.StructField], convert, decoders: list[tuple[str, Decoder]], rate: int
+    df: DataFrame, audio: str, outputs: list[T.StructField], convert, decoders: list[tuple[str, Decoder]], rate: int,
+    budget: BlockBudget | None = None,
 ) -> DataFrame:
-    """Decode column ``audio`` of every row and append the columns that ``convert(wave, decoder, error)`` gives."""
+    """Decode column ``audio`` of every row and append the columns that ``convert(wave, decoder, error)`` gives.
+
+    Blocks without any decoded clip count against the ``budget``.
+    """
     read = _reader(df.schema[audio].dataType)
     dropped = {audio, *[f.name for f in outputs]}
     others = [c for c in df.columns if c not in dropped]
@@ -39,6 +44,7 @@ def _map_clips(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         types = [to_arrow_schema(T.StructType([f])).field(0).type for f in outputs]
+        blocks = budget.task() if budget else None
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(audio))
             kept = batch.select(others)
@@ -51,12 +57,16 @@ def _map_clips(
                 except OSError as failure:
                     error = f"read: {failure}"
                 rows.append(convert(wave, name, error))
+                if blocks:
+                    blocks.row(wave is None)
                 size += 0 if wave is None else wave.nbytes
                 if size >= _FLUSH_BYTES or i + 1 == len(column):
                     new = [pa.array([row[k] for row in rows], types[k]) for k in range(len(types))]
                     part = kept.slice(start, len(rows))
                     yield pa.RecordBatch.from_arrays([*part.columns, *new], names=schema.names)
                     start, size, rows = i + 1, 0, []
+        if blocks:
+            blocks.end()
 
     return df.select(*others, audio).mapInArrow(run, schema)
 
@@ -80,12 +90,13 @@ def decode_audio(
 
 def ingest_audio(
     df: DataFrame, audio: str = "audio_bytes", decoders: list[tuple[str, Decoder]] = DEFAULT_DECODERS,
-    rate: int = SAMPLE_RATE,
+    rate: int = SAMPLE_RATE, budget: BlockBudget | None = None,
 ) -> DataFrame:
     """Replace audio by ``audio_size`` (samples at ``rate``), ``audio_bytes`` (16-bit WAV) and ``error``.
 
     The column type decides how clips are read: a string is a file path, binary and array<tinyint> are the bytes
-    themselves, anything else is an error. Rows with an ``error`` have NULL audio.
+    themselves, anything else is an error. Rows with an ``error`` have NULL audio; a block of them counts against the
+    ``budget``.
     """
     outputs = [
         T.StructField("audio_size", T.LongType()),
@@ -96,7 +107,7 @@ def ingest_audio(
     def convert(wave, _name, error):
         return (None, None, error) if wave is None else (len(wave), encode_wav(wave, rate), None)
 
-    return _map_clips(df, audio, outputs, convert, decoders, rate)
+    return _map_clips(df, audio, outputs, convert, decoders, rate, budget)
 
 
 def encode_waves(df: DataFrame, wave: str = "wave", rate: str = "sample_rate", name: str = "audio_bytes") -> DataFrame:

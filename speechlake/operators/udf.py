@@ -1,9 +1,11 @@
 """Batch functions over Arrow record batches, and inference with a caller-given model."""
 
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,47 +14,83 @@ from pyspark.sql import types as T
 MODEL_BATCH = 16
 
 
+def rechunk(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of exactly ``rows``; only the last one may have fewer."""
+    held, n = [], 0
+
+    def merged() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        while batch.num_rows:
+            part = batch.slice(0, rows - n)
+            held, n, batch = [*held, part], n + part.num_rows, batch.slice(part.num_rows)
+            if n == rows:
+                yield merged()
+                held, n = [], 0
+    if held:
+        yield merged()
+
+
 def map_batches(
-    df: DataFrame, factory: Callable[..., Callable], schema: T.StructType | str, **kwargs
+    df: DataFrame, factory: Callable[..., Callable], schema: T.StructType | str, batch_size: int | None = None,
+    profile: ResourceProfile | None = None, **kwargs,
 ) -> DataFrame:
     """Apply a stateful batch function: ``factory(**kwargs)`` is built once per task, then called per record batch.
 
-    Select the columns the function needs before calling this: nothing is pruned through it.
+    Batches have exactly ``batch_size`` rows but for the last of a task; without it they come as Spark cuts them. The
+    stage runs on executors of ``profile``, whose tasks per executor bound the functions that live at once. Select the
+    columns the function needs before calling this: nothing is pruned through it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = None
-        for batch in batches:
+        for batch in rechunk(batches, batch_size) if batch_size else batches:
             function = function or factory(**kwargs)
             yield function(batch)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, schema, profile=profile)
 
 
 def transcribe(
     chunks: DataFrame, model_factory: Callable[[], Callable[[list[np.ndarray]], list[str]]], wave: str = "wave",
     batch_size: int = MODEL_BATCH,
 ) -> DataFrame:
-    """Replace ``wave`` by ``text``; the model is built once per task and sees up to ``batch_size`` chunks per call.
+    """Replace ``wave`` by ``text``; the model is built once per task and sees ``batch_size`` chunks per call.
 
-    Chunks keep their place, so no shuffle moves the samples. NULL waves get a NULL text.
+    Calls go on over the borders of Arrow batches, so only the last one of a task has fewer; a batch is held until the
+    call that holds its last chunk. Chunks keep their place, so no shuffle moves the samples. NULL waves get a NULL text.
     """
     others = [c for c in chunks.columns if c != wave]
     schema = T.StructType([chunks.schema[c] for c in others] + [T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = None
+        held: deque[tuple[list[pa.Array], list[str | None]]] = deque()
+        waiting: list[tuple[list[str | None], int, np.ndarray]] = []  # texts of its batch, place in it, wave
+
+        def call(size: int) -> None:
+            now, waiting[:] = waiting[:size], waiting[size:]
+            for (texts, i, _), text in zip(now, model([samples for *_, samples in now]) if now else [], strict=True):
+                texts[i] = text
+
+        def done(last: bool = False) -> Iterator[pa.RecordBatch]:
+            while held and (last or not waiting or held[0][1] is not waiting[0][0]):
+                kept, texts = held.popleft()
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=[*others, "text"])
+
         for batch in batches:
             model = model or model_factory()
             waves = batch.column(batch.schema.get_field_index(wave))
-            spoken = [i for i in range(len(waves)) if waves[i].is_valid]
             texts: list[str | None] = [None] * len(waves)
-            for start in range(0, len(spoken), batch_size):
-                rows = spoken[start : start + batch_size]
-                found = model([waves[i].values.to_numpy(zero_copy_only=False) for i in rows])
-                for i, text in zip(rows, found, strict=True):
-                    texts[i] = text
-            kept = [batch.column(batch.schema.get_field_index(c)) for c in others]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=[*others, "text"])
+            held.append(([batch.column(batch.schema.get_field_index(c)) for c in others], texts))
+            for i in range(len(waves)):
+                if waves[i].is_valid:
+                    waiting.append((texts, i, waves[i].values.to_numpy(zero_copy_only=False)))
+                    if len(waiting) == batch_size:
+                        call(batch_size)
+            yield from done()
+        call(batch_size)
+        yield from done(last=True)
 
     return chunks.select(*others, F.col(wave)).mapInArrow(run, schema)

@@ -1,7 +1,8 @@
 """Ingest jobs: sources -> utterance lake, with failed clips set aside."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack, contextmanager, nullcontext
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from speechlake.functions.codec import DEFAULT_DECODERS
 from speechlake.operators.audio import ingest_audio, to_int8_list
+from speechlake.operators.blocks import BlockBudget
 from speechlake.operators.join import join_audio
 from speechlake.operators.project import SPLIT_NAMES, drop_unlabeled, set_language, to_lake_schema
 from speechlake.operators.quality import enforce_budget, split_good_bad
@@ -51,6 +53,7 @@ def ingest_round(
 def land(
     clips: DataFrame, decode: Callable[[DataFrame], DataFrame], name: Callable[[DataFrame], DataFrame], out: str, corpus: str,
     language: str, quarantine: str | None = None, max_bad: int | None = None, staging: bool = False,
+    budget: BlockBudget | None = None,
 ) -> int:
     """Decode the clips that the lake does not hold yet and append them; returns the rows landed.
 
@@ -58,13 +61,14 @@ def land(
     ``decode`` adds ``error``; ``name`` gives good rows their lake columns. Failed clips and their reason go to
     ``quarantine``, once. Decoded audio goes straight to its place; the few failed clips are then decoded again for
     their reasons. If ``max_bad`` is set and more clips fail, nothing lands; for that, or with ``staging``, all is
-    decoded into the shared scratch folder first.
+    decoded into the shared scratch folder first. ``budget`` is that of the blocks which ``decode`` counts: the run ends as
+    soon as more are lost, before all is decoded, and nothing lands.
     """
     spark = clips.sparkSession
     new = clips.join(landed_keys(spark, out, corpus, language), CLIP_KEY, "left_anti").select(*clips.columns)
     decoded = decode(new)
-    if staging or max_bad is not None:
-        with staged(decoded, "decoded", ROW_GROUP_ROWS) as rows:
+    if staging or max_bad is not None or budget is not None:
+        with _watched(decoded, budget) as rows:
             good, bad = split_good_bad(enforce_budget(rows, max_bad=max_bad))
             if quarantine:
                 quarantine_new(bad.select(*LOST_COLUMNS), quarantine)
@@ -78,6 +82,15 @@ def land(
     return landed
 
 
+@contextmanager
+def _watched(decoded: DataFrame, budget: BlockBudget | None) -> Iterator[DataFrame]:
+    """``decoded`` in the scratch folder, written within the budget."""
+    with ExitStack() as stack:
+        with budget.watch() if budget else nullcontext():
+            rows = stack.enter_context(staged(decoded, "decoded", ROW_GROUP_ROWS))
+        yield rows
+
+
 def _append(rows: DataFrame, out: str) -> int:
     counted = Observation("landed")
     write_lake(rows.observe(counted, F.count(F.lit(1)).alias("rows")), out, spread=False)
@@ -90,6 +103,7 @@ LOST_COLUMNS = [CLIP_KEY, "corpus", "language", "error"]
 def ingest_clips(
     spark: SparkSession, root: str, out: str, language: str, corpus: str, skip: int = 0, take: int = 0, seed: int = SEED,
     decoders=DEFAULT_DECODERS, quarantine: str | None = None, max_bad: int | None = None, int8_list: bool = False,
+    max_bad_blocks: int | None = None,
 ) -> int:
     """Ingest one source that has split folders of clip tables; clips that the lake holds are not landed again.
 
@@ -108,7 +122,9 @@ def ingest_clips(
         rows = to_lake_schema(good, F.col("split"), corpus, [CLIP_KEY])
         return to_int8_list(rows) if int8_list else rows
 
-    return land(clips, lambda rows: ingest_audio(rows, "audio_bytes", decoders), name, out, corpus, language, quarantine, max_bad)
+    budget = None if max_bad_blocks is None else BlockBudget(spark, max_bad_blocks)
+    decode = lambda rows: ingest_audio(rows, "audio_bytes", decoders, budget=budget)
+    return land(clips, decode, name, out, corpus, language, quarantine, max_bad, budget=budget)
 
 
 MANIFEST_COLUMNS = [CLIP_KEY, "shard", "member", "path", "line_block", "line_id", "transcription", "audio_size", "audio_bytes", "error"]
@@ -121,7 +137,8 @@ def key_lines(lines: DataFrame) -> DataFrame:
 
 
 def decode_manifests(
-    spark: SparkSession, root: str, lines: DataFrame, decoders=DEFAULT_DECODERS, decode_tasks: int = 0
+    spark: SparkSession, root: str, lines: DataFrame, decoders=DEFAULT_DECODERS, decode_tasks: int = 0,
+    budget: BlockBudget | None = None,
 ) -> DataFrame:
     """Decoded clips of the labeled manifest lines, one row each, and an ``error`` row for whatever was lost.
 
@@ -134,7 +151,7 @@ def decode_manifests(
     clips = join_audio(labeled, read_archives(archives, labeled))
     if decode_tasks:
         clips = clips.repartition(decode_tasks, "shard", "member")
-    decoded = ingest_audio(clips, "raw", decoders).withColumn("error", F.coalesce("archive_error", "error"))
+    decoded = ingest_audio(clips, "raw", decoders, budget=budget).withColumn("error", F.coalesce("archive_error", "error"))
     decoded = decoded.withColumn(CLIP_KEY, F.coalesce(CLIP_KEY, "shard"))
     missing = missing_archives(archives, labeled).withColumn(CLIP_KEY, F.col("shard"))
     lost = broken_lines.select(CLIP_KEY, "shard", "member", "error").unionByName(missing)
@@ -152,12 +169,13 @@ def name_manifest_rows(good: DataFrame, language: str, corpus: str, split: Colum
 def ingest_lines(
     spark: SparkSession, root: str, lines: DataFrame, out: str, language: str, corpus: str, split: Column | None = None,
     max_clips_per_shard: int = 0, seed: int = SEED, decoders=DEFAULT_DECODERS, quarantine: str | None = None,
-    max_bad: int | None = None, decode_tasks: int = 0,
+    max_bad: int | None = None, decode_tasks: int = 0, max_bad_blocks: int | None = None,
 ) -> int:
     """Land the clips of manifest lines; see ``land`` and ``ingest_manifests``."""
+    budget = None if max_bad_blocks is None else BlockBudget(spark, max_bad_blocks)
 
     def decode(rows: DataFrame) -> DataFrame:
-        decoded = decode_manifests(spark, root, rows, decoders, decode_tasks)
+        decoded = decode_manifests(spark, root, rows, decoders, decode_tasks, budget)
         return decoded.withColumns({"corpus": F.lit(corpus), "language": F.lit(language)})
 
     def name(good: DataFrame) -> DataFrame:
@@ -166,14 +184,14 @@ def ingest_lines(
 
     # The lines are parsed once; they are read for the names, the archives and the join.
     with staged(key_lines(lines), "lines") as parsed:
-        return land(parsed, decode, name, out, corpus, language, quarantine, max_bad, staging=max_clips_per_shard > 0)
+        return land(parsed, decode, name, out, corpus, language, quarantine, max_bad, max_clips_per_shard > 0, budget)
 
 
 def ingest_manifests(
     spark: SparkSession, root: str, out: str, language: str, corpus: str, split: Column | None = None,
     folders: list[str] | None = None, max_shards: int = 0, max_clips_per_shard: int = 0, seed: int = SEED,
     decoders=DEFAULT_DECODERS, quarantine: str | None = None, max_bad: int | None = None, per_folder: bool = False,
-    decode_tasks: int = 0,
+    decode_tasks: int = 0, max_bad_blocks: int | None = None,
 ) -> int:
     """Ingest one source of manifests and archive shards.
 
@@ -185,7 +203,7 @@ def ingest_manifests(
         paths = [row.path for row in list_shards(spark, root, "manifest_", folders, max_shards, per_folder).collect()]
     return ingest_lines(
         spark, root, read_manifest(spark, paths), out, language, corpus, split, max_clips_per_shard, seed, decoders, quarantine,
-        max_bad, decode_tasks,
+        max_bad, decode_tasks, max_bad_blocks,
     )
 
 
