@@ -18,16 +18,16 @@ from speechlake.operators.project import drop_unlabeled
 from speechlake.plans.ingest import ingest_clips, ingest_manifests, ingest_once
 from speechlake.session import hadoop_path, scratch_path
 from speechlake.sources import tables as T
+from speechlake.sources.compaction import compact_lake
 from speechlake.sources.corpora import archive_listing, missing_archives, read_archives, read_clips, read_manifest
 from speechlake.sources.files import folder, plain_path
 from speechlake.streaming.pickup import stream_ingest
 
-
 ARCHIVE_BYTES = 16 << 20
 
 
-def _lake(spark, sf):
-    """The documents as a lake in two appends."""
+def _lake(spark, sf, small_files=1):
+    """The documents as a lake in two appends; each leaves up to ``small_files`` files in a partition."""
     root = scratch_path(spark, "lake")
     docs = table(spark, sf, "documents").select(
         "text",
@@ -37,8 +37,11 @@ def _lake(spark, sf):
         F.when(F.col("lang") == "en", "train").otherwise("dev").alias("split"),
         F.lit("corpus_a").alias("corpus"),
     )
-    T.write_lake(docs.filter("audio_size < 1000"), root)
-    T.write_lake(docs.filter("audio_size >= 1000"), root)
+    for part in (docs.filter("audio_size < 1000"), docs.filter("audio_size >= 1000")):
+        if small_files == 1:
+            T.write_lake(part, root)
+        else:
+            T.write_lake(part.repartition(small_files), root, spread=False)
     return root
 
 
@@ -51,6 +54,18 @@ def lake(spark, sf):
     return T.read_lake(spark, _lake(spark, sf)).withColumn("audio_md5", F.md5("audio_bytes")).drop("audio_bytes")
 
 
+@check(
+    "k1_compacted_lake",
+    """select text, md5(text) as audio_md5, lang as language, case when lang = 'en' then 'train' else 'dev' end as split,
+    'corpus_a' as corpus, n_chars as audio_size from documents""",
+)
+def compacted(spark, sf):
+    """The lake in many small files, packed into files of 200 rows and more."""
+    root = _lake(spark, sf, small_files=8)
+    compact_lake(spark, root, min_rows=200)
+    return T.read_lake(spark, root).withColumn("audio_md5", F.md5("audio_bytes")).drop("audio_bytes")
+
+
 @check(
     "k2_s11_stats",
     "select 'corpus_a' as corpus, lang as language, round(sum(n_chars) / 3600 / 16000, 9) as hours from documents group by lang",

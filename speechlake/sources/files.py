@@ -23,6 +23,12 @@ def open_stream(path: str):
     return system.open_input_stream(inner)
 
 
+def open_file(path: str):
+    """A seekable file on a local path or URI."""
+    system, inner = _located(path)
+    return system.open_input_file(inner)
+
+
 def read_bytes(path: str) -> bytes:
     with open_stream(path) as stream:
         return stream.read()
@@ -66,8 +72,7 @@ def file_types(spark: SparkSession, root: str, columns: list[str], pattern: str
             types, errors = [], []
             for path in batch.column(0).to_pylist():
                 try:
-                    system, inner = _located(path)
-                    with system.open_input_file(inner) as file:
+                    with open_file(path) as file:
                         schema = pq.read_schema(file)
                     own = [from_arrow_type(schema.field(c).type).simpleString() if c in schema.names else None for c in columns]
                     types.append(own)

@@ -11,6 +11,7 @@ from speechlake.operators.join import join_audio
 from speechlake.operators.project import drop_unlabeled, to_submission
 from speechlake.schemas import CLIP_KEY, LAKE_COLUMNS, LAKE_PARTITIONS, LANGUAGE_STATS, SUBMISSION, UTTERANCE
 from speechlake.session import hadoop_path
+from speechlake.sources.compaction import hidden
 from speechlake.sources.corpora import archive_listing, read_archives, read_manifest
 from speechlake.sources.files import file_types, metadata_path
 
@@ -30,17 +31,19 @@ def has_data(spark: SparkSession, root: str) -> bool:
 
 def read_typed(
     spark: SparkSession, root: str, columns: dict[str, str | None], pattern: str = "*.parquet", partitions: dict[str, str] | None = None,
-    extra: dict[str, Column] | None = None,
+    extra: dict[str, Column] | None = None, skip: Column | None = None,
 ) -> DataFrame:
     """``columns`` (name: type) of all readable parquet files below ``root``, in whatever type each file has them.
 
     Files of equal types are one scan; values are cast, and what a type can't hold is NULL, as is a column that a file
     lacks. Type None takes the type of the files, or fails if they differ. Files without a readable footer are left out
-    with a warning (``unreadable_files`` lists them); an error further inside a file fails the read.
+    with a warning (``unreadable_files`` lists them); an error further inside a file fails the read. ``skip`` is a condition
+    on the ``path`` of files to leave out.
     """
     names, partitions = list(columns), partitions or {}
+    files = file_types(spark, root, names, pattern)
     kinds = (
-        file_types(spark, root, names, pattern)
+        (files if skip is None else files.filter(~skip))
         .groupBy("types", F.col("error").isNotNull().alias("broken"))
         .agg(F.collect_list("path").alias("paths"))
         .collect()
@@ -57,7 +60,7 @@ def read_typed(
         # Of a struct only the wanted fields are read.
         found = {n: wanted[n] if wanted[n].startswith("struct<") else t for n, t in zip(names, row.types) if t}
         rows = reader.schema(", ".join(f"`{n}` {t}" for n, t in {**found, **partitions}.items()))
-        rows = rows.parquet(*row.paths) if len(kinds) > 1 else rows.parquet(root)
+        rows = rows.parquet(*row.paths) if len(kinds) > 1 or skip is not None else rows.parquet(root)
         rows = rows.select(*found, *partitions, *[c.alias(n) for n, c in (extra or {}).items()])
         for n, t in found.items():
             if (t, wanted[n]) == ("array<tinyint>", "binary"):
@@ -90,7 +93,7 @@ def read_lake(spark: SparkSession, root: str, columns: list[str] = LAKE_COLUMNS)
     """
     types = {f.name: f.dataType.simpleString() for f in UTTERANCE} | {"audio_bytes": None}
     partitions = {c: types[c] for c in LAKE_PARTITIONS}
-    return read_typed(spark, root, {c: types[c] for c in columns if c not in partitions}, partitions=partitions).select(*columns)
+    return read_typed(spark, root, {c: types[c] for c in columns if c not in partitions}, partitions=partitions, skip=hidden(spark, root)).select(*columns)
 
 
 def write_lake(df: DataFrame, root: str, mode: str = "append", spread: bool = True) -> None:
@@ -117,7 +120,7 @@ def landed_keys(spark: SparkSession, root: str, corpus: str, language: str) -> D
     if not has_data(spark, root):
         return spark.createDataFrame([], f"{CLIP_KEY} string")
     types = {f.name: f.dataType.simpleString() for f in UTTERANCE}
-    rows = read_typed(spark, root, {CLIP_KEY: "string"}, partitions={c: types[c] for c in LAKE_PARTITIONS})
+    rows = read_typed(spark, root, {CLIP_KEY: "string"}, partitions={c: types[c] for c in LAKE_PARTITIONS}, skip=hidden(spark, root))
     own = (F.col("corpus") == corpus) & (F.col("language") == language) & F.col(CLIP_KEY).isNotNull()
     return rows.filter(own).select(CLIP_KEY).distinct()
 
