@@ -25,13 +25,17 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from speechlake.llm.common import written
 
-PACK_TOKENS, PACK_ROWS = 1 << 20, 4096  # a pack ends with the document that reaches either
-TEXTS_AT_ONCE = 32
-MEMO_CHUNKS, MEMO_LETTERS = 300_000, 64  # chunks whose ids a worker remembers, and the length of one
+PACK_TOKENS, PACK_ROWS = 1 << 18, 4096  # a pack ends with the document that reaches either
+TEXTS_AT_ONCE = 64
+GROUP_PACKS = 4  # packs of a parquet row group, which readers hold at once
+MEMO_CHUNKS, MEMO_LETTERS = 400_000, 64  # chunks whose ids a worker remembers, and the length of one
 LARGE_GROUP = 4096  # links of a group beyond which its pairs are counted by id
 SPACE = "\u2581"
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
+_NONE = np.zeros(0, np.int32)
 # Letters that no tokenizer takes for white space; text is cut into chunks at spaces between two of them.
 _LETTER = r"[!-~\u00A1-\u052F]"
+_WORD = re.compile(f"{_LETTER}(.*{_LETTER})?", re.DOTALL)
 _CUT, _UNUSUAL = re.compile(f"(?<={_LETTER})(?= {_LETTER})"), re.compile(f"^ |[^!-~\u00A1-\u052F] | $")
 
 
@@ -95,8 +99,8 @@ class Side:
     def ends(self, ids: np.ndarray) -> np.ndarray:
         return self.lengths[ids].cumsum()
 
-    def spells(self, ids: np.ndarray, text: bytes) -> bool:
-        return b"".join(map(self.tokenizer.bytes.__getitem__, ids.tolist())) == text
+    def spells(self, ids: list[int], text: bytes) -> bool:
+        return b"".join(map(self.tokenizer.bytes.__getitem__, ids)) == text
 
 
 class Encoder:
@@ -105,42 +109,99 @@ class Encoder:
     def __init__(self, a: Side, b: Side):
         self.sides = (a, b)
         self.by_chunk = all(side.tokenizer.by_chunk for side in self.sides)
-        self.memo: dict[str, tuple[bytes, bytes]] = {}
+        self.memo: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.misspelt: set[str] = set()
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """None for a text that is empty or not spelt by both."""
         if self.by_chunk:
-            cut = [_CUT.split(" " + t) if _UNUSUAL.search(t) else [" " + part for part in t.split(" ")] for t in texts]
+            cut = [[c[1:] for c in _CUT.split(" " + t)] if _UNUSUAL.search(t) else t.split(" ") for t in texts]
         else:
-            cut = [[" " + t] for t in texts]
-        memo = self.memo
-        fresh = list({c for chunks in cut for c in chunks if c not in memo})
-        ids = [[array("i", x).tobytes() for x in side.tokenizer.encode(fresh)] for side in self.sides]
-        found = dict(zip(fresh, zip(*ids)))
-        if len(memo) + len(fresh) > MEMO_CHUNKS:
-            found |= {c: memo[c] for chunks in cut for c in chunks if c in memo}
-            memo.clear()
-        memo.update((c, pair) for c, pair in found.items() if len(c) <= MEMO_LETTERS)
-        out = []
-        for text, chunks in zip(texts, cut):
-            parts = zip(*[memo.get(c) or found[c] for c in chunks])
-            both = tuple(np.frombuffer(b"".join(part), np.int32) for part in parts)
-            raw = (" " + text).encode()
-            out.append(both if text and all(side.spells(ids, raw) for side, ids in zip(self.sides, both)) else None)
+            cut = [[t] for t in texts]
+        fresh = list(set().union(*cut).difference(self.memo[0]))
+        words = [c for c in fresh if _WORD.fullmatch(c)] if self.by_chunk else []
+        rest = [" " + c for c in (set(fresh).difference(words) if words else fresh)]
+        for side, memo in zip(self.sides, self.memo):
+            alone = rest if not words or self._learn(side, memo, words) else [" " + c for c in fresh]
+            for spaced, ids in zip(alone, side.tokenizer.encode(alone)):
+                memo[spaced[1:]] = array("i", ids).tobytes()
+                if not side.spells(ids, spaced.encode()):
+                    self.misspelt.add(spaced[1:])
+        out = [self._ids(text, chunks) for text, chunks in zip(texts, cut)]
+        crowded = len(self.memo[0]) > MEMO_CHUNKS
+        for memo in self.memo:
+            if crowded:
+                memo.clear()
+            for chunk in fresh:
+                if len(chunk) > MEMO_LETTERS:
+                    memo.pop(chunk, None)
+        if crowded:
+            self.misspelt.clear()
         return out
 
+    def _learn(self, side: Side, memo: dict[str, bytes], words: list[str]) -> bool:
+        """Encode words in one text, at whose spaces no token goes on; False if their bytes are others."""
+        spaced = [" " + word for word in words]
+        (ids,) = side.tokenizer.encode(["".join(spaced)])
+        if not side.spells(ids, "".join(spaced).encode()):
+            return False
+        ids = np.array(ids, np.int32)
+        raw, ends = ids.tobytes(), np.cumsum([len(word.encode()) for word in spaced])
+        stops = ((np.searchsorted(side.ends(ids), ends) + 1) * ids.itemsize).tolist()
+        memo.update(zip(words, [raw[i:j] for i, j in zip([0, *stops], stops)]))
+        return True
+
+    def _ids(self, text: str, chunks: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        both = tuple(np.frombuffer(b"".join(map(memo.__getitem__, chunks)), np.int32) for memo in self.memo)
+        right = bool(text)
+        if self.misspelt and not self.misspelt.isdisjoint(chunks):
+            right = all(side.spells(ids.tolist(), (" " + text).encode()) for side, ids in zip(self.sides, both))
+        return both if right else None
+
 
 @lru_cache(maxsize=2)
 def _encoder(model_a: bytes, model_b: bytes) -> Encoder:
     return Encoder(Side(ByteLevel(model_a), "|"), Side(Pieces(model_b), ";"))
 
 
-def cut_windows(a: Side, b: Side, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[list[int], list[int]]:
-    """Where windows end in both id sequences: at shared ends before space-marked tokens, and at the end."""
+def cut_windows(a: Side, b: Side, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where windows end in both id sequences: at shared ends before space-marked tokens, and at the end.
+
+    The sequences may be those of several texts, one behind the other: their first tokens are marked by the space.
+    """
     ends_a, ends_b = a.ends(ids_a), b.ends(ids_b)
     before_a, before_b = (ends[:-1][side.marked[ids[1:]]] for side, ids, ends in ((a, ids_a, ends_a), (b, ids_b, ends_b)))
-    shared = np.append(np.intersect1d(before_a, before_b, assume_unique=True), ends_a[-1])
-    return (np.searchsorted(ends_a, shared) + 1).tolist(), (np.searchsorted(ends_b, shared) + 1).tolist()
+    shared = np.append(np.intersect1d(before_a, before_b, assume_unique=True), ends_a[-1:])
+    return np.searchsorted(ends_a, shared) + 1, np.searchsorted(ends_b, shared) + 1
+
+
+def same_windows(ids: tuple[np.ndarray, np.ndarray], cuts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(first window of each kind, kind of each window): windows of one kind have the same ids on both sides.
+
+    Windows are known by a hash of their ids, which are then compared with those of the first window of the kind.
+    """
+    sides = [(x, cut, np.diff(cut, prepend=0)) for x, cut in zip(ids, cuts)]
+    hashes = np.zeros(len(cuts[0]), np.uint64)
+    for (x, cut, sizes), factor in zip(sides, _FACTORS):
+        powers = np.full(sizes.max(initial=0), factor, np.uint64).cumprod()
+        nth = np.arange(len(x)) - np.repeat(cut - sizes, sizes)
+        mixed = np.add.reduceat((x.astype(np.uint64) + np.uint64(1)) * powers[nth], cut - sizes) if len(x) else hashes
+        hashes = (hashes ^ (hashes >> np.uint64(31))) * factor + mixed
+    _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
+    for x, cut, sizes in sides:
+        own, other = sizes, sizes[first[kind]]
+        if not np.array_equal(own, other) or not np.array_equal(x, x[_spread((cut - sizes)[first[kind]], sizes)]):
+            known: dict = {}
+            raws = [x.tobytes() for x in ids]
+            starts = [((cut - sizes) * 4, cut * 4) for _, cut, sizes in sides]
+            kind = np.array([known.setdefault(tuple(raw[i[w] : j[w]] for raw, (i, j) in zip(raws, starts)), len(known)) for w in range(len(kind))])
+            return np.unique(kind, return_index=True)[1], kind
+    return first, kind
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs of the given starts and sizes, one behind the other."""
+    return np.repeat(starts - (sizes.cumsum() - sizes), sizes) + np.arange(sizes.sum())
 
 
 def _joined(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -204,53 +265,43 @@ def align_windows(a: Side, b: Side, ids_a: np.ndarray, ids_b: np.ndarray, cut_a:
 
 
 class Pack:
-    """Documents of bounded size in sum; the windows of each are looked up by their ids and aligned once."""
+    """Documents of bounded size in sum; windows of the same ids are aligned once."""
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
         self.keys: list = []
-        self.sizes: list[tuple[int, int]] = []
-        self.found: list[list[int]] = []
-        self.memo: dict[tuple[bytes, bytes], int] = {}
+        self.ids: list[tuple[np.ndarray, np.ndarray]] = []
         self.tokens = 0
 
     def add(self, key, ids: tuple[np.ndarray, np.ndarray] | None) -> None:
-        found: list[int] = []
         self.keys.append(key)
-        self.sizes.append((0, 0) if ids is None else (len(ids[0]), len(ids[1])))
-        self.found.append(found)
-        if ids is None:
-            return
-        ids_a, ids_b = ids
-        raw_a, raw_b, memo, i, k = ids_a.tobytes(), ids_b.tobytes(), self.memo, 0, 0
-        for j, m in zip(*cut_windows(self.a, self.b, ids_a, ids_b)):
-            window = (raw_a[4 * i : 4 * j], raw_b[4 * k : 4 * m])
-            found.append(memo.setdefault(window, len(memo)))
-            i, k = j, m
-        self.tokens += len(ids_a)
+        self.ids.append(ids or (_NONE, _NONE))
+        self.tokens += len(self.ids[-1][0])
 
     def row(self, number: int) -> tuple:
         """Rows, their windows and how often, the windows' pairs and links, the distinct pairs and their documents."""
-        cuts = [np.array([len(w[side]) // 4 for w in self.memo], np.int64).cumsum() for side in (0, 1)]
-        ids = [np.frombuffer(b"".join(w[side] for w in self.memo), np.int32) for side in (0, 1)]
-        aligned = align_windows(self.a, self.b, *ids, *cuts)
-        digests = ["".join([aligned.texts[w] for w in found])[:-1] for found in self.found]
+        ids = tuple(np.concatenate(side) for side in zip(*self.ids))
+        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in zip(*self.ids))
+        cuts = cut_windows(self.a, self.b, *ids)
+        first, found = same_windows(ids, cuts)
+        own = [(cut, np.diff(cut, prepend=0)) for cut in cuts]
+        kinds = [x[_spread((cut - sizes)[first], sizes[first])] for x, (cut, sizes) in zip(ids, own)]
+        aligned = align_windows(self.a, self.b, *kinds, *[sizes[first].cumsum() for _, sizes in own])
+        lengths = np.diff(np.searchsorted(cuts[0], n_a.cumsum(), "right"), prepend=0)
+        texts, ends = np.array(aligned.texts, object)[found].tolist() if len(found) else [], lengths.cumsum().tolist()
+        digests = ["".join(texts[i:j])[:-1] for i, j in zip([0, *ends], ends)]
         digests = [hashlib.sha256(d.encode()).hexdigest() if d else "" for d in digests]
-        lengths = np.array([len(found) for found in self.found], np.int64)
-        found = np.array([w for found in self.found for w in found], np.int64)
         sums = [_joined(values[found], lengths) for values in (aligned.groups, aligned.links)]
-        width = max(len(self.memo), 1)
+        width = max(len(first), 1)
         held, times = np.unique(np.repeat(np.arange(len(lengths)), lengths) * width + found, return_counts=True)
         row, windows = np.divmod(held, width)
         # A document counts once for each pair, however many of its windows have it.
         sizes = aligned.n_pairs[windows]
-        first = np.repeat((aligned.n_pairs.cumsum() - aligned.n_pairs)[windows], sizes)
-        nth = np.arange(len(first)) - np.repeat(sizes.cumsum() - sizes, sizes)
         pairs = max(len(aligned.codes), 1)
-        seen = np.unique(np.repeat(row, sizes) * pairs + aligned.pairs[first + nth])
+        at = _spread((aligned.n_pairs.cumsum() - aligned.n_pairs)[windows], sizes)
+        seen = np.unique(np.repeat(row, sizes) * pairs + aligned.pairs[at])
         documents = np.bincount(seen % pairs, minlength=len(aligned.codes))
         per_row = np.bincount(row, minlength=len(lengths))
-        n_a, n_b = zip(*self.sizes)
         return (
             number, self.keys, n_a, n_b, *sums, digests, per_row, windows, times, aligned.n_pairs, aligned.pairs, aligned.times, aligned.codes, documents,
         )
@@ -314,7 +365,7 @@ def align_documents(
     with open(path_a, "rb") as file_a, open(path_b, "rb") as file_b:
         model_a, model_b = file_a.read(), file_b.read()
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    packs = written(_packs(rows, model_a, model_b), "packs")
+    packs = written(_packs(rows, model_a, model_b), "packs", group_rows=GROUP_PACKS)
     counted = packs.select(F.explode(F.arrays_zip("codes", "documents")).alias("one")).groupBy(F.col("one.codes").alias("code")).agg(F.sum("one.documents").alias("documents"))
     counted = written(counted.withColumn("id_a", F.shiftright("code", 32).cast("int")), "pairs")
     most = counted.groupBy("id_a").agg(F.max("documents").alias("most"))  # no more rows than ids of the first tokenizer

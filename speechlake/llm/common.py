@@ -23,10 +23,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a parquet table in the shared folder: computed once, and it outlives executors."""
+def written(df: DataFrame, name: str, group_rows: int | None = None) -> DataFrame:
+    """``df`` as a parquet table in the shared folder: computed once, and it outlives executors.
+
+    ``group_rows`` bounds the row groups where rows are large.
+    """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write if group_rows is None else df.write.option("parquet.block.row.count.limit", group_rows)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -146,16 +146,20 @@ def test_memory_is_bounded(monkeypatch):
     want = packed(texts, encoder)
     monkeypatch.setattr(align, "MEMO_CHUNKS", 10)
     monkeypatch.setattr(align, "LARGE_GROUP", 1)
-    encoder.memo.clear()
+    for memo in encoder.memo:
+        memo.clear()
     for one, other in zip(packed(texts, encoder), want):
         assert np.array_equal(one, other)
-    assert len(encoder.memo) <= 10 + 2 * len(texts)
-    encoder.memo.clear()
+    assert not encoder.memo[0] and not encoder.memo[1]
 
 
-def test_windows_are_remembered():
+def test_windows_of_one_kind(monkeypatch):
     encoder = _encoder()
-    pack = align.Pack(*encoder.sides)
-    for ids in encoder.encode(["one text of words", "one other text of words", "one text of words"]):
-        pack.add(0, ids)
-    assert sum(map(len, pack.found)) > len(pack.memo) == 5
+    texts = ["one text of words", "one other text of words", "one text of words", "", "words of text"]
+    ids = tuple(np.concatenate(side) for side in zip(*[x or (align._NONE, align._NONE) for x in encoder.encode(texts)]))
+    cuts = align.cut_windows(*encoder.sides, *ids)
+    first, kind = align.same_windows(ids, cuts)
+    assert len(kind) == 16 and len(first) == 5
+    monkeypatch.setattr(align, "_FACTORS", np.zeros(2, np.uint64))  # all hashes meet
+    again, of = align.same_windows(ids, cuts)
+    assert len(again) == 5 and len(set(zip(kind.tolist(), of.tolist()))) == 5
