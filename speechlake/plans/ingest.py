@@ -142,8 +142,9 @@ def decode_manifests(
 ) -> DataFrame:
     """Decoded clips of the labeled manifest lines, one row each, and an ``error`` row for whatever was lost.
 
-    Lost are broken lines, clips that no decoder takes, broken archives and shards without an archive. An archive is
-    read by one task, which decodes its clips too; with few large archives, ``decode_tasks`` spreads the clips first.
+    Lost are broken lines, clips that no decoder takes, broken archives and shards without an archive. A task
+    decodes the clips of the archive or the range of a plain tar that it reads; with few large compressed archives,
+    ``decode_tasks`` spreads the clips first.
     """
     good, broken_lines = split_good_bad(lines)
     labeled = drop_unlabeled(good)

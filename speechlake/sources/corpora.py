@@ -1,18 +1,12 @@
 """Source corpora: shard listings, manifests, archives and clip tables."""
 
-import os
-import tarfile
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from speechlake.functions.text import basename, shard_index, strip
-from speechlake.schemas import ARCHIVE_MEMBER, CLIP, MANIFEST_LINE
-from speechlake.sources.files import folder, metadata_path, open_stream, plain_path
-
-_FLUSH_BYTES = 32 << 20  # members are handed on in small batches, never an archive at once
+from speechlake.schemas import CLIP, MANIFEST_LINE
+from speechlake.sources.archives import read_archives  # noqa: F401 (a corpus source like the others)
+from speechlake.sources.files import folder, metadata_path, plain_path
 
 
 def list_shards(
@@ -91,87 +85,18 @@ def read_manifest(spark: SparkSession, paths: str | list[str], pattern: str = "m
 
 
 def archive_listing(spark: SparkSession, root: str, pattern: str = "audio_*.tar*") -> DataFrame:
-    """``path`` and ``shard`` of the archives one folder below their manifest."""
+    """``path``, ``length`` and ``shard`` of the archives one folder below their manifest."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(root)
-        .select("path")
+        .select("path", "length")
     )
     index = shard_index(basename("path"), "audio_")
     return files.withColumn("shard", F.concat_ws("/", folder(plain_path("path"), 2), index))
 
 
-def _archive_rows(path: str, wanted: set[str] | None) -> Iterator[tuple[str | None, bytes | None, str | None]]:
-    """(member, bytes, error) of the wanted members of one archive (None: all), the last of each name.
-
-    The archive is read forward twice: first the names, then the members. Whatever ends either pass is a row, too.
-    """
-    last: dict[str, int] = {}
-    failure = None
-    try:
-        with open_stream(path) as stream, tarfile.open(fileobj=stream, mode="r|*") as tar:
-            for i, member in enumerate(tar):
-                name = os.path.basename(member.name)
-                if member.isfile() and (wanted is None or name in wanted):
-                    last[name] = i
-    except Exception as error:  # a cut-off archive: what was listed so far is still good
-        failure = f"archive: {type(error).__name__}: {error}"
-    missing = set(last.values())
-    try:
-        if missing:
-            with open_stream(path) as stream, tarfile.open(fileobj=stream, mode="r|*") as tar:
-                for i, member in enumerate(tar):
-                    if i in missing:
-                        yield os.path.basename(member.name), tar.extractfile(member).read(), None
-                        missing.discard(i)
-                        if not missing:
-                            break
-    except Exception as error:
-        failure = failure or f"archive: {type(error).__name__}: {error}"
-    if failure or missing:
-        yield None, None, failure or f"archive: {len(missing)} members lost between two reads"
-
-
-def read_archives(archives: DataFrame, labeled: DataFrame | None = None) -> DataFrame:
-    """Members of tar archives (any compression): ``shard``, ``member`` (base name), ``raw``, ``archive_error``.
-
-    With ``labeled`` lines only their shards are opened, and only the members they name leave the task. If two members
-    share a base name, the last one wins. An archive is streamed by one task; names travel as one row per archive.
-    """
-    if labeled is None:
-        listed = archives.select("path", F.lit(None).cast("array<string>").alias("names"))
-    else:
-        names = labeled.groupBy("shard").agg(F.collect_set("member").alias("names"))
-        listed = archives.join(names, "shard").select("path", "names")
-        # The join may gather the few, small rows in few tasks; archives are dealt out anew, one to a task.
-        listed = listed.repartition(max(1, archives.count()), "path")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, names in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows, size = [], 0
-                for row in _archive_rows(path, None if names is None else set(names)):
-                    rows.append((path, *row))
-                    size += len(row[1] or b"")
-                    if size >= _FLUSH_BYTES:
-                        yield as_batch(rows)
-                        rows, size = [], 0
-                if rows:
-                    yield as_batch(rows)
-
-    def as_batch(rows):
-        kinds = [pa.string(), pa.string(), pa.binary(), pa.string()]
-        columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)]
-        return pa.RecordBatch.from_arrays(columns, names=ARCHIVE_MEMBER.names)
-
-    members = listed.mapInArrow(run, ARCHIVE_MEMBER)
-    index = shard_index(basename("path"), "audio_")
-    shard = F.concat_ws("/", folder(plain_path("path"), 2), index)
-    return members.select(shard.alias("shard"), "member", "raw", "archive_error")
-
-
 def missing_archives(archives: DataFrame, labeled: DataFrame) -> DataFrame:
     """Shards that have labeled lines but no archive, as error rows."""
     lost = labeled.select("shard").distinct().join(archives.select("shard"), "shard", "left_anti")

@@ -33,7 +33,7 @@ def zero_rate(data):
 
 
 def archive(path, members, cut=0):
-    """A tar.xz of (name, bytes) in order; ``cut`` drops bytes at the end."""
+    """A tar.xz, or a plain tar by its name, of (name, bytes) in order; ``cut`` drops bytes at the end."""
     raw = io.BytesIO()
     with tarfile.open(fileobj=raw, mode="w") as tar:
         folder = tarfile.TarInfo("clips")
@@ -43,7 +43,7 @@ def archive(path, members, cut=0):
             info = tarfile.TarInfo(name)
             info.size = len(data)
             tar.addfile(info, io.BytesIO(data))
-    packed = lzma.compress(raw.getvalue())
+    packed = raw.getvalue() if path.suffix == ".tar" else lzma.compress(raw.getvalue())
     path.parent.mkdir(parents=True, exist_ok=True)
     path.write_bytes(packed[: len(packed) - cut])
 

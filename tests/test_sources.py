@@ -193,22 +193,6 @@ def test_any_folder_name(spark, tmp_path, name):
     assert C.missing_archives(C.archive_listing(spark, str(tmp_path)), labeled).count() == 0
 
 
-def test_a_failing_second_read_is_told(tmp_path, monkeypatch):
-    path = tmp_path / "audio_1.tar.xz"
-    archive(path, [(f"{i}.wav", b"x" * 100) for i in range(5)])
-    opened, plain = [], C.open_stream
-
-    def once(name):
-        opened.append(name)
-        if len(opened) > 1:
-            raise OSError("stream lost")
-        return plain(name)
-
-    monkeypatch.setattr(C, "open_stream", once)
-    rows = list(C._archive_rows(str(path), None))
-    assert len(rows) == 1 and rows[0][0] is None and "stream lost" in rows[0][2]
-
-
 def test_unlisted_members_do_not_leave_the_task(spark, tmp_path):
     archive(tmp_path / "s/audio/audio_1.tar.xz", [(f"{i}.wav", b"x") for i in range(50)])
     manifest(tmp_path / "s/manifest_1.jsonl", [entry("7.wav", "A"), entry("8.wav", None), entry("gone.wav", "G")])
