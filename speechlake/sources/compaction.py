@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from speechlake.operators.ranking import small_side
 from speechlake.schemas import LAKE_PARTITIONS
 from speechlake.session import hadoop_path
+from speechlake.sources.catalogue import merge_catalogue, update_catalogue
 from speechlake.sources.files import list_files, metadata_path, open_file
 
 MIN_ROWS_PER_FILE = 1000
@@ -148,6 +149,8 @@ def compact_lake(spark: SparkSession, root: str, min_rows: int = MIN_ROWS_PER_FI
     old = [path for groups in kinds.values() for group in groups for path in group]
     _commit(spark, root, run, old)
     clean_up(spark, root)
+    update_catalogue(spark, root)
+    merge_catalogue(spark, root)
     return len(old) - sum(map(len, kinds.values()))
 
 

@@ -1,8 +1,5 @@
 """Open files inside tasks, by the paths that Spark lists."""
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,33 +50,6 @@ def folder(path: str | Column, up: int = 1) -> Column:
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """``path`` of all files below ``root`` that match; contents are not read."""
+    """``path``, ``length`` and ``modified`` of all files below ``root`` that match; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-    return reader.load(root).select("path")
-
-
-def file_types(spark: SparkSession, root: str, columns: list[str], pattern: str = "*.parquet") -> DataFrame:
-    """``path``, ``types`` (per column its type in the file, NULL if absent) and ``error`` of parquet files.
-
-    Footers are read in tasks. Files of one table may hold a column in different types, which one scan can't read.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.parquet as pq
-        from pyspark.sql.pandas.types import from_arrow_type
-
-        for batch in batches:
-            types, errors = [], []
-            for path in batch.column(0).to_pylist():
-                try:
-                    with open_file(path) as file:
-                        schema = pq.read_schema(file)
-                    own = [from_arrow_type(schema.field(c).type).simpleString() if c in schema.names else None for c in columns]
-                    types.append(own)
-                    errors.append(None)
-                except Exception as error:  # told as a row
-                    types.append(None)
-                    errors.append(f"{type(error).__name__}: {error}")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(types, pa.list_(pa.string())), pa.array(errors, pa.string())], names=["path", "types", "error"])
-
-    return list_files(spark, root, pattern).mapInArrow(run, "path string, types array<string>, error string")
+    return reader.load(root).select("path", "length", F.col("modificationTime").alias("modified"))

@@ -11,9 +11,10 @@ from speechlake.operators.join import join_audio
 from speechlake.operators.project import drop_unlabeled, to_submission
 from speechlake.schemas import CLIP_KEY, LAKE_COLUMNS, LAKE_PARTITIONS, LANGUAGE_STATS, SUBMISSION, UTTERANCE
 from speechlake.session import hadoop_path
+from speechlake.sources.catalogue import file_types, update_catalogue
 from speechlake.sources.compaction import hidden
 from speechlake.sources.corpora import archive_listing, read_archives, read_manifest
-from speechlake.sources.files import file_types, metadata_path
+from speechlake.sources.files import metadata_path
 
 # Fixed values of the lake layout, and the storage and task modes a dataset can be opened in.
 ROW_GROUP_ROWS = 100
@@ -31,17 +32,17 @@ def has_data(spark: SparkSession, root: str) -> bool:
 
 def read_typed(
     spark: SparkSession, root: str, columns: dict[str, str | None], pattern: str = "*.parquet", partitions: dict[str, str] | None = None,
-    extra: dict[str, Column] | None = None, skip: Column | None = None,
+    extra: dict[str, Column] | None = None, skip: Column | None = None, within: str = "",
 ) -> DataFrame:
     """``columns`` (name: type) of all readable parquet files below ``root``, in whatever type each file has them.
 
     Files of equal types are one scan; values are cast, and what a type can't hold is NULL, as is a column that a file
     lacks. Type None takes the type of the files, or fails if they differ. Files without a readable footer are left out
     with a warning (``unreadable_files`` lists them); an error further inside a file fails the read. ``skip`` is a condition
-    on the ``path`` of files to leave out.
+    on the ``path`` of files to leave out, ``within`` a pattern of folders below ``root``: no others are listed or opened.
     """
     names, partitions = list(columns), partitions or {}
-    files = file_types(spark, root, names, pattern)
+    files = file_types(spark, root, names, pattern, within)
     kinds = (
         (files if skip is None else files.filter(~skip))
         .groupBy("types", F.col("error").isNotNull().alias("broken"))
@@ -60,7 +61,7 @@ def read_typed(
         # Of a struct only the wanted fields are read.
         found = {n: wanted[n] if wanted[n].startswith("struct<") else t for n, t in zip(names, row.types) if t}
         rows = reader.schema(", ".join(f"`{n}` {t}" for n, t in {**found, **partitions}.items()))
-        rows = rows.parquet(*row.paths) if len(kinds) > 1 or skip is not None else rows.parquet(root)
+        rows = rows.parquet(*row.paths) if len(kinds) > 1 or skip is not None else rows.parquet(f"{root.rstrip('/')}/{within}" if within else root)
         rows = rows.select(*found, *partitions, *[c.alias(n) for n, c in (extra or {}).items()])
         for n, t in found.items():
             if (t, wanted[n]) == ("array<tinyint>", "binary"):
@@ -101,7 +102,7 @@ def write_lake(df: DataFrame, root: str, mode: str = "append", spread: bool = Tr
 
     The rebalance hint gathers each partition into few files and lets the runtime split a partition that is much
     larger than the others, so one language may hold most rows. Without ``spread`` the rows are written where they are:
-    for tasks that hold large rows of few partitions each.
+    for tasks that hold large rows of few partitions each. The new files get their entries in the lake's catalogue.
     """
     rows = df.select(*LAKE_COLUMNS, *[c for c in df.columns if c == CLIP_KEY])
     if spread:
@@ -113,16 +114,21 @@ def write_lake(df: DataFrame, root: str, mode: str = "append", spread: bool = Tr
         .partitionBy(*LAKE_PARTITIONS)
         .parquet(root)
     )
+    update_catalogue(df.sparkSession, root)
 
 
 def landed_keys(spark: SparkSession, root: str, corpus: str, language: str) -> DataFrame:
-    """``clip_key`` of the clips of one source that are in the lake; only that column is read."""
-    if not has_data(spark, root):
+    """``clip_key`` of the clips of one source that are in the lake; only that column of its own folders is read."""
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    within = f"corpus={escaped(corpus)}/split=*/language={escaped(language)}"
+    system, path = hadoop_path(spark, f"{root.rstrip('/')}/{within}/*.parquet")
+    if not system.globStatus(path):
         return spark.createDataFrame([], f"{CLIP_KEY} string")
     types = {f.name: f.dataType.simpleString() for f in UTTERANCE}
-    rows = read_typed(spark, root, {CLIP_KEY: "string"}, partitions={c: types[c] for c in LAKE_PARTITIONS}, skip=hidden(spark, root))
-    own = (F.col("corpus") == corpus) & (F.col("language") == language) & F.col(CLIP_KEY).isNotNull()
-    return rows.filter(own).select(CLIP_KEY).distinct()
+    rows = read_typed(
+        spark, root, {CLIP_KEY: "string"}, partitions={c: types[c] for c in LAKE_PARTITIONS}, skip=hidden(spark, root), within=within
+    )
+    return rows.filter(F.col(CLIP_KEY).isNotNull()).select(CLIP_KEY).distinct()
 
 
 def quarantine_new(lost: DataFrame, path: str) -> None:
