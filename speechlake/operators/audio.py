@@ -16,7 +16,7 @@ from speechlake.sources.files import read_bytes
 _FLUSH_BYTES = 64 << 20  # decoded clips are larger than their source: hand them on in small batches
 
 
-def _reader(dtype: T.DataType):
+def clip_reader(dtype: T.DataType):
     """How to get the bytes of a clip from an Arrow scalar of this column type."""
     if isinstance(dtype, T.StringType):
         return lambda value: read_bytes(value.as_py())
@@ -27,6 +27,16 @@ def _reader(dtype: T.DataType):
     raise ValueError(f"unsupported type of audio column: {dtype.simpleString()}")
 
 
+def read_clip(
+    column: pa.Array, i: int, read, decoders: list[tuple[str, Decoder]], rate: int
+) -> tuple[np.ndarray | None, str | None, str | None]:
+    """Wave, decoder and error of a row of an audio column."""
+    try:
+        return decode_clip(read(column[i]) if column[i].is_valid else None, decoders, rate)
+    except OSError as failure:
+        return None, None, f"read: {failure}"
+
+
 def _map_clips(
     df: DataFrame, audio: str, outputs: list[T.StructField], convert, decoders: list[tuple[str, Decoder]], rate: int,
     budget: BlockBudget | None = None,
@@ -35,7 +45,7 @@ def _map_clips(
 
     Blocks without any decoded clip count against the ``budget``.
     """
-    read = _reader(df.schema[audio].dataType)
+    read = clip_reader(df.schema[audio].dataType)
     dropped = {audio, *[f.name for f in outputs]}
     others = [c for c in df.columns if c not in dropped]
     schema = T.StructType([df.schema[c] for c in others] + outputs)
@@ -50,12 +60,7 @@ def _map_clips(
             kept = batch.select(others)
             start, size, rows = 0, 0, []
             for i in range(len(column)):
-                wave = name = None
-                try:
-                    data = read(column[i]) if column[i].is_valid else None
-                    wave, name, error = decode_clip(data, decoders, rate)
-                except OSError as failure:
-                    error = f"read: {failure}"
+                wave, name, error = read_clip(column, i, read, decoders, rate)
                 rows.append(convert(wave, name, error))
                 if blocks:
                     blocks.row(wave is None)

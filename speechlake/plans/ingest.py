@@ -14,7 +14,7 @@ from speechlake.operators.blocks import BlockBudget
 from speechlake.operators.join import join_audio
 from speechlake.operators.project import SPLIT_NAMES, drop_unlabeled, set_language, to_lake_schema
 from speechlake.operators.quality import enforce_budget, split_good_bad
-from speechlake.operators.ranking import number_slice
+from speechlake.operators.ranking import number_slice, ranked
 from speechlake.operators.sample import SEED, cap_per_group, carve_splits, eval_head, skip_take
 from speechlake.schemas import CLIP_KEY, LAKE_COLUMNS
 from speechlake.session import staged
@@ -52,7 +52,7 @@ def ingest_round(
 
 def land(
     clips: DataFrame, decode: Callable[[DataFrame], DataFrame], name: Callable[[DataFrame], DataFrame], out: str, corpus: str,
-    language: str, quarantine: str | None = None, max_bad: int | None = None, staging: bool = False,
+    language: str, quarantine: str | None = None, max_bad: int | None = None, staged_rows: bool = False,
     budget: BlockBudget | None = None,
 ) -> int:
     """Decode the clips that the lake does not hold yet and append them; returns the rows landed.
@@ -60,15 +60,15 @@ def land(
     ``clips`` have a ``clip_key``, which the lake keeps, so a round or a batch that runs again adds only what is missing.
     ``decode`` adds ``error``; ``name`` gives good rows their lake columns. Failed clips and their reason go to
     ``quarantine``, once. Decoded audio goes straight to its place; the few failed clips are then decoded again for
-    their reasons. If ``max_bad`` is set and more clips fail, nothing lands; for that, or with ``staging``, all is
-    decoded into the shared scratch folder first. ``budget`` is that of the blocks which ``decode`` counts: the run ends as
+    their reasons. If ``max_bad`` is set and more clips fail, nothing lands; for that, all is decoded into the shared scratch
+    folder first, where ``decode`` has put it itself under ``staged_rows``. ``budget`` is that of the blocks which ``decode`` counts: the run ends as
     soon as more are lost, before all is decoded, and nothing lands.
     """
     spark = clips.sparkSession
     new = clips.join(landed_keys(spark, out, corpus, language), CLIP_KEY, "left_anti").select(*clips.columns)
     decoded = decode(new)
-    if staging or max_bad is not None or budget is not None:
-        with _watched(decoded, budget) as rows:
+    if staged_rows or max_bad is not None or budget is not None:
+        with nullcontext(decoded) if staged_rows else _watched(decoded, budget) as rows:
             good, bad = split_good_bad(enforce_budget(rows, max_bad=max_bad))
             if quarantine:
                 quarantine_new(bad.select(*LOST_COLUMNS), quarantine)
@@ -159,6 +159,38 @@ def decode_manifests(
     return decoded.select(*MANIFEST_COLUMNS).unionByName(lost, allowMissingColumns=True)
 
 
+def decode_first(
+    lines: DataFrame, cap: int, decode: Callable[[DataFrame], DataFrame], stack: ExitStack, budget: BlockBudget | None = None
+) -> DataFrame:
+    """Decoded clips of the first lines of each shard, until ``cap`` of them could be decoded or its lines end.
+
+    The first ``cap`` labeled lines of every shard are decoded; shards that fell short go on with as many lines as they have
+    tried, and so on. A shard whose clips are sound decodes ``cap`` clips however long it is, and one that loses a share
+    of them about twice what it needs at most. Each turn is written to the scratch folder, which ``stack`` clears.
+    """
+    good, broken = split_good_bad(lines)
+    numbered = ranked(drop_unlabeled(good), ["shard"], F.col("line_block"), ["line_block", "line_id"], "_line")
+    numbered = stack.enter_context(staged(numbered, "numbered"))
+    sizes = numbered.groupBy("shard").agg(F.max("_line").alias("_lines"))
+    parts, tried = [], cap
+    now = numbered.filter(F.col("_line") <= cap).drop("_line").unionByName(broken, allowMissingColumns=True)
+    while True:
+        rows = decode(now)
+        if parts:
+            # What the shard as a whole lost was told in the first turn.
+            rows = rows.filter(F.col(CLIP_KEY) != F.col("shard"))
+        parts.append(stack.enter_context(_watched(rows, budget)))
+        decoded = reduce(DataFrame.unionByName, parts)
+        enough = decoded.filter("error is null").groupBy("shard").agg(F.count("*").alias("_n")).filter(F.col("_n") >= cap)
+        short = sizes.filter(F.col("_lines") > tried).join(enough, "shard", "left_anti").select("shard")
+        short = stack.enter_context(staged(short, "short"))
+        if short.isEmpty():
+            return decoded
+        window = numbered.filter((F.col("_line") > tried) & (F.col("_line") <= 2 * tried))
+        now = window.join(short, "shard", "left_semi").drop("_line").unionByName(broken.limit(0), allowMissingColumns=True)
+        tried *= 2
+
+
 def name_manifest_rows(good: DataFrame, language: str, corpus: str, split: Column | None, seed: int = SEED) -> DataFrame:
     """Decoded manifest clips in lake schema; without ``split``, splits are carved by a hash of the clip."""
     if split is None:
@@ -175,7 +207,7 @@ def ingest_lines(
     """Land the clips of manifest lines; see ``land`` and ``ingest_manifests``."""
     budget = None if max_bad_blocks is None else BlockBudget(spark, max_bad_blocks)
 
-    def decode(rows: DataFrame) -> DataFrame:
+    def decode_all(rows: DataFrame) -> DataFrame:
         decoded = decode_manifests(spark, root, rows, decoders, decode_tasks, budget)
         return decoded.withColumns({"corpus": F.lit(corpus), "language": F.lit(language)})
 
@@ -184,7 +216,8 @@ def ingest_lines(
         return name_manifest_rows(capped, language, corpus, split, seed)
 
     # The lines are parsed once; they are read for the names, the archives and the join.
-    with staged(key_lines(lines), "lines") as parsed:
+    with staged(key_lines(lines), "lines") as parsed, ExitStack() as stack:
+        decode = (lambda rows: decode_first(rows, max_clips_per_shard, decode_all, stack, budget)) if max_clips_per_shard else decode_all
         return land(parsed, decode, name, out, corpus, language, quarantine, max_bad, max_clips_per_shard > 0, budget)
 
 
@@ -197,7 +230,7 @@ def ingest_manifests(
     """Ingest one source of manifests and archive shards.
 
     ``split`` is an expression on ``path`` (the manifest file); without it, splits are carved by a hash of the clip.
-    ``max_clips_per_shard`` counts decoded clips in manifest order.
+    ``max_clips_per_shard`` counts decoded clips in manifest order; clips far behind the last of them are not decoded.
     """
     paths: str | list[str] = [f"{root.rstrip('/')}/{f}" for f in folders] if folders else root
     if max_shards:

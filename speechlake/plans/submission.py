@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from speechlake.functions.codec import DEFAULT_DECODERS
-from speechlake.operators.audio import decode_audio
 from speechlake.operators.quality import (
     EXPECTED_LANGUAGES,
     EXPECTED_ROWS,
@@ -17,8 +16,7 @@ from speechlake.operators.quality import (
     validate_submission,
 )
 from speechlake.operators.ranking import number_slice, take_ranks
-from speechlake.operators.sequence import chunk_arrays, concat_ordered
-from speechlake.operators.udf import MODEL_BATCH, transcribe
+from speechlake.operators.udf import MODEL_BATCH, transcribe_audio
 from speechlake.session import local_copy, staged
 from speechlake.sources.tables import read_ids, read_submission, read_testset, unreadable_files, write_submission
 
@@ -26,18 +24,14 @@ from speechlake.sources.tables import read_ids, read_submission, read_testset, u
 def transcribe_clips(
     clips: DataFrame, model_factory: Callable, decoders=DEFAULT_DECODERS, batch_size: int = MODEL_BATCH
 ) -> DataFrame:
-    """``id, language, file, row, status, transcription`` of clips; status is transcribed or decode_failed."""
-    waves = decode_audio(clips.select("id", "language", "file", "row", "audio_bytes"), "audio_bytes", decoders)
-    chunks = chunk_arrays(waves.drop("decoder"), keep_empty=True)
-    texts = transcribe(chunks, model_factory, batch_size=batch_size)
-    marked = texts.withColumns(
-        {
-            "status": F.when(F.col("error").isNull(), "transcribed").otherwise("decode_failed"),
-            "chunk_idx": F.coalesce("chunk_idx", F.lit(0)),
-        }
-    )
-    by = ["id", "language", "file", "row", "status"]
-    return concat_ordered(marked, by, ["chunk_idx"], "text", F.floor(F.col("chunk_idx") / 64), " ", "transcription")
+    """``id, language, file, row, status, transcription`` of clips; status is transcribed or decode_failed.
+
+    One pass from bytes to texts: no samples leave the task that decoded them, and nothing is shuffled.
+    """
+    wanted = clips.select("id", "language", "file", "row", "audio_bytes")
+    texts = transcribe_audio(wanted, model_factory, decoders=decoders, batch_size=batch_size, text="transcription")
+    status = F.when(F.col("error").isNull(), "transcribed").otherwise("decode_failed")
+    return texts.select("id", "language", "file", "row", status.alias("status"), F.coalesce("transcription", F.lit("")).alias("transcription"))
 
 
 def build_submission(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from speechlake.functions.codec import decode_wav
 from speechlake.operators.quality import BudgetExceeded, validate_submission
 from speechlake.plans import ingest as I
-from speechlake.plans.submission import build_submission, clean_submission
+from speechlake.plans.submission import build_submission, clean_submission, transcribe_clips
 from speechlake.plans.training import stats
 from speechlake.schemas import SUBMISSION
 from speechlake.sources.tables import read_lake, read_stats, read_submission, write_submission
@@ -97,6 +97,32 @@ def test_ingest_manifests(spark, tmp_path):
     assert {r.split for r in read_lake(spark, carved, META).collect()} <= {"train", "dev", "test"}
 
 
+def test_a_cap_ends_decoding(spark, tmp_path):
+    """Of 60 clips a cap of 4 decodes the first 4; a shard that loses clips goes on, one without an archive is told once."""
+    sound = shard(60, "a")
+    e2, m2 = shard(30, "b")
+    m2 = [(n, b"bad" if int(n.split("b")[1][:-4]) in (0, 1, 3, 5, 6, 7, 8) else d) for n, d in m2]
+    e3, m3 = shard(3, "c")
+    manifest_source(tmp_path / "src", {1: sound, 2: (e2, m2), 3: (e3, m3)})
+    manifest(tmp_path / "src/health_x_train/manifest_9.jsonl", [entry(f"z{i}.wav", "z") for i in range(20)] + ["{oops"])
+    tried = spark.sparkContext.accumulator(0)
+
+    def counted(data):
+        tried.add(1)
+        return decode_wav(data)
+
+    out, bad = str(tmp_path / "lake"), str(tmp_path / "bad")
+    landed = I.ingest_manifests(
+        spark, str(tmp_path / "src"), out, "swa", "c", F.lit("train"), max_clips_per_shard=4, quarantine=bad, decoders=[("wav", counted)]
+    )
+    texts = sorted(r.text for r in read_lake(spark, out, META).collect())
+    assert texts == [f"text a{i}" for i in range(4)] + ["text b10", "text b2", "text b4", "text b9"] + [f"text c{i}" for i in range(3)]
+    assert landed == 11
+    assert tried.value == 4 + 16 + 3
+    errors = sorted(r.error.split(":")[0] for r in spark.read.parquet(bad).collect())
+    assert errors == ["archive", "manifest"] + ["wav"] * 7
+
+
 def test_ingest_all_goes_on_after_a_failure(spark, tmp_path):
     def fails():
         raise OSError("gone")
@@ -151,6 +177,22 @@ def model():
     return lambda waves: ["" if len(w) == 777 else f"n{len(w)}" for w in waves]
 
 
+def test_samples_stay_in_the_task(spark):
+    """From bytes to texts in one pass: no column of samples, no shuffle; calls are full over clips and batches."""
+    rows = [(i, "swa", "f", i, None if i == 7 else wav(frames=0) if i == 9 else wav(frames=560_000 + 4_000 * (i % 2) + i)) for i in range(20)]
+    clips = spark.createDataFrame(rows, "id int, language string, file string, row int, audio_bytes binary").coalesce(1)
+    sized = lambda: lambda waves: [f"{len(w)}/{len(waves)}" for w in waves]
+    texts = transcribe_clips(clips, sized)
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert "array<float>" not in texts._jdf.queryExecution().analyzed().treeString() and "Exchange" not in plan.replace("ReusedExchange", "")
+    got = {r.id: r for r in texts.collect()}
+    assert [(got[i].status, got[i].transcription) for i in (7, 9)] == [("decode_failed", "")] * 2
+    chunks = [c.split("/") for i in range(20) for c in got[i].transcription.split()]
+    cuts = [n for i in range(20) if i not in (7, 9) for n in ((560_000, 4_000 + i) if i % 2 else (560_000,))]
+    assert [int(n) for n, _ in chunks] == cuts
+    assert [int(size) for _, size in chunks] == [16] * 16 + [len(cuts) - 16] * (len(cuts) - 16)
+
+
 def test_build_submission(spark, tmp_path):
     schema = "id string, language string, audio struct<bytes: binary>"
     files = {

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -31,6 +32,22 @@ def test_edit_distance():
         assert E.edit_distance(a, b) == distance(a, b)
 
 
+def test_edit_distances_of_many():
+    """Groups of one and more words, pairs of very different lengths, empty and equal ones."""
+    rng = random.Random(3)
+    pairs = []
+    for i in range(900):
+        longest = (8, 63, 64, 65, 300, 1300)[i % 6]
+        a = [rng.randrange(6) for _ in range(longest if i % 4 == 0 else rng.randint(0, longest))]
+        b = [x for x in a if rng.random() < 0.8] if rng.random() < 0.5 else [rng.randrange(8) for _ in range(rng.randint(0, 140))]
+        pairs.append((np.array(a, np.int64), np.array(b, np.int64)))
+    pairs.append((np.arange(4500), np.arange(4500)[::-1]))
+    want = [E.edit_distance(a.tolist(), b.tolist()) for a, b in pairs]
+    assert E.edit_distances(pairs).tolist() == want
+    assert E.edit_distances([]).tolist() == []
+    assert [distance(a.tolist(), b.tolist()) for a, b in pairs[:60]] == want[:60]
+
+
 def test_wer(spark):
     rng = random.Random(4)
     vocab = ["la", "ng'ombe", "ĩ", "x", "yy"]
