@@ -29,12 +29,13 @@ class Template:
 
 # The phrases that are counted as base places.
 BASE = (
-    Template("mit", "the mit license"),
+    Template("mit", "under the mit license"),
     Template("apache-2", "apache license version 2"),
     Template("cc-by-nc", "cc by nc"),
 )
 # Further templates, short forms and first sentences of public licences.
 FURTHER = (
+    Template("mit", "the mit license"),
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "free of charge to any person"),
     Template("apache-2", "licensed under the apache license version 2 0", "apache license version 2"),
     Template("gpl-3", "gnu general public license version 3", "general public license version 3"),

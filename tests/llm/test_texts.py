@@ -78,6 +78,21 @@ def test_license_scan(spark):
     assert license_scan.scan_licenses(brute.empty(spark)).count() == 0
 
 
+def test_license_contract(spark):
+    """The base phrases of the query's contract; a phrase of the method adds a label, but no base place."""
+    docs = spark.createDataFrame(
+        [(1, "Under the MIT-license, and under the mit license"), (2, "see the MIT License"), (3, "under mit license"), (4, "CC BY.NC; apache license, version 2.0")],
+        "doc_id bigint, text string",
+    )
+    rows = license_scan.scan_licenses(docs).orderBy("doc_id").collect()
+    assert [tuple(r)[:-1] for r in rows] == [
+        (1, 9, 2, 0, 5, "mit", "mit", 1.0),
+        (2, 4, 0, None, None, "", "mit", 1.0),
+        (3, 3, 0, None, None, "", "", 0.0),
+        (4, 8, 2, 0, 3, "apache-2,cc-by-nc", "apache-2,cc-by-nc", 1.0),
+    ]
+
+
 # --- SimHash
 
 
