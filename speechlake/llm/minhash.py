@@ -24,7 +24,10 @@ BANDS, ROWS = 20, 5  # two texts of similarity 0.8 share no band in 1 of 2,800 c
 # The lowest bits of two fingerprints differ in (1 - similarity) / 2 of the places: 13 +- 3.4 at 0.8.
 MOST_BITS = 32
 WANTED_BROADCAST = 500_000  # rows of two or three numbers
-_AT_ONCE = 1 << 12  # shingles hashed at once
+SMALL_BAND = 32  # sets of a band value up to which they are joined in pairs, at most 15 a set; beyond that in blocks
+BLOCK_SETS, BLOCK_BYTES = 512, 32 << 20  # of the sets in a block, about; two blocks meet in a task
+_COLUMNS = 1 << 12  # shingles counted at once
+_AT_ONCE = 256  # shingles hashed at once
 _OUT_ROWS = 512
 _RANDOM = np.random.default_rng(SEED)
 _FACTORS, _SHIFTS = (_RANDOM.integers(0, 1 << 64, PERMUTATIONS, np.uint64) for _ in range(2))
@@ -50,11 +53,14 @@ def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
 
 def fingerprint(found: np.ndarray) -> np.ndarray:
     """Low 16 bits of the least value of each hash function over shingle hashes; all bits set without any."""
-    least = np.full(PERMUTATIONS, 0xFFFFFFFF, np.uint64)
+    least = np.full(PERMUTATIONS, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    buffer = np.empty((min(len(found), _AT_ONCE), PERMUTATIONS), np.uint64)
     for at in range(0, len(found), _AT_ONCE):
-        values = (found[at : at + _AT_ONCE, None] * _FACTORS + _SHIFTS) >> np.uint64(32)
+        part = found[at : at + _AT_ONCE, None]
+        values = np.multiply(part, _FACTORS, out=buffer[: len(part)])
+        np.add(values, _SHIFTS, out=values)
         np.minimum(least, values.min(axis=0), out=least)
-    return least.astype(np.uint16)
+    return (least >> np.uint64(32)).astype(np.uint16)
 
 
 def likeness(one: np.ndarray, other: np.ndarray) -> float:
@@ -104,33 +110,116 @@ def _nodes(docs: DataFrame, key: str, text: str) -> DataFrame:
     return written(marked.groupBy("node").agg(F.min("key").alias("first_key"), F.count("*").alias("copies"), first).select("node", "first_key", "copies", "one.*"), "nodes")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The ``pairs`` (``a``, ``b``) of nodes whose shingle sets have a Jaccard similarity of SIMILARITY or more."""
+def _sets(wanted: DataFrame, docs: DataFrame, key: str, text: str, kind) -> DataFrame:
+    """``node`` and ``found`` (``kind`` of its shingle hashes, sorted) of the ``wanted`` nodes, from a row that has each."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = [shingles(_raw(value)).tobytes() for value in batch.column(1)]
+            raw = [np.sort(shingles(_raw(value)).astype(kind)).tobytes() for value in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["node", "found"])
 
+    wanted = wanted.select("node", F.col("k").alias("_k"), F.col("r").alias("_r"))
+    wanted = broadcast_within(written(wanted, "wanted"), WANTED_BROADCAST)
+    texts = docs.withColumns({"_own_k": F.xxhash64(key), "_own_r": F.xxhash64(text)}).join(wanted, (F.col("_own_k") == F.col("_k")) & (F.col("_own_r") == F.col("_r")))
+    return written(texts.select("node", F.col(text).alias("text")).mapInArrow(run, "node bigint, found binary").dropDuplicates(["node"]), "sets")
+
+
+def _told_apart(values: np.ndarray) -> np.ndarray:
+    """Sorted numbers of 16 bits as different ones: the second of a kind has another high part, and so on."""
+    return values.astype(np.int64) | (np.arange(len(values)) - np.searchsorted(values, values)) << 16
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, kind=np.uint64) -> DataFrame:
+    """The ``pairs`` (``a``, ``b``) of nodes whose shingle sets have a Jaccard similarity of SIMILARITY or more.
+
+    With 16-bit numbers as ``kind`` a quarter of the bytes travels. Different shingles may then count as the same, so
+    some pairs too many stay, but none that is similar goes.
+    """
+
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             right = []
             for one, other in zip(batch.column(2), batch.column(3)):
-                one, other = (np.frombuffer(x.as_buffer(), np.uint64) for x in (one, other))
+                one, other = (np.frombuffer(x.as_buffer(), kind) for x in (one, other))
+                if kind is np.uint16:
+                    one, other = _told_apart(one), _told_apart(other)
                 both = len(np.intersect1d(one, other, assume_unique=True))
                 right.append(both >= SIMILARITY * (len(one) + len(other) - both))
             yield batch.select(["a", "b"]).filter(pa.array(right, pa.bool_()))
 
     pairs = written(pairs, "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(ends, "node").select("node", F.col("k").alias("_k"), F.col("r").alias("_r"))
-    wanted = broadcast_within(written(wanted, "wanted"), WANTED_BROADCAST)
-    texts = docs.withColumns({"_own_k": F.xxhash64(key), "_own_r": F.xxhash64(text)}).join(wanted, (F.col("_own_k") == F.col("_k")) & (F.col("_own_r") == F.col("_r")))
-    found = written(texts.select("node", F.col(text).alias("text")).mapInArrow(sets, "node bigint, found binary").dropDuplicates(["node"]), "sets")
+    found = _sets(nodes.join(ends, "node"), docs, key, text, kind)
     one, other = (found.select(F.col("node").alias(end), F.col("found").alias(f"of_{end}")) for end in ("a", "b"))
     return written(pairs.join(one, "a").join(other, "b").select("a", "b", "of_a", "of_b").mapInArrow(similar, "a bigint, b bigint"), "links")
 
 
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles any two different sets share."""
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = times[column] > 1
+    rows, column = rows[common], np.unique(column[common], return_inverse=True)[1]
+    turn = np.argsort(column, kind="stable")
+    rows, column, both = rows[turn], column[turn], np.zeros((len(sets), len(sets)))
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        part = slice(*np.searchsorted(column, (low, low + _COLUMNS)))
+        held = np.zeros((len(sets), _COLUMNS), np.float32)  # counts below 2 ** 24 are exact
+        held[rows[part], column[part] - low] = 1
+        both += held @ held.T
+    return both
+
+
+def _join_roots(group: pa.Table) -> pa.Table:
+    """Links between roots, from the similar sets of two blocks of a band value; no more than connect them."""
+    roots, block = (group.column(c).to_numpy() for c in ("root", "block"))
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("found")]
+    sizes, both = np.array([len(x) for x in sets]), shared_counts(sets)
+    similar = both >= SIMILARITY * (sizes[:, None] + sizes[None, :] - both)
+    similar &= roots[:, None] < roots[None, :]
+    if block.min() != block.max():
+        similar &= block[:, None] != block[None, :]  # those of one block meet by themselves
+    least, links = {}, []
+
+    def find(root: int) -> int:
+        while (above := least.get(root, root)) != root:
+            least[root] = root = least.get(above, above)
+        return root
+
+    for a, b in np.unique(np.stack([roots[side] for side in np.nonzero(similar)], axis=1), axis=0).tolist():
+        one, other = find(a), find(b)
+        if one != other:
+            least[max(one, other)] = min(one, other)
+            links.append((a, b))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
+def _rest_links(rooted: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Links (``a``, ``b``) between roots of ``rooted`` (``node``, ``root``): all similar sets that share a band value.
+
+    Only band values whose sets have several roots are looked at, and only sets of different roots compared. Few sets of
+    a value are joined in pairs that their lowest bits leave possible; many are dealt into blocks, and any two blocks meet.
+    """
+    own = nodes.join(rooted, "node").select("node", "root", F.struct("s1", "s2").alias("s"), F.explode("bands").alias("value"))
+    values = own.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("sets")).filter("low < high").select("value", "sets")
+    own = written(own.join(written(values, "values"), "value"), "open")
+    few = own.filter(F.col("sets") <= SMALL_BAND)
+    met = (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & _near("x.s", "y.s")
+    pairs = few.alias("x").join(few.alias("y"), met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    links = _verified(_verified(pairs, nodes, docs, key, text, np.uint16), nodes, docs, key, text)
+    root_a, root_b = (rooted.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")) for end in ("a", "b"))
+    links = links.join(root_a, "a").join(root_b, "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    many = own.filter(F.col("sets") > SMALL_BAND).select("value", "node", "root")
+    found = _sets(nodes.join(many.select("node").distinct(), "node"), docs, key, text, np.uint64)
+    size = found.select("node", F.length("found").alias("size"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("size") / BLOCK_BYTES)).alias("blocks")
+    blocks = written(many.join(size, "node").groupBy("value").agg(blocks), "blocks")
+    dealt = many.join(blocks, "value").withColumn("block", F.pmod(F.xxhash64("node", "value"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")}).join(found, "node")
+    return links.unionByName(dealt.groupBy("value", "first", "second").applyInArrow(_join_roots, "a bigint, b bigint"))
+
+
 def _near(a: str, b: str):
     """Whether the lowest bits of two fingerprints leave a similarity of SIMILARITY possible."""
     return sum(F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in ("s1", "s2")) <= MOST_BITS
@@ -139,10 +228,10 @@ def _near(a: str, b: str):
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``node`` and ``class_id`` of every shingle set that several rows have or that is linked to another one.
 
-    In each band value all sets are compared with the least and the greatest one of them, so a set has at most
-    2 x BANDS partners and a group of any size costs its size; sets are linked if their Jaccard similarity is SIMILARITY
-    or more. Members of a class need not be linked to each other, but two linked sets whose partners are all others
-    stay apart (see the README for how often).
+    Sets are linked if they share a band value and their Jaccard similarity is SIMILARITY or more. First all sets of a
+    band value are compared with the least and the greatest one, which joins large groups at the cost of their size; then
+    those that this left in different classes are compared with each other (``_rest_links``). Members of a class need not
+    be linked to each other.
     """
     nodes = _nodes(docs, key, text)
     bands = nodes.select("node", F.explode("bands").alias("value"))
@@ -151,7 +240,10 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     pairs = met.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     of_a, of_b = (nodes.select(F.col("node").alias(end), F.struct("s1", "s2").alias(f"s_{end}")) for end in ("a", "b"))
     links = _verified(pairs.join(of_a, "a").join(of_b, "b").filter(_near("s_a", "s_b")).select("a", "b"), nodes, docs, key, text)
-    rooted = nodes.join(components(links), "node", "left").select("node", "first_key", "copies", F.coalesce("root", "node").alias("root"))
+    rooted = written(nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
+    above = components(_rest_links(rooted, nodes, docs, key, text)).select(F.col("node").alias("root"), F.col("root").alias("above"))
+    rooted = rooted.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
+    rooted = nodes.select("node", "first_key", "copies").join(rooted, "node")
     classes = rooted.groupBy("root").agg(F.min("first_key").alias("class_id"), F.sum("copies").alias("n")).filter("n > 1").select("root", "class_id")
     return rooted.join(classes, "root").select("node", "class_id")
 

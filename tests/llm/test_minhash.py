@@ -91,6 +91,36 @@ def test_messy_rows(spark, monkeypatch, bound):
     assert minhash.fingerprint_documents(brute.empty(spark)).count() == 0
 
 
+def families(n, seed=4):
+    """``n`` pairs of linked texts; all share a passage, so many meet in a band, but no two pairs are linked."""
+    rng = np.random.default_rng(seed)
+    passage = edited(rng, 250, 0, "p")
+    texts = [passage + " " + edited(np.random.default_rng(seed + f), 90, edits, f"f{f}x") for f in range(n) for edits in (1, 2)]
+    return [(int(i), texts[i]) for i in rng.permutation(len(texts))]
+
+
+@pytest.mark.parametrize(("n", "small", "block"), [(12, 32, 512), (60, 32, 512), (60, 0, 9)])
+def test_links_within_a_band(spark, monkeypatch, n, small, block):
+    """Sets that are linked to each other, but to neither end of a band they share, are one class."""
+    monkeypatch.setattr(minhash, "SMALL_BAND", small)
+    monkeypatch.setattr(minhash, "BLOCK_SETS", block)
+    rows = families(n)
+    got = minhash.fingerprint_documents(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    want = {key: same for (key, _), same in zip(rows, classes(rows))}
+    assert len(set(want.values())) == n
+    assert {r.doc_id: r.class_id for r in got.collect()} == want
+
+
+def test_shared_counts(monkeypatch):
+    monkeypatch.setattr(minhash, "_COLUMNS", 7)
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 60, int(n)).astype(np.uint64)) for n in (0, 1, 5, 30, 40, 80)]
+    both = minhash.shared_counts(sets)
+    assert all(both[i, j] == len(np.intersect1d(x, y)) for i, x in enumerate(sets) for j, y in enumerate(sets) if i != j)
+    assert minhash.shared_counts(sets[:1]).tolist() == [[0]]
+    assert minhash._told_apart(np.array([1, 1, 1, 4], np.uint16)).tolist() == [1, 1 | 1 << 16, 1 | 2 << 16, 4]
+
+
 def test_repeated_rows(spark):
     """A third of all rows is one row under a null key, another third a null key with different texts."""
     rows = [(None, "the same text again and again, here")] * 200 + [(None, f"text {i} of no key") for i in range(200)] + [(i, f"{i} other") for i in range(200)]
