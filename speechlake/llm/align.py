@@ -211,6 +211,26 @@ def _joined(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return sums[ends] - sums[ends - sizes]
 
 
+def pack_numbers(arrays: list[np.ndarray]) -> bytes:
+    """Arrays of numbers from 0 on in few bytes: the narrowest types, bytes of one significance together, compressed."""
+    kinds = [np.min_scalar_type(int(x.max(initial=0))) for x in arrays]
+    raw = b"".join(x.astype(kind).view(np.uint8).reshape(-1, kind.itemsize).T.tobytes() for x, kind in zip(arrays, kinds))
+    head = np.array([[len(x), kind.itemsize] for x, kind in zip(arrays, kinds)], np.int64)
+    return head.tobytes() + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+
+def unpack_numbers(packed: bytes, n: int) -> list[np.ndarray]:
+    """The ``n`` arrays of ``pack_numbers`` as bigints."""
+    head = np.frombuffer(packed, np.int64, 2 * n).reshape(n, 2)
+    raw = pa.Codec("zstd").decompress(packed[head.nbytes :], int(head.prod(axis=1).sum()), asbytes=True)
+    out, at = [], 0
+    for size, width in head.tolist():
+        part = np.frombuffer(raw, np.uint8, size * width, at).reshape(width, size).T
+        out.append(np.ascontiguousarray(part).view(f"u{width}").ravel().astype(np.int64))
+        at += size * width
+    return out
+
+
 @dataclass
 class Aligned:
     """Windows: groups as text (each with a mark behind it), their number, the links; and the linked pairs of each."""
@@ -279,7 +299,7 @@ class Pack:
         self.tokens += len(self.ids[-1][0])
 
     def row(self, number: int) -> tuple:
-        """Rows, their windows and how often, the windows' pairs and links, the distinct pairs and their documents."""
+        """Rows, their windows and how often, the windows' pairs and links (NUMBERS), the distinct pairs and their documents."""
         ids = tuple(np.concatenate(side) for side in zip(*self.ids))
         n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in zip(*self.ids))
         cuts = cut_windows(self.a, self.b, *ids)
@@ -302,15 +322,17 @@ class Pack:
         seen = np.unique(np.repeat(row, sizes) * pairs + aligned.pairs[at])
         documents = np.bincount(seen % pairs, minlength=len(aligned.codes))
         per_row = np.bincount(row, minlength=len(lengths))
-        return (
-            number, self.keys, n_a, n_b, *sums, digests, per_row, windows, times, aligned.n_pairs, aligned.pairs, aligned.times, aligned.codes, documents,
-        )
+        numbers = pack_numbers([per_row, windows, times, aligned.n_pairs, aligned.pairs, aligned.times])
+        return number, self.keys, n_a, n_b, *sums, digests, numbers, aligned.codes, documents
+
+
+NUMBERS = ["n_windows", "windows", "times", "n_pairs", "pairs", "links"]
 
 
 def _pack_schema(key: T.DataType) -> T.StructType:
-    lists = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, n_windows int, windows int, times int, n_pairs int, pairs int, links bigint, codes bigint, documents bigint"
+    lists = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, codes bigint, documents bigint"
     fields = [T.StructField(f.name, T.ArrayType(f.dataType)) for f in T._parse_datatype_string(lists)]
-    return T.StructType([T.StructField("pack", T.LongType()), T.StructField("keys", T.ArrayType(key)), *fields])
+    return T.StructType([T.StructField("pack", T.LongType()), T.StructField("keys", T.ArrayType(key)), *fields[:5], T.StructField("numbers", T.BinaryType()), *fields[5:]])
 
 
 def _packs(docs: DataFrame, model_a: bytes, model_b: bytes) -> DataFrame:
@@ -377,9 +399,10 @@ def align_documents(
     def total(_, own: pa.Table, known: pa.Table) -> pa.Table:
         order = np.argsort(known.column("at").to_numpy())
         counts, best = (known.column(c).to_numpy()[order] for c in ("documents", "best"))
-        row = {name: column[0].values for name, column in zip(own.column_names, own.combine_chunks().to_batches()[0].columns) if name != "pack"}
-        numbers = {name: row[name].to_numpy() for name in ("n_pairs", "pairs", "links", "n_windows", "windows", "times")}
-        n_best, count_sum = _totals(numbers, counts, best)
+        first = own.combine_chunks().to_batches()[0]
+        row = {name: column[0].values for name, column in zip(own.column_names, first.columns) if name not in ("pack", "numbers")}
+        numbers = unpack_numbers(first.column("numbers")[0].as_py(), len(NUMBERS))
+        n_best, count_sum = _totals(dict(zip(NUMBERS, numbers)), counts, best)
         columns = [row["keys"], *[row[c] for c in ("n_a", "n_b", "n_groups", "n_links")], pa.array(n_best), pa.array(count_sum), row["groups_sha256"]]
         return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 

@@ -163,3 +163,14 @@ def test_windows_of_one_kind(monkeypatch):
     monkeypatch.setattr(align, "_FACTORS", np.zeros(2, np.uint64))  # all hashes meet
     again, of = align.same_windows(ids, cuts)
     assert len(again) == 5 and len(set(zip(kind.tolist(), of.tolist()))) == 5
+
+
+def test_numbers_in_few_bytes():
+    """The numbers of a pack travel in the width they need, and come back as they were."""
+    rng = np.random.default_rng(6)
+    arrays = [rng.integers(0, high, n) for high, n in ((2, 5000), (300, 5000), (1 << 20, 5000), (1 << 40, 3), (2, 0))]
+    packed = align.pack_numbers(arrays)
+    assert len(packed) < 5000 * (1 + 2 + 3) + 200
+    for got, want in zip(align.unpack_numbers(packed, len(arrays)), arrays):
+        assert got.dtype == np.int64 and got.tolist() == want.tolist()
+    assert [x.tolist() for x in align.unpack_numbers(align.pack_numbers([np.zeros(0, np.int64)] * 6), 6)] == [[]] * 6
