@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from speechlake.llm.common import broadcast_within, written
+from speechlake.llm.common import broadcast_within, texts_of, written
 from speechlake.llm.components import components
 
 PERMUTATIONS, SHINGLE, SIMILARITY, SEED = 128, 5, 0.8, 42
@@ -36,23 +36,38 @@ _PLACES = _RANDOM.integers(0, 1 << 64, 64, np.uint64) | np.uint64(1)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
-def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct word shingles of a text (A-Z lower-cased); fewer words are one shingle."""
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words, in their order."""
     from xxhash import xxh64_intdigest
 
-    words = text.lower().split()
-    if not words:
+    return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
+
+
+def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of all runs of ``size`` words, in text order; none if there are fewer words."""
+    runs = len(words) - size + 1
+    if not size or runs <= 0:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
-    size = min(size, len(words))
-    mixed = sum(hashes[k : len(words) - size + k + 1] * _PLACES[k] for k in range(size)) + np.uint64(size)
+    mixed = sum(words[k : runs + k] * _PLACES[k] for k in range(size)) + np.uint64(size)
     for factor, shift in zip(_MIX, (30, 27)):
         mixed = (mixed ^ (mixed >> np.uint64(shift))) * factor
-    return np.unique(mixed ^ (mixed >> np.uint64(31)))
+    return mixed ^ (mixed >> np.uint64(31))
 
 
-def fingerprint(found: np.ndarray) -> np.ndarray:
-    """Low 16 bits of the least value of each hash function over shingle hashes; all bits set without any."""
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """Sorted different numbers; NumPy's sort and a mask take a fraction of the time of its ``unique``."""
+    hashes = np.sort(hashes)
+    return hashes[np.concatenate(([True], hashes[1:] != hashes[:-1]))] if len(hashes) else hashes
+
+
+def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct word shingles of a text (A-Z lower-cased); fewer words are one shingle."""
+    words = word_hashes(text.lower().split())
+    return distinct(shingle_hashes(words, min(size, len(words))))
+
+
+def least_values(found: np.ndarray) -> np.ndarray:
+    """The least value of each hash function over shingle hashes; all bits set without any."""
     least = np.full(PERMUTATIONS, 0xFFFFFFFFFFFFFFFF, np.uint64)
     buffer = np.empty((min(len(found), _AT_ONCE), PERMUTATIONS), np.uint64)
     for at in range(0, len(found), _AT_ONCE):
@@ -60,9 +75,37 @@ def fingerprint(found: np.ndarray) -> np.ndarray:
         values = np.multiply(part, _FACTORS, out=buffer[: len(part)])
         np.add(values, _SHIFTS, out=values)
         np.minimum(least, values.min(axis=0), out=least)
+    return least
+
+
+def _low_bits(least: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint16)
 
 
+def fingerprint(found: np.ndarray) -> np.ndarray:
+    """Low 16 bits of the least value of each hash function over shingle hashes; all bits set without any."""
+    return _low_bits(least_values(found))
+
+
+class Head:
+    """The front of a text, hashed once for all ends that may follow it."""
+
+    def __init__(self, head: bytes):
+        words = head.lower().split()
+        # The last word goes on behind the head, unless a space ends it.
+        self.open = words.pop() if words and not head[-1:].isspace() else b""
+        hashes = word_hashes(words)
+        self.last, self.short = hashes[1 - SHINGLE :], len(hashes) < SHINGLE
+        self.found = distinct(shingle_hashes(hashes, SHINGLE))
+        self.least = least_values(self.found)
+
+    def followed_by(self, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Shingle hashes that are not of the head alone, and the fingerprint, of the whole text."""
+        words = np.concatenate([self.last, word_hashes((self.open + end.lower()).split())])
+        found = distinct(shingle_hashes(words, min(SHINGLE, len(words)) if self.short else SHINGLE))
+        return found, _low_bits(np.minimum(self.least, least_values(found)))
+
+
 def likeness(one: np.ndarray, other: np.ndarray) -> float:
     """Share of places in which two fingerprints agree, about the Jaccard similarity of their shingle sets."""
     return float((one == other).mean())
@@ -94,8 +137,8 @@ def _nodes(docs: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, bits, bands = [], [], []
-            for value in batch.column(3):
-                found = shingles(_raw(value))
+            for raw in texts_of(batch.column(3)):
+                found = shingles(raw)
                 print_ = fingerprint(found)
                 nodes.append(set_digest(found))
                 bits.append(np.packbits((print_ & 1).astype(np.uint8)).view(np.int64))
@@ -115,7 +158,7 @@ def _sets(wanted: DataFrame, docs: DataFrame, key: str, text: str, kind) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = [np.sort(shingles(_raw(value)).astype(kind)).tobytes() for value in batch.column(1)]
+            raw = [np.sort(shingles(text).astype(kind)).tobytes() for text in texts_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["node", "found"])
 
     wanted = wanted.select("node", F.col("k").alias("_k"), F.col("r").alias("_r"))
@@ -299,28 +342,30 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
         """Rows of a range in order, then the first of the next range."""
         codec, last, out = pa.Codec("zstd", compression_level=1), None, []
 
-        def row(own, times, text, found, print_, after, after_print) -> tuple:
-            quarter = len(text) // 4
-            edited = (text[: len(text) - quarter] + after[:quarter]).encode()
-            of_edited = fingerprint(shingles(edited)) if quarter else print_
+        def row(own, times, n_chars, front, begun, print_, node, after, after_print) -> tuple:
+            end = after[: n_chars // 4].encode()
+            of_edited = begun.followed_by(end)[1]
             return (
-                own, times, len(text), hashlib.sha256(edited).hexdigest(), print_.tobytes().hex(), of_edited.tobytes().hex(),
-                likeness(print_, of_edited), likeness(print_, after_print), set_digest(found),
+                own, times, n_chars, hashlib.sha256(front + end).hexdigest(), print_.tobytes().hex(), of_edited.tobytes().hex(),
+                likeness(print_, of_edited), likeness(print_, after_print), node,
             )
 
         for batch in batches:
             for head, own, times, packed in zip(*(batch.column(c).to_pylist() for c in (1, 2, 4, 5))):
                 size = int.from_bytes(packed[:8], "little")
                 raw = codec.decompress(packed[8:], size, asbytes=True) if size else b""
-                found = shingles(raw)
-                now = (raw.decode(), found, fingerprint(found))
+                text = raw.decode()
+                front = text[: len(text) - len(text) // 4].encode()
+                begun = Head(front)
+                found, print_ = begun.followed_by(raw[len(front) :])
                 if last is not None:
-                    out.append(row(*last[:1], 1, *last[1], now[0], now[2]))
+                    out.append(row(*last, text, print_))
                     last = None
                 if not head:
+                    now = (len(text), front, begun, print_, set_digest(distinct(np.concatenate([begun.found, found]))))
                     if times > 1:
-                        out.append(row(own, times - 1, *now, now[0], now[2]))
-                    last = (own, now)
+                        out.append(row(own, times - 1, *now, text, print_))
+                    last = (own, 1, *now)
                 if len(out) >= _OUT_ROWS:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), made_arrow)], schema=made_arrow)
                     out = []

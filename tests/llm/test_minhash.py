@@ -111,6 +111,30 @@ def test_links_within_a_band(spark, monkeypatch, n, small, block):
     assert {r.doc_id: r.class_id for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_head_and_end(seed):
+    """A front that was hashed by itself gives, with any end, the shingles and the fingerprint of the whole text."""
+    rng = np.random.default_rng(seed)
+    odd = lambda n: "".join(rng.choice(list("aB é\n\t\x0b\x1c\x85 "), n)).encode()
+    fronts = [b"", b"  ", b"a", b"A b c d", b"a b c d ", b"a b c d e", b"a b c d e ", b"x" * 300, *(odd(int(n)) for n in rng.integers(0, 80, 200))]
+    for front in fronts:
+        head = minhash.Head(front)
+        for end in (b"", b" ", b"Q", b"q r", b" q r s t u v", odd(30)):
+            found, print_ = head.followed_by(end)
+            whole = minhash.shingles(front + end)
+            assert minhash.distinct(np.concatenate([head.found, found])).tolist() == whole.tolist()
+            assert print_.tolist() == minhash.fingerprint(whole).tolist()
+
+
+def test_edited_texts_hash_their_end_only(monkeypatch):
+    hashed, word_hashes = [], minhash.word_hashes
+    monkeypatch.setattr(minhash, "word_hashes", lambda words: (hashed.append(len(words)), word_hashes(words))[1])
+    head = minhash.Head(b" ".join(b"w%d" % i for i in range(750)))
+    for end in (b" of its own" * 80, b" of the next" * 80):
+        head.followed_by(end)
+    assert hashed == [749, 241, 241]
+
+
 def test_shared_counts(monkeypatch):
     monkeypatch.setattr(minhash, "_COLUMNS", 7)
     rng = np.random.default_rng(5)
