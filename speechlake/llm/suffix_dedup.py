@@ -5,10 +5,11 @@ the least hash among all runs in it (the leftmost of equals). So only suffixes a
 in 75 bytes, and none of the strings is missed. Each token has a context: all strings of LENGTH bytes it leads.
 
 1. Tokens are counted. Those that occur once lead no repeated string.
-2. Where all contexts of a token are alike, every string in them is repeated.
-3. Otherwise the different contexts are compared. Sampled splitters range-partition the suffixes by their leading token,
-   so that a bucket's border never cuts through the suffixes of a token. Buckets sort their suffixes, and the reversed
-   bytes in front of them, by multikey quicksort; neighbours' common lengths then tell which strings are the same.
+2. A context that occurs at more than one place is repeated whole, at each of them.
+3. The different contexts of a token are compared, for those of one place. Sampled splitters range-partition the
+   suffixes by their leading token, so that a bucket's border never cuts through the suffixes of a token. Buckets sort
+   their suffixes, and the reversed bytes in front of them, by multikey quicksort; neighbours' common lengths then tell
+   which strings are the same.
 """
 
 import hashlib
@@ -175,7 +176,7 @@ def _runs(found: np.ndarray, places: np.ndarray, length: int) -> list[list[int]]
 
 
 def _compare(length: int, token: int):
-    """Contexts of a bucket, whole tokens: the covered bytes of each."""
+    """Contexts of a bucket, whole tokens: the covered bytes of those that occur once, with their place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = [batch for batch in batches if batch.num_rows]
@@ -191,20 +192,20 @@ def _compare(length: int, token: int):
         before = [t[:a][::-1] for t, a in zip(texts, at)]
         behind = [t[a + token :] for t, a in zip(texts, at)]
         found = repeated_strings(groups, before, behind, at - span, at, length - token)
-        for i in np.flatnonzero(table.column("n").to_numpy() > 1):
-            found[i, at[i] - span[i] : at[i] + 1] = True
-        spans = pa.array(_runs(found, at, length), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([*[table.column(c).combine_chunks() for c in ("token", "context")], spans], names=["token", "context", "spans"])
+        once = np.flatnonzero(table.column("n").to_numpy() == 1)
+        spans = pa.array(_runs(found[once], at[once], length), pa.list_(pa.int64()))
+        own = table.select(["k", "r", "first"]).take(once)
+        yield pa.RecordBatch.from_arrays([*[column.combine_chunks() for column in own.columns], spans], names=[*own.column_names, "spans"])
 
     return run
 
 
 def _cut(text_column: str, token: int, length: int):
-    """Documents with the places of wanted contexts -> their bytes and leading tokens."""
+    """Documents with the places of wanted contexts -> those places, their bytes and leading tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, names = None, ["token", "context", "n", "place", "lead", "bytes"]
-        kinds = [pa.int64()] * 4 + [pa.binary()] * 2
+        last, names = None, ["k", "r", "first", "token", "context", "n", "place", "lead", "bytes"]
+        kinds = [pa.int64()] * 7 + [pa.binary()] * 2
         for batch in batches:
             for own, value, wanted in zip(zip(*(batch.column(c).to_pylist() for c in ("_k", "_r"))), batch.column(text_column), batch.column("_wanted")):
                 if own == last:  # copies of a whole row lie side by side
@@ -212,7 +213,7 @@ def _cut(text_column: str, token: int, length: int):
                 raw, last, rows = (value.as_py() or "").encode(), own, []
                 for one in wanted.as_py():
                     first, span, at = one["place"] >> 16, one["place"] >> 8 & 255, one["place"] & 255
-                    rows.append((one["token"], one["context"], one["n"], span << 8 | at, raw[first + at : first + at + token], raw[first : first + span + length]))
+                    rows.append((*own, first, one["token"], one["context"], one["n"], span << 8 | at, raw[first + at : first + at + token], raw[first : first + span + length]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=names)
 
     return run
@@ -229,6 +230,12 @@ def merge_spans(spans: list[int]) -> list[tuple[int, int]]:
     return runs
 
 
+def _covered(spans: list[int], own: list) -> list[int]:
+    """Packed spans of a text: those of its places, but for places with spans of their own only these."""
+    apart = {one["first"] for one in own}
+    return [s for s in spans if s >> 10 not in apart] + [(one["first"] << 10) + s for one in own for s in one["spans"]]
+
+
 ADDED = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
 
@@ -236,8 +243,9 @@ def _removed(columns: list[str], text_column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for value, spans in zip(batch.column(text_column), batch.column("_spans")):
-                raw, runs, at, kept = (value.as_py() or "").encode(), merge_spans(spans.as_py() or []), 0, []
+            for value, spans, own in zip(batch.column(text_column), batch.column("_spans"), batch.column("_own")):
+                runs = merge_spans(_covered(spans.as_py() or [], own.as_py() or []))
+                raw, at, kept = (value.as_py() or "").encode(), 0, []
                 for start, end in runs:
                     kept.append(raw[at:start])
                     at = end
@@ -251,22 +259,25 @@ def _removed(columns: list[str], text_column: str):
 
 
 def _by_hashes(contexts: DataFrame, length: int) -> DataFrame:
-    """Covered bytes of the contexts of very frequent tokens: every string of theirs is a row with a 128-bit hash."""
+    """As ``_compare``, for contexts of very frequent tokens: every string of theirs is a row with a 128-bit hash.
+
+    Each context that occurs once has a row without spans and one for each of its strings that is repeated.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
         for batch in batches:
-            for token, context, n, shape, raw in zip(*(batch.column(c) for c in ("token", "context", "n", "place", "bytes"))):
+            for *own, shape, raw in zip(*(batch.column(c) for c in ("k", "r", "first", "n", "place", "bytes"))):
                 raw, span = raw.as_py(), shape.as_py() >> 8
                 hashes = [xxh3_128_digest(raw[i : i + length]) for i in range(span + 1)]
-                columns = [pa.array([v.as_py()] * (span + 1), pa.int64()) for v in (token, context, n)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(range(span + 1), pa.int64()), pa.array(hashes, pa.binary())], names=["token", "context", "n", "start", "string"])
+                columns = [pa.array([v.as_py()] * (span + 1), pa.int64()) for v in own]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(range(span + 1), pa.int64()), pa.array(hashes, pa.binary())], names=["k", "r", "first", "n", "start", "string"])
 
-    strings = contexts.mapInArrow(run, "token bigint, context bigint, n bigint, start bigint, string binary")
+    strings = contexts.mapInArrow(run, "k bigint, r bigint, first bigint, n bigint, start bigint, string binary")
     often = written(strings.groupBy("string").agg(F.sum("n").alias("total")).filter("total > 1"), "strings")
-    hits = strings.join(often, "string").select("token", "context", (F.shiftleft("start", 10) + length).alias("span"))
-    return hits.groupBy("token", "context").agg(F.collect_list("span").alias("spans"))
+    hits = strings.filter("n = 1").join(often, "string").select("k", "r", "first", F.array(F.shiftleft("start", 10) + length).alias("spans"))
+    return contexts.filter("n = 1").select("k", "r", "first", F.array().cast("array<bigint>").alias("spans")).unionAll(hits)
 
 
 def remove_repeats(
@@ -294,7 +305,6 @@ def remove_repeats(
     often = written(counted.filter("n > 1").select("token", (F.col("low") != F.col("high")).alias("mixed")), "tokens")
     rows = written(token_rows().join(often, "token"), "token-rows")
 
-    alike = rows.filter("not mixed").select("k", "r", (F.shiftleft(F.shiftright("place", 16), 10) + F.shiftright("place", 8).bitwiseAND(F.lit(255)) + length).alias("span"))
     mixed = rows.filter("mixed")
     distinct = mixed.groupBy("token", "context").agg(F.count("*").alias("n"), F.min(F.struct("k", "r", "place")).alias("at"))
     # All places of a text in one row, so that it is joined once; there are no more than its tokens.
@@ -304,8 +314,9 @@ def remove_repeats(
     buckets = max(1, -(-(sizes.agg(F.sum("rows")).first()[0] or 0) // BUCKET_ROWS))
     hot = sizes.filter(F.col("rows") > group_rows).select("token")
     at_place = marked.join(wanted, (F.col("_k") == F.col("_at_k")) & (F.col("_r") == F.col("_at_r")))
-    contexts = at_place.mapInArrow(_cut(text, token, length), "token bigint, context bigint, n bigint, place bigint, lead binary, bytes binary")
-    schema = "token bigint, context bigint, spans array<bigint>"
+    cut = "k bigint, r bigint, first bigint, token bigint, context bigint, n bigint, place bigint, lead binary, bytes binary"
+    contexts = at_place.mapInArrow(_cut(text, token, length), cut)
+    schema = "k bigint, r bigint, first bigint, spans array<bigint>"
     if hot.isEmpty():
         compared = contexts.repartitionByRange(buckets, "lead").mapInArrow(_compare(length, token), schema)
     else:
@@ -313,10 +324,13 @@ def remove_repeats(
         usual = contexts.join(hot, "token", "left_anti")
         compared = usual.repartitionByRange(buckets, "lead").mapInArrow(_compare(length, token), schema)
         compared = compared.unionByName(_by_hashes(contexts.join(hot, "token", "left_semi"), length))
-    spread = mixed.join(compared, ["token", "context"]).select("k", "r", F.shiftright("place", 16).alias("first"), F.explode("spans").alias("span"))
-    placed = spread.select("k", "r", (F.shiftleft("first", 10) + F.col("span")).alias("span"))
-    spans = alike.unionAll(placed).groupBy("k", "r").agg(F.collect_set("span").alias("_spans"))
-    spans = spans.select(F.col("k").alias("_span_k"), F.col("r").alias("_span_r"), "_spans")
+    # Every place covers its whole context, which takes no join: only places of contexts that occur once learn from the
+    # comparison what they cover instead.
+    whole_span = F.shiftleft(F.shiftright("place", 16), 10) + F.shiftright("place", 8).bitwiseAND(F.lit(255)) + length
+    own = F.struct("first", "spans").alias("own")
+    covered = rows.select("k", "r", whole_span.alias("span")).unionByName(compared.select("k", "r", own), allowMissingColumns=True)
+    spans = covered.groupBy("k", "r").agg(F.collect_set("span").alias("_spans"), F.collect_list("own").alias("_own"))
+    spans = spans.select(F.col("k").alias("_span_k"), F.col("r").alias("_span_r"), "_spans", "_own")
     joined = marked.join(spans, (F.col("_k") == F.col("_span_k")) & (F.col("_r") == F.col("_span_r")), "left")
     kept_fields = [docs.schema[c] for c in columns]
     result = T.StructType([*kept_fields, *T._parse_datatype_string("n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string")])

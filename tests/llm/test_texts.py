@@ -176,6 +176,38 @@ def test_repeats_at_random_places(spark, group_rows):
     check_repeats(spark, docs, 40, 12, group_rows=group_rows)
 
 
+def join_rows(node):
+    """Output rows of every join of an executed plan."""
+    own = []
+    if "Join" in node.nodeName():
+        own.append(node.metrics().get("numOutputRows").get().value())
+    below = [node.children().apply(i) for i in range(node.children().size())]
+    if node.nodeName().startswith("AdaptiveSparkPlan"):
+        below = [node.executedPlan()]
+    elif "QueryStage" in node.nodeName():
+        below = [node.plan()]
+    return own + [rows for child in below for rows in join_rows(child)]
+
+
+@pytest.mark.parametrize("group_rows", [20_000, 2])
+def test_places_of_a_common_passage_are_not_joined(spark, group_rows):
+    """The passage stands six times in each text; some texts have parts of it, so its tokens have contexts that differ."""
+    rng = np.random.default_rng(5)
+    line, other = ("".join(rng.choice(list("abcdefgh"), 150)) for _ in range(2))
+    own = lambda n: "".join(rng.choice(list("ijklmnop"), n))
+    texts = ["".join(own(9) + line for _ in range(6)) for _ in range(40)]
+    texts += [own(9) + line[a : a + 60] + own(9) for a in range(0, 90, 3)]
+    texts += [own(30) + other[:30] + own(30), own(30) + other[:30] + own(30)]  # a common token without a repeated string
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string").cache()
+    check_repeats(spark, docs, 40, 12, group_rows=group_rows)
+    if group_rows > 2:  # below, strings are joined with their counts
+        cut = suffix_dedup.remove_repeats(docs, length=40, token=12)
+        cut.collect()
+        joins = join_rows(cut._jdf.queryExecution().executedPlan())
+        assert joins and max(joins) <= len(texts)
+    docs.unpersist()
+
+
 def test_tokens_do_not_depend_on_chunks(monkeypatch):
     text = np.random.default_rng(0).integers(97, 103, 5000).astype(np.uint8).tobytes()
     whole = suffix_dedup.tokens(text)
